@@ -45,6 +45,5 @@ def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """
     if by:
         return left.join(right, list(by))
-    extra = right.columns
-    row = right.select(F.struct(*[c(n) for n in extra])).scalar()
-    return left.select("*", *[row.getField(n).alias(n) for n in extra])
+    row = right.select(F.struct(*[c(n) for n in right.columns])).scalar()
+    return left.select("*", row.alias("__row")).select(*[c(n) for n in left.columns], "__row.*")

@@ -61,12 +61,11 @@ def with_batch_score(batches: DataFrame, limits: HealthRules) -> DataFrame:
     deductions = F.array_compact(F.array(*[
         F.when(f, F.lit(f"{label}: -{p}")) for f, p, label in zip(fired, points, rules.DEDUCTION_LABELS)
     ]))
-    return (
-        batches.withColumn("data_quality_anomalies", anomalies)
-        .withColumn("deductions", deductions)
-        .withColumn("health_score", F.greatest(F.lit(0), F.lit(100) - lost))
-        .withColumn("health_status", batch_status(F.col("health_score"), limits))
-    )
+    return batches.withColumns({
+        "data_quality_anomalies": anomalies,
+        "deductions": deductions,
+        "health_score": F.greatest(F.lit(0), F.lit(100) - lost),
+    }).withColumn("health_status", batch_status(F.col("health_score"), limits))
 
 
 def tier_penalty(value: Column, tiers: tuple, worst: int) -> Column:

@@ -128,17 +128,17 @@ def outlier_summary(
     bounds = quartile_bounds(df, columns, by, accuracy, fence)
     bound_columns = [n for n in bounds.columns if n not in by]
     narrow = df.select(*keys, *[_value(n).alias(f"value__{i}") for i, n in enumerate(columns)])
+    bound = {n: F.col(n) for n in bound_columns}
     if not by:
-        row = bounds.select(F.struct(*[F.col(n) for n in bound_columns])).scalar()
-        paired = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"))
-        bound = {n: row.getField(n) for n in bound_columns}
+        fences = bounds.select(F.struct(*bound_columns)).scalar().alias("__fences")
+        paired = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"), fences)
+        bound = {n: F.col(f"__fences.{n}") for n in bound_columns}
     else:
         if fits_broadcast(bounds, max_groups):
             weighted = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"))
         else:
             weighted = narrow.groupBy(*[c(n) for n in narrow.columns]).agg(F.count(F.lit(1)).alias("__weight"))
         paired = join_small(weighted, bounds, by, max_groups)
-        bound = {n: F.col(n) for n in bound_columns}
 
     aggregates = [F.sum("__weight").alias("total_records")]
     for i in range(len(columns)):
@@ -152,7 +152,7 @@ def outlier_summary(
             aggregates += [F.max(F.col(f"{b}__{i}")).alias(f"{b}__{i}") for b in ("q1", "q3", "lower", "upper")]
     counted = paired.groupBy(*keys).agg(*aggregates)
     if not by:
-        counted = counted.select("*", *[bound[n].alias(n) for n in bound_columns])
+        counted = counted.select("*", fences).select("*", "__fences.*")
 
     entries = []
     for i, name in enumerate(columns):

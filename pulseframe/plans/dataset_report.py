@@ -58,7 +58,6 @@ def dataset_report(
     sketches, outlier counts, and row identity. The one-row results meet as scalar subqueries.
     """
     columns, numeric = df.columns, numeric_columns(df)
-    zero = F.lit(0).cast("bigint")
     total = missing_total(columns)
     plain = df.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -81,29 +80,30 @@ def dataset_report(
         )
         measured = attach(measured, copies, [])
     else:
-        measured = measured.withColumns({"duplicate_row_count": zero, "duplicate_percentage": F.lit(0.0)})
+        measured = measured.withColumns({
+            "duplicate_row_count": F.lit(0).cast("bigint"), "duplicate_percentage": F.lit(0.0)})
 
-    analysed = analysed_outliers(F.col("outliers"), limits)
+    zero = F.lit(0).cast("bigint")
     summed = lambda name: F.aggregate("outlier_analysis", zero, lambda acc, o: acc + o[name])
     overview = F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.lit(t).alias("data_type")) for n, t in schema_snapshot(df).items()
     ]).cast("array<struct<column_name:string,data_type:string>>")
-    described = (
-        measured.withColumn("outlier_analysis", analysed)
-        .withColumn("overall_outlier_percentage", percent(summed("outlier_count"), summed("valid_count"), 2))
-        .withColumn("file_name", F.lit(name))
-        .withColumn("column_count", F.lit(len(columns)))
-        .withColumn("schema_overview", overview)
-        .withColumn("date_detection_message", date_message(df))
-        .withColumn("has_valid_rows", (F.col("row_count") > 0) & F.lit(bool(columns)))
-        .withColumn("has_readable_columns", F.lit(bool(columns)))
-    )
+    usable = (F.col("row_count") > 0) & F.lit(bool(columns))
     measures = [F.col(n) for n in (
         "overall_missing_percentage", "duplicate_percentage", "overall_outlier_percentage")]
-    usable = F.col("has_valid_rows") & F.col("has_readable_columns")
     return (
-        described.withColumn("data_health_score", health.dataset_score(*measures, usable, limits))
-        .withColumn("detected_issues", health.dataset_issues(*measures, usable, limits))
+        measured.withColumn("outlier_analysis", analysed_outliers(F.col("outliers"), limits))
+        .withColumn("overall_outlier_percentage", percent(summed("outlier_count"), summed("valid_count"), 2))
+        .withColumns({
+            "file_name": F.lit(name),
+            "column_count": F.lit(len(columns)),
+            "schema_overview": overview,
+            "date_detection_message": date_message(df),
+            "has_valid_rows": usable,
+            "has_readable_columns": F.lit(bool(columns)),
+            "data_health_score": health.dataset_score(*measures, usable, limits),
+            "detected_issues": health.dataset_issues(*measures, usable, limits),
+        })
         .withColumn("health_status", health.dataset_status(F.col("data_health_score"), limits))
-        .select(*[c(f) for f in REPORT_FIELDS], "overall_outlier_percentage")
+        .select(*REPORT_FIELDS, "overall_outlier_percentage")
     )

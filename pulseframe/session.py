@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Stable batch keys need one time zone. The fallback threshold keeps quartile sketches of many batches in hash
-# aggregation: beyond it Spark would sort all input rows of a task first.
+# aggregation: beyond it Spark would sort all input rows of a task first. The last setting spares the
+# driver a stack capture per column expression while it builds a plan.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
