@@ -1,8 +1,8 @@
 from pulseframe.functions.columns import blank_as_null, c, is_missing, percent, sprintf
 from pulseframe.functions.keys import CALENDAR_MONTHS, CALENDAR_WEEKS, month_key, week_start
-from pulseframe.functions.joins import attach, fits_broadcast, join_small
+from pulseframe.functions.joins import BROADCAST_BYTES, attach, fits_broadcast, join_salted
 
 __all__ = [
-    "CALENDAR_MONTHS", "CALENDAR_WEEKS", "attach", "blank_as_null", "c", "fits_broadcast", "is_missing",
-    "join_small", "month_key", "percent", "sprintf", "week_start",
+    "BROADCAST_BYTES", "CALENDAR_MONTHS", "CALENDAR_WEEKS", "attach", "blank_as_null", "c", "fits_broadcast",
+    "is_missing", "join_salted", "month_key", "percent", "sprintf", "week_start",
 ]

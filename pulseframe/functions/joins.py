@@ -13,24 +13,19 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def fits_broadcast(small: DataFrame, max_groups: int | None) -> bool:
+def fits_broadcast(small: DataFrame, rows: int | None, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether ``rows`` rows of the shape of ``small`` stay within ``limit`` bytes."""
     row_bytes = 16 + sum(64 if isinstance(f.dataType, T.StringType) else 16 for f in small.schema.fields)
-    return max_groups is not None and max_groups * row_bytes <= BROADCAST_BYTES
+    return rows is not None and rows * row_bytes <= limit
 
 
-def join_small(
-    large: DataFrame, small: DataFrame, by: Sequence[str], max_groups: int | None, salts: int = SALTS
-) -> DataFrame:
-    """Inner join on ``by`` that keeps every row of a hot key spread out.
+def join_salted(large: DataFrame, small: DataFrame, by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner join on ``by`` for a small side too big to broadcast, with hot keys spread out.
 
-    ``max_groups`` is a proven upper bound on the rows of ``small`` (calendar months, say). If the bound keeps
-    the side under ``BROADCAST_BYTES`` it is broadcast and the large side does not move. Without a bound, or
-    beyond it, each small row is copied once per salt and the large side is hashed on (key, salt), so one key
-    with a third of all rows still lands on up to ``salts`` tasks. The salt is a hash of the row (a re-run task
-    repeats it), so the caller first folds copies of a row into one weighted row: see ``fits_broadcast``.
+    Each small row is copied once per salt and the large side is hashed on (key, salt), so one key with a third
+    of all rows still lands on up to ``salts`` tasks. The salt is a hash of the row, which a re-run task repeats;
+    the caller first folds copies of a row into one weighted row, since equal rows share a salt.
     """
-    if fits_broadcast(small, max_groups):
-        return large.join(F.broadcast(small), list(by))
     salted_small = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     mixed = F.xxhash64(*[c(n) for n in large.columns if n not in by])
     salted_large = large.withColumn("__salt", F.pmod(mixed, F.lit(salts)).cast("int"))

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pulseframe.functions import c, fits_broadcast, join_small, percent
+from pulseframe.functions import BROADCAST_BYTES, c, fits_broadcast, join_salted, percent
+from pulseframe.sources.staging import stage
 
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
@@ -113,13 +114,15 @@ def outlier_summary(
     accuracy: int = 10000,
     fence: float = 1.5,
     digits: int = 4,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per batch with an array of (column, q1, q3, iqr, lower_bound, upper_bound, valid_count,
     outlier_count, outlier_percentage). Values strictly outside a fence count.
 
     The second pass needs every row beside its batch's fences. ``max_groups`` (``CALENDAR_MONTHS`` for month
-    batches) proves that the fences may be broadcast; without it copies are folded into weights and the join
-    is salted. For a whole table the fences are one scalar row.
+    batches) can prove in advance that the fences may be broadcast. Where it cannot, the fences are written out
+    and counted first; if they turn out too big, copies of a row are folded into weights and the join is salted.
+    For a whole table the fences are one scalar row.
     """
     keys = [c(k) for k in by]
     if not columns:
@@ -134,11 +137,15 @@ def outlier_summary(
         paired = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"), fences)
         bound = {n: F.col(f"__fences.{n}") for n in bound_columns}
     else:
-        if fits_broadcast(bounds, max_groups):
+        if not fits_broadcast(bounds, max_groups, broadcast_bytes):
+            bounds = stage(bounds, "fences")
+            max_groups = bounds.count()
+        if fits_broadcast(bounds, max_groups, broadcast_bytes):
             weighted = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"))
+            paired = weighted.join(F.broadcast(bounds), list(by))
         else:
             weighted = narrow.groupBy(*[c(n) for n in narrow.columns]).agg(F.count(F.lit(1)).alias("__weight"))
-        paired = join_small(weighted, bounds, by, max_groups)
+            paired = join_salted(weighted, bounds, by)
 
     aggregates = [F.sum("__weight").alias("total_records")]
     for i in range(len(columns)):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pulseframe.operators.cleaning import blank_to_null, check_dates, keep_year, validation_summary
 from pulseframe.rules import Roles
-from pulseframe.sources.files import read_parquet, read_typed_csv, write_parquet
+from pulseframe.sources.files import PURCHASE_SCHEMA, read_parquet, read_typed_csv, write_parquet
 
 
 def prepare_purchases(raw: DataFrame, year: int, date_column: str = Roles.date) -> DataFrame:
@@ -19,10 +19,10 @@ def prepare_purchases(raw: DataFrame, year: int, date_column: str = Roles.date)
 
 def prepare_to_parquet(
     spark: SparkSession, csv_path: str, parquet_path: str, year: int, date_column: str = Roles.date, *,
-    multi_line: bool = True,
+    schema: T.StructType = PURCHASE_SCHEMA, multi_line: bool = True,
 ) -> DataFrame:
     """Read, validate, clean, write, and return the written table. Validation parses only the date column."""
-    raw = read_typed_csv(spark, csv_path, multi_line=multi_line)
+    raw = read_typed_csv(spark, csv_path, schema, multi_line=multi_line)
     check_dates(validation_summary(raw, date_column, year), date_column, f"genuine {year} purchase")
     prepared = prepare_purchases(raw, year, date_column)
     write_parquet(prepared, parquet_path)

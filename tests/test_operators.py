@@ -102,8 +102,9 @@ def test_outliers_with_salt_equal_outliers_with_broadcast(spark):
         F.when(F.col("id") % 3 > 0, 5.0).when(F.col("id") % 50 == 0, None).otherwise((F.col("id") % 97).cast("double")).alias("v"),
     )
     one = numeric.iqr_outliers(df, ["v"], ["k"], max_groups=8).orderBy("k").collect()
-    two = numeric.iqr_outliers(df, ["v"], ["k"]).orderBy("k").collect()
-    assert one == two and len(one) == 8
+    counted = numeric.iqr_outliers(df, ["v"], ["k"]).orderBy("k").collect()
+    salted = numeric.iqr_outliers(df, ["v"], ["k"], broadcast_bytes=0).orderBy("k").collect()
+    assert one == counted == salted and len(one) == 8
     brute = df.toPandas()
     for row in one:
         values = sorted(brute[(brute.k == row["k"]) & brute.v.notna()].v)

@@ -53,8 +53,10 @@ def test_validation_reads_only_the_date(spark, sf_dir):
 
 def test_fences_are_broadcast_only_under_a_proven_bound(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    salted = plan(numeric.iqr_outliers(events, ["value"], ["event_type"]))
+    salted = plan(numeric.iqr_outliers(events, ["value"], ["event_type"], broadcast_bytes=0))
     assert "__salt" in salted
+    counted = plan(numeric.iqr_outliers(events, ["value"], ["event_type"]))
+    assert "__salt" not in counted and "/fences-" in counted
     bounds = numeric.quartile_bounds(events, ["value"], ["event_type"])
     assert not fits_broadcast(bounds, None)
     assert not fits_broadcast(bounds, 10**9)

@@ -307,7 +307,7 @@ def _duplicates_of_tables(spark, sf_dir):
 
 
 def _type_outliers(spark, sf_dir):
-    """Event values per event type. Nothing bounds the number of types, so the fences are joined with salt."""
+    """Event values per event type. Nothing bounds the number of types, so the fences are counted before use."""
     events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "batch")
     return rounded(numeric.iqr_outliers(events, ["value"], ["batch"], denominator="valid"))
 
@@ -450,7 +450,8 @@ def queries() -> dict:
             monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS)),
         "batch_iqr_outliers_valid": lambda s, d: rounded(numeric.iqr_outliers(
             monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS, denominator="valid")),
-        "batch_iqr_outliers_salted": lambda s, d: rounded(numeric.iqr_outliers(monthly(s, d), NUMERIC, ["batch"])),
+        "batch_iqr_outliers_salted": lambda s, d: rounded(numeric.iqr_outliers(
+            monthly(s, d), NUMERIC, ["batch"], broadcast_bytes=0)),
         "event_type_outliers": _type_outliers,
         "dataset_iqr_outliers": _dataset_outliers,
         "batch_growth": lambda s, d: health.with_growth(

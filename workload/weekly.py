@@ -8,13 +8,15 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseframe.operators import alerts, cleaning, weekly
+from pulseframe.operators.numeric import numeric_columns, numeric_stats
+from pulseframe.operators.schema import schema_snapshot
 from pulseframe.plans import batch_health as bh, views, weekly_drift as wd
 from pulseframe.plans.alerting import build_alerts
-from pulseframe.operators.schema import schema_snapshot
+from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
 from pulseframe.sources import files, report_store
 from pulseframe.sources.alert_store import update_history
-from pulseframe.sources.staging import fresh_path
+from pulseframe.sources.staging import fresh_path, stage
 from workload import monthly as mo
 from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, table
 
@@ -39,16 +41,13 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wd.weekly_fingerprints(scores(spark, sf_dir), DRIFT)
 
 
-def behavior(spark: SparkSession, sf_dir: str, limits: AlertRules = AlertRules()) -> DataFrame:
-    return alerts.behavior_alerts(fingerprints(spark, sf_dir), GENERATED, limits)
-
-
-def critical_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.health_alerts(mo.month_health(spark, sf_dir), GENERATED)
+def stored_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Weekly fingerprints and monthly health as written tables, for queries that use them more than once."""
+    return stage(fingerprints(spark, sf_dir), "weekly"), stage(mo.month_health(spark, sf_dir), "monthly")
 
 
-def every_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_alerts(fingerprints(spark, sf_dir), mo.month_health(spark, sf_dir), GENERATED, batch="batch")
+def every_alert(weeks: DataFrame, months: DataFrame) -> DataFrame:
+    return build_alerts(weeks, months, GENERATED, batch="batch")
 
 
 def flat_alerts(df: DataFrame) -> DataFrame:
@@ -59,52 +58,62 @@ def flat_alerts(df: DataFrame) -> DataFrame:
     )
 
 
-def earlier_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def earlier_history(weeks: DataFrame, months: DataFrame) -> DataFrame:
     """An alert history as an older release would have left it: other ids, a looser critical limit, and a
     warning for every month that is not critical."""
-    older = behavior(spark, sf_dir, replace(AlertRules(), critical_below=50.0))
+    older = alerts.behavior_alerts(weeks, GENERATED, replace(AlertRules(), critical_below=50.0))
     renamed = older.withColumn("alert_id", F.concat(F.lit("legacy-"), "alert_id"))
-    warned = mo.month_health(spark, sf_dir).withColumn("health_status", F.when(
-        F.col("health_status") == "Warning", "Critical"))
-    months = alerts.health_alerts(warned, "2023-01-01T00:00:00+00:00").withColumn("severity", F.lit("WARNING"))
-    return renamed.unionByName(months)
+    warned = months.withColumn("health_status", F.when(F.col("health_status") == "Warning", "Critical"))
+    lesser = alerts.health_alerts(warned, "2023-01-01T00:00:00+00:00").withColumn("severity", F.lit("WARNING"))
+    return renamed.unionByName(lesser)
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = alerts.active_history(earlier_history(spark, sf_dir), YEAR_1998)
-    return alerts.merge_history(history, every_alert(spark, sf_dir))
+    results = stored_results(spark, sf_dir)
+    return alerts.merge_history(alerts.active_history(earlier_history(*results), YEAR_1998), every_alert(*results))
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge through the history store: two runs over the same alerts leave one alert per batch."""
-    path = fresh_path(spark, "alert-history")
-    update_history(earlier_history(spark, sf_dir), path, YEAR_1998)
-    return update_history(every_alert(spark, sf_dir), path, YEAR_1998)
+    path, results = fresh_path(spark, "alert-history"), stored_results(spark, sf_dir)
+    update_history(earlier_history(*results), path, YEAR_1998)
+    return update_history(every_alert(*results), path, YEAR_1998)
+
+
+def week_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weeks, months = stored_results(spark, sf_dir)
+    return alerts.pipeline_status(weeks, every_alert(weeks, months))
 
 
 # ---------------------------------------------------------------------------------------------- files and stores
 
-def csv_copy(spark: SparkSession, sf_dir: str) -> str:
-    """The raw purchases as CSV files; every seventh order line of the export lost its date."""
-    path = fresh_path(spark, "purchases") + ".csv"
-    raw = raw_purchases(spark, sf_dir)
-    spoiled = raw.withColumn("order_date", F.when(
-        F.col("product_code") % 7 == 0, F.lit("unknown")).otherwise(F.date_format("order_date", "yyyy-MM-dd")))
-    spoiled.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+def csv_export(df: DataFrame) -> str:
+    """Write CSV files with a header and blanks kept as they are."""
+    path = fresh_path(df.sparkSession, "purchases") + ".csv"
+    df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
 def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = raw_purchases(spark, sf_dir).schema
-    return files.read_typed_csv(spark, csv_copy(spark, sf_dir), schema, multi_line=False)
+    """The raw purchases through CSV files in which every seventh product lost its dates."""
+    raw = raw_purchases(spark, sf_dir)
+    spoiled = raw.withColumn("order_date", F.when(
+        F.col("product_code") % 7 == 0, F.lit("unknown")).otherwise(F.date_format("order_date", "yyyy-MM-dd")))
+    return files.read_typed_csv(spark, csv_export(spoiled), raw.schema, multi_line=False)
+
+
+def prepared_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole preparation: CSV export, typed scan, validation, cleaning, Parquet."""
+    raw = raw_purchases(spark, sf_dir)
+    return prepare_to_parquet(
+        spark, csv_export(raw), fresh_path(spark, "prepared"), 1998, ROLES.date, schema=raw.schema, multi_line=False)
 
 
 def inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "orders") + ".csv"
     table(spark, sf_dir, "orders").write.option("header", True).csv(path)
     loaded = files.read_any_csv(spark, path)
-    from pulseframe.operators.numeric import numeric_columns, numeric_stats
     return mo.rounded(numeric_stats(loaded, numeric_columns(loaded), denominator="valid"))
 
 
@@ -241,6 +250,7 @@ def queries() -> dict:
     return {
         "validation_summary": lambda s, d: cleaning.validation_summary(typed_csv(s, d), ROLES.date, 1998),
         "csv_roundtrip": typed_csv,
+        "prepare_pipeline": prepared_year,
         "any_csv": inferred_csv,
         "json_roundtrip": health_json,
         "json_missing_map": missing_json,
@@ -268,13 +278,14 @@ def queries() -> dict:
             F.round(F.col("feature_comparison")["duplicate_rate"]["z_score"], 4).alias("duplicate_z"),
             "behavioral_similarity_score", "drift_status",
             F.array_join(F.transform("top_deviating_features", lambda x: x["feature"]), ",").alias("top_features")),
-        "behavior_alerts": lambda s, d: flat_alerts(behavior(s, d)),
-        "health_alerts": lambda s, d: flat_alerts(critical_months(s, d)),
-        "all_alerts": lambda s, d: flat_alerts(every_alert(s, d)),
+        "behavior_alerts": lambda s, d: flat_alerts(alerts.behavior_alerts(fingerprints(s, d), GENERATED)),
+        "health_alerts": lambda s, d: flat_alerts(alerts.health_alerts(mo.month_health(s, d), GENERATED)),
+        "all_alerts": lambda s, d: flat_alerts(every_alert(fingerprints(s, d), mo.month_health(s, d))),
         "merged_history": lambda s, d: flat_alerts(merged(s, d)),
         "stored_history": lambda s, d: flat_alerts(stored_alerts(s, d)),
-        "pipeline_status": lambda s, d: alerts.pipeline_status(fingerprints(s, d), every_alert(s, d)),
-        "alert_listing": lambda s, d: alerts.alert_listing(every_alert(s, d)),
+        "pipeline_status": week_status,
+        "alert_listing": lambda s, d: alerts.alert_listing(
+            every_alert(fingerprints(s, d), mo.month_health(s, d))),
         "labelled_deviations": lambda s, d: mo.long_integers(r(views.labelled_deviations(scores(s, d)))),
         "week_comparison": lambda s, d: r(views.week_comparison(comparison(s, d))),
         "weekly_trend": lambda s, d: views.weekly_trend(scores(s, d)),
@@ -301,6 +312,7 @@ def oracle_sql() -> dict[str, str]:
             min(d) FILTER (WHERE year(d) = 1998) AS earliest_date, max(d) FILTER (WHERE year(d) = 1998) AS latest_date
             FROM (SELECT {spoiled} AS d FROM raw)"""),
         "csv_roundtrip": mo.with_purchases(f"SELECT * REPLACE ({spoiled} AS order_date) FROM raw"),
+        "prepare_pipeline": mo.with_purchases("SELECT * FROM purchases WHERE year(order_date) = 1998"),
         "any_csv": mo.stats_sql("orders", "", ["o_orderkey", "o_custkey", "o_totalprice"], "valid"),
         "json_roundtrip": health(f"SELECT {mo.HEALTH_COLUMNS} FROM health"),
         "json_missing_map": health(
