@@ -16,10 +16,10 @@ def growth_rate(records: Column, previous: Column) -> Column:
 
 def with_growth(batches: DataFrame, batch: str = "batch") -> DataFrame:
     """Add ``previous_records`` and ``growth_rate``. The window runs over one row per batch, never over facts."""
-    in_order = Window.orderBy(batch)
-    return batches.withColumn("previous_records", F.lag("total_records").over(in_order)).withColumn(
-        "growth_rate", growth_rate(F.col("total_records"), F.col("previous_records"))
-    )
+    previous = F.lag("total_records").over(Window.orderBy(batch))
+    return batches.withColumns({
+        "previous_records": previous, "growth_rate": growth_rate(F.col("total_records"), previous)
+    })
 
 
 def batch_status(score: Column, limits: HealthRules) -> Column:

@@ -50,11 +50,9 @@ def weekly_features(
         WEEK, F.col("duplicate_percentage").alias("duplicate_rate")
     )
     rate = percent(missing_total(columns), F.col("purchase_record_count") * len(columns))
-    return (
-        measures.withColumn("missing_value_rate", rate)
-        .join(variety, WEEK)
-        .join(copies, WEEK)
-        .select(WEEK, *[F.col(f).cast("double").alias(f) for f in FEATURES], "first_date", "last_date")
+    feature = lambda name: rate if name == "missing_value_rate" else F.col(name).cast("double")
+    return measures.join(variety, WEEK).join(copies, WEEK).select(
+        WEEK, *[feature(f).alias(f) for f in FEATURES], "first_date", "last_date"
     )
 
 
@@ -108,26 +106,21 @@ def compare_to_history(features: DataFrame, limits: DriftRules = DriftRules()) -
     tall = features.select(WEEK, "first_date", "last_date", F.inline(entries))
     own = Window.partitionBy("feature")
     before = own.orderBy(WEEK).rowsBetween(Window.unboundedPreceding, -1)
-    with_baseline = (
-        tall.withColumn("historical_observations", F.count(F.lit(1)).over(before))
-        .withColumn("baseline_mean", F.avg("current").over(before))
-        .withColumn("baseline_stddev", F.stddev_samp("current").over(before))
-        .withColumn("__first", F.min("first_date").over(own))
-        .withColumn("__last", F.max("last_date").over(own))
-    )
+    with_baseline = tall.withColumns({
+        "historical_observations": F.count(F.lit(1)).over(before),
+        "baseline_mean": F.avg("current").over(before),
+        "baseline_stddev": F.stddev_samp("current").over(before),
+        "__first": F.min("first_date").over(own),
+        "__last": F.max("last_date").over(own),
+    })
     flag, note = partial_week_columns(limits.period, F.col("__first"), F.col("__last"))
     z = z_score(
         F.col("current"), F.col("baseline_mean"), F.col("baseline_stddev"), F.col("historical_observations"), limits
     )
-    cut_volume = F.col("is_partial_source_window") & (F.col("feature") == rules.VOLUME_FEATURE)
-    return (
-        with_baseline.withColumn("is_partial_source_window", flag)
-        .withColumn("source_window_note", note)
-        .withColumn("z_score", F.when(~cut_volume, z))
-        .select(
-            WEEK, "position", "feature", "current", "historical_observations", "baseline_mean", "baseline_stddev",
-            "z_score", "is_partial_source_window", "source_window_note",
-        )
+    return with_baseline.select(
+        WEEK, "position", "feature", "current", "historical_observations", "baseline_mean", "baseline_stddev",
+        F.when(~(flag & (F.col("feature") == rules.VOLUME_FEATURE)), z).alias("z_score"),
+        flag.alias("is_partial_source_window"), note.alias("source_window_note"),
     )
 
 
@@ -160,13 +153,12 @@ def weekly_drift(comparison: DataFrame, limits: DriftRules = DriftRules()) -> Da
     enough = F.col("historical_observations") >= limits.min_history_weeks
     similarity = F.greatest(F.lit(0.0), F.lit(100.0) - F.col("behavioral_distance") * limits.points_per_z)
     scored = F.when(enough & F.col("behavioral_distance").isNotNull(), F.round(similarity, 2))
-    return (
-        weeks.withColumn("baseline_ready", enough)
-        .withColumn("behavioral_similarity_score", scored)
-        .withColumn("drift_status", drift_status(
-            F.col("behavioral_similarity_score"), F.col("historical_observations"), limits))
-        .withColumn("top_deviating_features", top_features(limits.top_features))
-    )
+    return weeks.withColumns({
+        "baseline_ready": enough,
+        "behavioral_similarity_score": scored,
+        "drift_status": drift_status(scored, F.col("historical_observations"), limits),
+        "top_deviating_features": top_features(limits.top_features),
+    })
 
 
 def top_features(count: int) -> Column:

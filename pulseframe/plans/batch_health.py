@@ -120,12 +120,12 @@ def single_batch_health(
     profiled = profile_batches(table, present, limits=limits, denominator="valid", identity=identity)
     previous = F.lit(previous_records).cast("bigint")
     drift = drift_literal(previous_schema, schema_snapshot(table))
-    compared = (
-        profiled.withColumn(batch, F.lit(name))
-        .withColumn("previous_records", previous)
-        .withColumn("growth_rate", growth_rate(F.col("total_records"), F.col("previous_records")))
-        .withColumn("schema_drift", drift)
-    )
+    compared = profiled.withColumns({
+        batch: F.lit(name),
+        "previous_records": previous,
+        "growth_rate": growth_rate(F.col("total_records"), previous),
+        "schema_drift": drift,
+    })
     return with_batch_score(compared, limits)
 
 
@@ -142,13 +142,14 @@ def health_documents(health: DataFrame, snapshot: Mapping[str, str], batch: str
     schema_map = F.map_from_arrays(
         F.array(*[F.lit(n) for n in snapshot]), F.array(*[F.lit(t) for t in snapshot.values()])
     )
-    return (
-        health.withColumn("month", c(batch))
-        .withColumn("missing_values_per_column", by_column("missing", lambda m: m["missing_count"]))
-        .withColumn("missing_percentage_per_column", by_column("missing", lambda m: m["missing_percentage"]))
-        .withColumn("numerical_statistics", by_column("numeric", stats))
-        .withColumn("outlier_analysis", by_column("outliers", fences))
-        .withColumn("schema", schema_map)
-        .withColumn("severity", F.col("health_status"))
-        .select("month", *FINGERPRINT_FIELDS)
+    derived = {
+        "missing_values_per_column": by_column("missing", lambda m: m["missing_count"]),
+        "missing_percentage_per_column": by_column("missing", lambda m: m["missing_percentage"]),
+        "numerical_statistics": by_column("numeric", stats),
+        "outlier_analysis": by_column("outliers", fences),
+        "schema": schema_map,
+        "severity": F.col("health_status"),
+    }
+    return health.select(
+        c(batch).alias("month"), *[derived[f].alias(f) if f in derived else F.col(f) for f in FINGERPRINT_FIELDS]
     )

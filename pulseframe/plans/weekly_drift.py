@@ -40,12 +40,12 @@ def weekly_fingerprints(scores: DataFrame, limits: DriftRules = DriftRules()) ->
     scored = F.transform(
         F.filter("features", lambda f: f["z_score"].isNotNull()), lambda f: f["feature"]
     )
-    return (
-        scores.withColumn("week", F.date_format(WEEK, "yyyy-MM-dd"))
-        .withColumn("similarity_scored_features", scored)
-        .withColumn("excluded_from_similarity_features", F.when(
-            F.col("is_partial_source_window"), left_out).otherwise(F.slice(left_out, 1, 0)))
-        .withColumn("behavioral_features", feature_map(lambda f: f["current"]))
-        .withColumn("feature_comparison", feature_map(comparison))
-        .select(*FINGERPRINT_FIELDS)
-    )
+    derived = {
+        "week": F.date_format(WEEK, "yyyy-MM-dd"),
+        "similarity_scored_features": scored,
+        "excluded_from_similarity_features": F.when(
+            F.col("is_partial_source_window"), left_out).otherwise(F.slice(left_out, 1, 0)),
+        "behavioral_features": feature_map(lambda f: f["current"]),
+        "feature_comparison": feature_map(comparison),
+    }
+    return scores.select(*[derived[f].alias(f) if f in derived else F.col(f) for f in FINGERPRINT_FIELDS])
