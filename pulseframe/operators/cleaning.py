@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from pulseframe.functions import blank_as_null, c, month_key, week_start
+from pulseframe.functions import blank_as_null, c, month_key, month_label, week_start
 
 
 def blank_to_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -49,9 +49,25 @@ def check_dates(summary: DataFrame, date_column: str, what: str) -> None:
 
 
 def with_month(df: DataFrame, date_column: str, name: str = "batch") -> DataFrame:
-    """Add the month key; rows without a date belong to no batch and are dropped."""
+    """Add the month key, a DATE; rows without a date belong to no batch and are dropped."""
     return df.filter(c(date_column).isNotNull()).withColumn(name, month_key(c(date_column)))
 
 
+def with_month_label(batches: DataFrame, name: str = "batch") -> DataFrame:
+    """Render the month key of a result as ``yyyy-MM``."""
+    return batches.withColumn(name, month_label(c(name)))
+
+
 def with_week(df: DataFrame, date_column: str, name: str = "week_start") -> DataFrame:
     return df.filter(c(date_column).isNotNull()).withColumn(name, week_start(c(date_column)))
+
+
+def in_date_ranges(df: DataFrame, date_column: str, spread: Iterable[str]) -> DataFrame:
+    """Lay rows out in date ranges before they are written.
+
+    Costs one shuffle. Afterwards a task sees few weeks or months, so the partial aggregates, distinct values and
+    quartile sketches of every later plan fold before they are shuffled, and date filters skip whole row groups.
+    ``spread`` names columns that tell the rows of one date apart, best a key of the source: a date with very
+    many rows is split by their hash. Rows that agree in all of them stay together.
+    """
+    return df.repartitionByRange(c(date_column), F.xxhash64(*[c(n) for n in spread]))

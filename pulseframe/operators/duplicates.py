@@ -9,34 +9,23 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pulseframe.functions import c, percent
 from pulseframe.operators.missing import source_columns
 
-_ATOMIC = (
-    T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType,
-)
+# Length of a SHA-256 digest in hexadecimal.
+DIGEST_LENGTH = 64
 
 
-def _rendered(field: T.StructField) -> Column:
-    """Text that differs whenever the value differs, and agrees where grouping would agree (-0.0 and 0.0)."""
-    value = c(field.name)
-    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        value = value + F.lit(0.0).cast(field.dataType)
-    elif isinstance(field.dataType, T.TimestampType):
-        value = F.unix_micros(value)
-    elif isinstance(field.dataType, T.BinaryType):
-        value = F.hex(value)
-    return value.cast("string")
+def row_identity(df: DataFrame, columns: Sequence[str], identity: str) -> list[Column]:
+    """The columns that tell rows apart. With ``"digest"`` a text of 64 bytes or more is replaced by its SHA-256
+    digest, which is 64 characters long; a shorter text stays itself, so the two cannot be confused. NULLs stay
+    NULL and all other types are compared by value."""
+    def key(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if identity == "digest" and isinstance(kind, T.StringType):
+            return F.when(F.octet_length(c(name)) < DIGEST_LENGTH, c(name)).otherwise(F.sha2(c(name), 256))
+        if identity == "digest" and isinstance(kind, T.BinaryType):
+            return F.sha2(c(name), 256)
+        return c(name)
 
-
-def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
-    """SHA-256 over the length-prefixed values of a row: 32 bytes however wide the row is.
-
-    A NULL is written as ``n`` and a value as ``<length>:<text>``, so shifted values, NULLs and separators
-    inside a text cannot make two different rows look alike.
-    """
-    pieces = []
-    for name in columns:
-        text = _rendered(df.schema[name])
-        pieces.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n")))
-    return F.unhex(F.sha2(F.concat(*pieces), 256))
+    return [key(name).alias(f"__row{i}") for i, name in enumerate(columns)]
 
 
 def duplicate_rows(
@@ -45,18 +34,13 @@ def duplicate_rows(
     """Records, distinct rows, duplicates and their percentage per batch.
 
     Copies are counted by grouping on the row itself, so the map side already folds equal rows together and a
-    row repeated a billion times costs one entry per task. ``identity="digest"`` shuffles a 32-byte digest in
-    place of the row, which pays off for wide rows and long texts; rows holding arrays, maps or structs are
-    always grouped by value.
+    row repeated a billion times costs one entry per task. ``identity="digest"`` keeps long texts out of the
+    shuffle (see ``row_identity``), which bounds the width of what is moved.
     """
     columns = source_columns(df, by)
     keys = [c(k) for k in by]
-    atomic = all(isinstance(df.schema[n].dataType, _ATOMIC) for n in columns)
-    if identity == "digest" and atomic and columns:
-        rows, row_key = df.select(*keys, row_digest(df, columns).alias("__row")), ["__row"]
-    else:
-        rows, row_key = df, columns
-    copies = rows.groupBy(*keys, *[c(n) for n in row_key]).agg(F.count(F.lit(1)).alias("__copies"))
+    rows = df.select(*keys, *row_identity(df, columns, identity))
+    copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__copies"))
     counted = copies.groupBy(*keys).agg(
         F.coalesce(F.sum("__copies"), F.lit(0)).cast("bigint").alias("total_records"),
         F.count(F.lit(1)).alias("unique_records"),

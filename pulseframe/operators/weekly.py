@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulseframe import rules
-from pulseframe.functions import c, percent, sprintf
+from pulseframe.functions import c, percent, sprintf, week_start
 from pulseframe.operators.cleaning import with_week
 from pulseframe.operators.duplicates import duplicate_rows
 from pulseframe.operators.missing import missing_count_aggregates, missing_total, source_columns
@@ -59,8 +59,8 @@ def weekly_features(
 def partial_week_columns(period: str, first: Column, last: Column) -> tuple[Column, Column]:
     """Flag and note of a week that the source, running from ``first`` to ``last``, covers only in part."""
     day = lambda value: F.date_format(value, "yyyy-MM-dd")
-    cut_front = (F.to_date(F.date_trunc("week", first)) == F.col(WEEK)) & (first > F.col(WEEK))
-    cut_back = (F.to_date(F.date_trunc("week", last)) == F.col(WEEK)) & (last < F.date_add(F.col(WEEK), 6))
+    cut_front = (week_start(first) == F.col(WEEK)) & (first > F.col(WEEK))
+    cut_back = (week_start(last) == F.col(WEEK)) & (last < F.date_add(F.col(WEEK), 6))
     note = (
         F.when(cut_front & cut_back, F.lit(rules.NOTE_BOTH_ENDS % period))
         .when(cut_front, sprintf(rules.NOTE_FIRST_WEEK, F.lit(period), day(first)))

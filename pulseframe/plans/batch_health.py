@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from pulseframe.functions import CALENDAR_MONTHS, attach, c, percent
+from pulseframe.operators.cleaning import with_month_label
 from pulseframe.operators.duplicates import duplicate_rows
 from pulseframe.operators.health import growth_rate, with_batch_score, with_growth
 from pulseframe.operators.missing import (
@@ -81,12 +82,15 @@ def batch_health(
 ) -> DataFrame:
     """One row per batch with profile, growth, schema drift, anomalies, deductions, score and status.
 
+    A month key as ``with_month`` adds it comes out as ``yyyy-MM``; any other batch column stays as it is.
     ``schema_changes`` is the output of ``schema_drift`` over the batches' own schemas. Without it every batch
     has the schema of ``df`` and the first batch is the baseline.
     """
     profiled = profile_batches(
         df, numeric, [batch], limits=limits, max_groups=max_batches, identity=identity
     )
+    if isinstance(df.schema[batch].dataType, T.DateType):
+        profiled = with_month_label(profiled, batch)
     grown = with_growth(profiled, batch)
     snapshot = schema_snapshot(df, [batch])
     same, first = drift_literal(snapshot, snapshot), drift_literal(None, snapshot)

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from pulseframe.operators.cleaning import blank_to_null, check_dates, keep_year, validation_summary
+from pulseframe.operators.cleaning import (
+    blank_to_null, check_dates, in_date_ranges, keep_year, validation_summary,
+)
 from pulseframe.rules import Roles
 from pulseframe.sources.files import PURCHASE_SCHEMA, read_parquet, read_typed_csv, write_parquet
 
@@ -19,11 +21,17 @@ def prepare_purchases(raw: DataFrame, year: int, date_column: str = Roles.date)
 
 def prepare_to_parquet(
     spark: SparkSession, csv_path: str, parquet_path: str, year: int, date_column: str = Roles.date, *,
-    schema: T.StructType = PURCHASE_SCHEMA, multi_line: bool = True,
+    schema: T.StructType = PURCHASE_SCHEMA, multi_line: bool = True, spread: Sequence[str] = (),
 ) -> DataFrame:
-    """Read, validate, clean, write, and return the written table. Validation parses only the date column."""
+    """Read, validate, clean, write, and return the written table. Validation parses only the date column.
+
+    With ``spread`` the rows are laid out in date ranges (see ``in_date_ranges``); without it they keep the order
+    of the source and nothing is shuffled.
+    """
     raw = read_typed_csv(spark, csv_path, schema, multi_line=multi_line)
     check_dates(validation_summary(raw, date_column, year), date_column, f"genuine {year} purchase")
     prepared = prepare_purchases(raw, year, date_column)
+    if spread:
+        prepared = in_date_ranges(prepared, date_column, spread)
     write_parquet(prepared, parquet_path)
     return read_parquet(spark, parquet_path, prepared.schema)

@@ -1,5 +1,6 @@
 """Cleaning, missing values, duplicates, numeric operators, sources and staging."""
 
+import hashlib
 import math
 from datetime import date, datetime
 
@@ -14,6 +15,16 @@ from pulseframe.plans.prepare import prepare_purchases, prepare_to_parquet
 from pulseframe.sources import files, staging
 
 
+def test_date_ranges_keep_all_rows_and_split_a_hot_date(spark):
+    df = spark.range(3000, numPartitions=4).select(
+        "id", F.date_add(F.lit(date(2024, 1, 1)), F.when(F.col("id") % 3 == 0, 7).otherwise((F.col("id") % 90).cast("int"))).alias("d"))
+    laid = cleaning.in_date_ranges(df, "d", ["id"]).withColumn("part", F.spark_partition_id())
+    assert laid.count() == 3000 and laid.select("id").distinct().count() == 3000
+    spans = laid.groupBy("part").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count("*").alias("n"))
+    rows = sorted(spans.collect(), key=lambda r: (r["low"], r["high"]))
+    assert all(a["high"] <= b["low"] for a, b in zip(rows, rows[1:]))
+
+
 def test_blank_strings_become_null_and_the_rest_is_untouched(spark):
     df = spark.createDataFrame([("", " x ", ""), ("   ", "\t", "  "), (None, "y", "z")], "a string, b string, keep string")
     rows = cleaning.blank_to_null(df, ["a", "b"]).collect()
@@ -32,7 +43,11 @@ def test_validation_counts_bad_dates_and_the_year(spark):
 
 def test_batch_keys(spark):
     df = spark.createDataFrame([(date(2022, 1, 1),), (None,)], "d date")
-    assert cleaning.with_month(df, "d").collect() == [Row(d=date(2022, 1, 1), batch="2022-01")]
+    months = cleaning.with_month(spark.createDataFrame([(date(2022, 2, 27),), (None,)], "d date"), "d")
+    assert months.collect() == [Row(d=date(2022, 2, 27), batch=date(2022, 2, 1))]
+    assert cleaning.with_month_label(months).first()["batch"] == "2022-02"
+    moments = spark.createDataFrame([(datetime(2022, 2, 27, 23, 59),)], "d timestamp")
+    assert cleaning.with_week(moments, "d").first()["week_start"] == date(2022, 2, 21)
     assert cleaning.with_week(df, "d").first()["week_start"] == date(2021, 12, 27)
 
 
@@ -88,7 +103,10 @@ def test_duplicates_of_nested_rows_and_of_nothing(spark):
     assert (empty["total_records"], empty["duplicate_records"], empty["duplicate_percentage"]) == (0, 0, 0.0)
 
 
-def test_timestamps_and_binary_in_digests(spark):
+def test_long_texts_timestamps_and_binary_in_digests(spark):
+    long = "x" * 64
+    texts = spark.createDataFrame([(long,), (long,), (long + "y",), (hashlib.sha256(long.encode()).hexdigest()[:63],)], "s string")
+    assert duplicates.duplicate_rows(texts, identity="digest").first()["unique_records"] == 3
     rows = [(datetime(2024, 1, 1, 0, 0, 0, 1), b"\x00"), (datetime(2024, 1, 1, 0, 0, 0, 2), b"\x00"),
             (datetime(2024, 1, 1, 0, 0, 0, 1), b"\xff"), (datetime(2024, 1, 1, 0, 0, 0, 1), b"\xfe")]
     df = spark.createDataFrame(rows, "t timestamp, b binary")

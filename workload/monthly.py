@@ -30,6 +30,10 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.with_month(purchases(spark, sf_dir), ROLES.date)
 
 
+def labelled(batches: DataFrame) -> DataFrame:
+    return cleaning.with_month_label(batches)
+
+
 def month_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bh.batch_health(monthly(spark, sf_dir), NUMERIC)
 
@@ -296,7 +300,7 @@ def _dataset_outliers_sql() -> str:
 
 
 def _duplicates_of_tables(spark, sf_dir):
-    """Whole rows of the purchase table and of the documents without their id, by digest."""
+    """Whole rows of the purchase table and of the documents without their id, with long texts by digest."""
     docs = table(spark, sf_dir, "documents").drop("doc_id")
     talks = table(spark, sf_dir, "conversations").drop("conv_id", "turn")
     sources = {"purchases": purchases(spark, sf_dir), "documents": docs, "conversations": talks}
@@ -431,31 +435,33 @@ def queries() -> dict:
     out = {
         "prepare_clean": lambda s, d: cleaning.keep_year(
             cleaning.blank_to_null(raw_purchases(s, d), STRINGS), ROLES.date, 1998),
-        "batch_missing": lambda s, d: missing.column_missing(monthly(s, d), ["batch"]),
+        "batch_missing": lambda s, d: labelled(missing.column_missing(monthly(s, d), ["batch"])),
         "batch_missing_total": lambda s, d: long_integers(
-            missing.missing_summary(monthly(s, d), ["batch"]).drop("missing")),
+            labelled(missing.missing_summary(monthly(s, d), ["batch"]).drop("missing"))),
         "dataset_missing_blank": lambda s, d: missing.column_missing(
             raw_purchases(s, d), blank_is_missing=True, digits=2),
-        "batch_duplicates": lambda s, d: duplicates.duplicate_rows(monthly(s, d), ["batch"]),
-        "batch_duplicates_digest": lambda s, d: duplicates.duplicate_rows(
-            monthly(s, d), ["batch"], identity="digest"),
+        "batch_duplicates": lambda s, d: labelled(duplicates.duplicate_rows(monthly(s, d), ["batch"])),
+        "batch_duplicates_digest": lambda s, d: labelled(duplicates.duplicate_rows(
+            monthly(s, d), ["batch"], identity="digest")),
         "dataset_duplicates": _duplicates_of_tables,
-        "batch_numeric_stats": lambda s, d: rounded(numeric.numeric_stats(monthly(s, d), NUMERIC, ["batch"])),
-        "batch_numeric_stats_nonnull": lambda s, d: rounded(
-            numeric.numeric_stats(monthly(s, d), NUMERIC, ["batch"], "valid")),
+        "batch_numeric_stats": lambda s, d: rounded(labelled(
+            numeric.numeric_stats(monthly(s, d), NUMERIC, ["batch"]))),
+        "batch_numeric_stats_nonnull": lambda s, d: rounded(labelled(
+            numeric.numeric_stats(monthly(s, d), NUMERIC, ["batch"], "valid"))),
         "dataset_numeric_summary": _numeric_of_lineitem,
-        "batch_quartiles": lambda s, d: rounded(numeric.quartiles(monthly(s, d), NUMERIC, ["batch"])),
+        "batch_quartiles": lambda s, d: rounded(labelled(
+            numeric.quartiles(monthly(s, d), NUMERIC, ["batch"]))),
         "dataset_quartiles": _dataset_quartiles,
-        "batch_iqr_outliers": lambda s, d: rounded(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS)),
-        "batch_iqr_outliers_valid": lambda s, d: rounded(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS, denominator="valid")),
-        "batch_iqr_outliers_salted": lambda s, d: rounded(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], broadcast_bytes=0)),
+        "batch_iqr_outliers": lambda s, d: rounded(labelled(numeric.iqr_outliers(
+            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS))),
+        "batch_iqr_outliers_valid": lambda s, d: rounded(labelled(numeric.iqr_outliers(
+            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS, denominator="valid"))),
+        "batch_iqr_outliers_salted": lambda s, d: rounded(labelled(numeric.iqr_outliers(
+            monthly(s, d), NUMERIC, ["batch"], broadcast_bytes=0))),
         "event_type_outliers": _type_outliers,
         "dataset_iqr_outliers": _dataset_outliers,
-        "batch_growth": lambda s, d: health.with_growth(
-            monthly(s, d).groupBy("batch").agg(F.count(F.lit(1)).alias("total_records"))),
+        "batch_growth": lambda s, d: health.with_growth(labelled(
+            monthly(s, d).groupBy("batch").agg(F.count(F.lit(1)).alias("total_records")))),
         "schema_drift": release_schema_drift,
         "release_health": release_health,
         "batch_health": lambda s, d: flat_health(month_health(s, d)),

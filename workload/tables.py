@@ -11,7 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.operators.cleaning import blank_to_null
+from pulseframe.operators.cleaning import blank_to_null, in_date_ranges
 from pulseframe.rules import DriftRules, Roles
 from pulseframe.sources.staging import stage
 
@@ -51,8 +51,7 @@ def raw_purchases(spark: SparkSession, sf_dir: str, by_date: bool = False) -> Da
         .withColumn("day", F.col("l_shipdate").cast("date"))
     )
     if by_date:
-        # The second key splits a date that holds very many rows; it is unique per order line.
-        joined = joined.repartitionByRange("day", F.xxhash64("l_orderkey", "l_linenumber"))
+        joined = in_date_ranges(joined, "day", ["l_orderkey", "l_linenumber"])
     inside = lambda span: (F.col("day") >= F.lit(span[0])) & (F.col("day") < F.lit(span[1]))
     surge, outage, replayed = inside(SURGE_WEEK), inside(OUTAGE_WEEK), inside(REPLAYED_MONTH)
     copies = F.when(surge | outage, 3).when(replayed | (F.col("l_partkey") % 37 == 0), 2).otherwise(1)
@@ -77,10 +76,8 @@ _staged: dict[tuple[str, str], DataFrame] = {}
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned purchases as a written table: prepared once per application, then only read.
 
-    The five-way join is the expensive part at scale, and every monitoring plan reads the table several times.
-    Date ranges cost one shuffle here and pay back in each of them: a task then sees few weeks or months, so its
-    partial aggregates, distinct values and sketches fold well before they are shuffled, and year filters skip
-    whole row groups.
+    The five-way join is the expensive part at scale, and every monitoring plan reads the table several times,
+    so the rows are also laid out in date ranges, once for all of them.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _staged:
