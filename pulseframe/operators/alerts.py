@@ -126,7 +126,7 @@ def severity_rank(severity: Column) -> Column:
     return ladder
 
 
-def pipeline_status(weeks: DataFrame, alerts: DataFrame) -> DataFrame:
+def week_status(weeks: DataFrame, alerts: DataFrame) -> DataFrame:
     """Highest severity that applies to each week: its own alerts and the health alert of the month it starts in.
 
     Each week looks up two keys, its date and its month, so a single equi join replaces the OR condition.

@@ -138,14 +138,14 @@ def test_refresh_from_weekly_and_monthly_results(spark, tmp_path):
     assert rows[0]["generated_timestamp"] == NOW
 
 
-def test_pipeline_status_takes_the_worst_of_week_and_month(spark):
+def test_week_status_takes_the_worst_of_week_and_month(spark):
     weeks = spark.createDataFrame([(w, 50.0) for w in ("2022-01-31", "2022-02-07", "2022-03-07", "2022-04-04")],
                                   "week string, behavioral_similarity_score double")
     raised = behavior(
         spark, week("2022-01-31", 60.0, "Moderate Drift"), week("2022-02-07", 40.0, "Major Drift"),
         week("2022-03-07", 10.0, "Major Drift"),
     ).unionByName(months(spark, ("2022-02", 50, "Critical", ["gap"]), ("2022-03", 40, "Critical", ["gap"])))
-    rows = {r["week"]: r for r in alerts.pipeline_status(weeks, raised).collect()}
+    rows = {r["week"]: r for r in alerts.week_status(weeks, raised).collect()}
     assert {w: r["status"] for w, r in rows.items()} == {
         "2022-01-31": "WARNING", "2022-02-07": "CRITICAL", "2022-03-07": "CRITICAL", "2022-04-04": "INFO / NORMAL"}
     assert {w: r["applicable_alerts"] for w, r in rows.items()} == {

@@ -13,7 +13,7 @@ from workload.tables import DRIFT, ROLES, purchases, table
 # One-row or per-calendar results whose plans are worth checking as a whole.
 CHECKED = [
     "batch_health", "weekly_drift", "batch_iqr_outliers", "batch_iqr_outliers_salted", "event_type_outliers",
-    "pipeline_status", "merged_history", "overview", "schema_drift",
+    "week_status", "merged_history", "overview", "schema_drift",
 ]
 
 

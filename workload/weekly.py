@@ -82,7 +82,7 @@ def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def week_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     weeks, months = stored_results(spark, sf_dir)
-    return alerts.pipeline_status(weeks, every_alert(weeks, months))
+    return alerts.week_status(weeks, every_alert(weeks, months))
 
 
 # ---------------------------------------------------------------------------------------------- files and stores
@@ -250,7 +250,7 @@ def queries() -> dict:
     return {
         "validation_summary": lambda s, d: cleaning.validation_summary(typed_csv(s, d), ROLES.date, 1998),
         "csv_roundtrip": typed_csv,
-        "prepare_pipeline": prepared_year,
+        "prepare_from_csv": prepared_year,
         "any_csv": inferred_csv,
         "json_roundtrip": health_json,
         "json_missing_map": missing_json,
@@ -283,7 +283,7 @@ def queries() -> dict:
         "all_alerts": lambda s, d: flat_alerts(every_alert(fingerprints(s, d), mo.month_health(s, d))),
         "merged_history": lambda s, d: flat_alerts(merged(s, d)),
         "stored_history": lambda s, d: flat_alerts(stored_alerts(s, d)),
-        "pipeline_status": week_status,
+        "week_status": week_status,
         "alert_listing": lambda s, d: alerts.alert_listing(
             every_alert(fingerprints(s, d), mo.month_health(s, d))),
         "labelled_deviations": lambda s, d: mo.long_integers(r(views.labelled_deviations(scores(s, d)))),
@@ -312,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
             min(d) FILTER (WHERE year(d) = 1998) AS earliest_date, max(d) FILTER (WHERE year(d) = 1998) AS latest_date
             FROM (SELECT {spoiled} AS d FROM raw)"""),
         "csv_roundtrip": mo.with_purchases(f"SELECT * REPLACE ({spoiled} AS order_date) FROM raw"),
-        "prepare_pipeline": mo.with_purchases("SELECT * FROM purchases WHERE year(order_date) = 1998"),
+        "prepare_from_csv": mo.with_purchases("SELECT * FROM purchases WHERE year(order_date) = 1998"),
         "any_csv": mo.stats_sql("orders", "", ["o_orderkey", "o_custkey", "o_totalprice"], "valid"),
         "json_roundtrip": health(f"SELECT {mo.HEALTH_COLUMNS} FROM health"),
         "json_missing_map": health(
@@ -350,7 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "all_alerts": alert("SELECT * FROM alerts"),
         "merged_history": alert("SELECT * FROM merged"),
         "stored_history": alert("SELECT * FROM merged"),
-        "pipeline_status": alert(
+        "week_status": alert(
             """SELECT week, score AS behavioral_similarity_score,
             coalesce(first(severity ORDER BY level DESC, batch_timestamp, alert_id), 'INFO / NORMAL') AS status,
             first(trigger ORDER BY level DESC, batch_timestamp, alert_id) AS trigger,
