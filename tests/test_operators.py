@@ -159,6 +159,8 @@ def test_prepare_reads_cleans_and_writes(spark, tmp_path):
     assert len(rows) == 1
     assert rows[0]["Title"] == 'A "big", wide\nbox' and rows[0]["Category"] is None
     assert rows[0]["Order Date"] == date(2022, 3, 1)
+    laid = prepare_to_parquet(spark, str(source), str(tmp_path / "laid"), 2022, spread=["Survey ResponseID"])
+    assert laid.collect() == rows
     with pytest.raises(ValueError, match="No genuine 1999"):
         prepare_to_parquet(spark, str(source), target, 1999)
 
