@@ -4,13 +4,17 @@ import pytest
 from compare import differences
 
 import __spark_entry__ as contract
+from workload import monthly, weekly
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+# Queries of the optional corpus part are tested where that part is.
+SQL = {**monthly.oracle_sql(), **weekly.oracle_sql()}
+QUERIES = {**monthly.queries(), **weekly.queries()}
 
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert SQL.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
