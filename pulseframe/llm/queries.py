@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, secret_scan
+from pulseframe.llm import bpe, chat, secret_scan, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -48,13 +48,31 @@ FROM turns GROUP BY conv_id
 """
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), r AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS response FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND response <> page_id THEN response END AS refers_to
+FROM r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_secret_scan": op3_secret_scan,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_format": OP8_SQL}
+    return {"op8_chat_format": OP8_SQL, "op10_warc": OP10_SQL}
