@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, secret_scan, warc
+from pulseframe.llm import bpe, chat, decontaminate, secret_scan, url_filter, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
 ODD_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"))
 
@@ -67,7 +75,9 @@ FROM r
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": op1_url_filter,
         "op3_secret_scan": op3_secret_scan,
+        "op6_spaced_seeds": op6_spaced_seeds,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
         "op10_warc": op10_warc,
