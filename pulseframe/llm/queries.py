@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, decontaminate, secret_scan, url_filter, warc
+from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, secret_scan, url_filter, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -21,6 +21,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op3_secret_scan": op3_secret_scan,
+        "op4_dart_minhash": op4_dart_minhash,
         "op6_spaced_seeds": op6_spaced_seeds,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
