@@ -14,6 +14,8 @@ smaller leaf first. A conversation is one row of the result, so its texts have t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulseframe.sources.staging import stage
@@ -41,20 +43,23 @@ def strides(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         "tree", "node", F.when(F.col("exists"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"),
         F.col("score").alias("total"),
     )
-    tables, open_before = [], None
-    while True:
+    tables, finished, open_before = [], [], None
+    while True:  # a round only moves the nodes that have not reached a root yet
         table = stage(step, "strides")
-        still_open = table.where("up IS NOT NULL").count()
+        moving = table.where("up IS NOT NULL")
+        finished.append(table.where("up IS NULL"))
+        still_open = moving.count()
         if still_open == 0 or still_open == open_before:
-            return tables, table.where("up IS NULL").select("tree", "node", "depth", "total")
-        tables.append(table.where("up IS NOT NULL").select("tree", "node", "up"))
+            return tables, reduce(DataFrame.unionByName, finished).select("tree", "node", "depth", "total")
+        tables.append(moving.select("tree", "node", "up"))
         open_before = still_open
-        above = table.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
-                             F.col("depth").alias("depth2"), F.col("total").alias("total2"))
-        step = table.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+        above = reduce(DataFrame.unionByName, [*finished, moving]).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("depth2"),
+            F.col("total").alias("total2"),
+        )
+        step = moving.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("depth2")).alias("depth"),
+            (F.col("total") + F.col("total2")).alias("total"),
         )
 
 
@@ -69,7 +74,7 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         .where(F.col("rank") <= branches)
         .select("tree", F.col("node").alias("leaf"), "rank", "node")
     )
-    for table in tables:
+    for table in reversed(tables):  # the longest strides first: every distance is a sum of some of them
         on_path = stage(chosen, "paths")
         higher = on_path.join(table, ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"))
         chosen = on_path.unionByName(higher)
