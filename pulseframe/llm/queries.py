@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, secret_scan, url_filter, warc
+from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, neighbours, secret_scan, url_filter, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -25,6 +25,10 @@ def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_url_filter": op1_url_filter,
         "op3_secret_scan": op3_secret_scan,
         "op4_dart_minhash": op4_dart_minhash,
+        "op5_stable_projections": op5_stable_projections,
         "op6_spaced_seeds": op6_spaced_seeds,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
