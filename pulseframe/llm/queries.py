@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, neighbours, secret_scan, url_filter, warc
+from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, neighbours, secret_scan, toxicity, url_filter, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -17,6 +17,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ FROM r
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
+        "op2_toxicity": op2_toxicity,
         "op3_secret_scan": op3_secret_scan,
         "op4_dart_minhash": op4_dart_minhash,
         "op5_stable_projections": op5_stable_projections,
