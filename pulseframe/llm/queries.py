@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, neighbours, secret_scan, toxicity, url_filter, warc
+from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, licences, neighbours, secret_scan, toxicity, url_filter, warc
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -68,6 +68,10 @@ FROM turns GROUP BY conv_id
 """
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
 
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_spaced_seeds": op6_spaced_seeds,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_chat_format": op8_chat_format,
+        "op9_licences": op9_licences,
         "op10_warc": op10_warc,
     }
 
