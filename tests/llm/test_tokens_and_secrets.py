@@ -1,0 +1,142 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from tests_data import SF_DIR
+
+from pulseframe.llm import bpe, secret_scan
+from pulseframe.llm.common import table
+
+
+def sha(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
+
+
+def plain_ids(text):
+    return np.array(bpe.encoding().encode_ordinary(text or ""), "<u4")
+
+
+# ---- op7
+
+
+def test_digests_are_those_of_the_library(spark):
+    docs = table(spark, SF_DIR, "documents")
+    texts = dict(docs.select("doc_id", "text").collect())
+    rows = bpe.token_digests(docs).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        ids = plain_ids(texts[r["doc_id"]])
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == sha(ids.tobytes())
+        assert r["decoded_sha256"] == sha((texts[r["doc_id"]] or "").encode())
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_cut_texts_give_the_same_ids(seed):
+    pick = random.Random(seed)
+    pieces = ["a", "b1", " ", "  ", "\n", "\r\n", "é", "1", "'s", "日本", "!", "\t", "　", "x y", "\x1c", " ", "🙂"]
+    text = "".join(pick.choice(pieces) for _ in range(pick.randint(0, 400)))
+    if seed % 3 == 0:
+        text = text + " " * 1500 + text + "\n" * 1200
+    got = [
+        i for part, single in bpe.chunks(text, 25)
+        for i in (bpe.encoding()._encode_single_piece(part) if single else bpe.encoding().encode_ordinary(part))
+    ]
+    assert got == plain_ids(text).tolist()
+    assert bpe.encode(text, bpe.encoding(), 25).tolist() == got
+
+
+def test_runs_that_exhaust_the_regex_engine():
+    text = "x" + " " * 2_000_000 + "y"
+    ids = bpe.encode(text, bpe.encoding())
+    assert bpe.decode(ids, bpe.encoding()) == text.encode()
+
+
+def test_ids_cut_inside_a_character_decode_to_bytes():
+    ids = plain_ids("🙂")
+    assert len(ids) > 1
+    assert bpe.decode(ids[:1], bpe.encoding()) == "🙂".encode()[: len(bpe.decode(ids[:1], bpe.encoding()))]
+
+
+def test_edge_rows_of_bpe(edge_docs, no_docs):
+    rows = bpe.token_digests(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    by_id = {r["doc_id"]: r for r in rows}
+    assert by_id[1]["n_tokens"] == by_id[2]["n_tokens"] == 0
+    assert by_id[2]["ids_sha256"] == by_id[2]["decoded_sha256"] == sha(b"")
+    assert by_id[3]["decoded_sha256"] == sha(b"x" * 150_000)
+    assert bpe.token_digests(no_docs).count() == 0
+    encoded = bpe.encode_documents(edge_docs)
+    assert {r["doc_id"]: bytes(r["decoded"]) for r in bpe.decode_documents(encoded).collect()}[4] == b"word " * 40_000
+
+
+# ---- op3
+
+
+def brute_base(text):
+    """The contract, word by word: per kind leftmost matches, failing ones dropped."""
+    assign = re.compile(
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+        r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m.group(2)) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 32]
+    return sorted(found)
+
+
+ODD = [
+    'toKEN = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "password: token=abcdefgh1", "secret=short", "api_key:'ABCDEFGH'",
+    "toKen=abcdefghij", "ſecret=abcdefghij", "🙂 AKIA0123456789ABCD AKIAshort", "a" * 31 + " " + "b" * 32,
+    "passwd =\tabcdefghi", "apikey=abcdefgh", "TOKEN: " + "0" * 40, "token=token=token=abcdefgh",
+]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_base_spans(text):
+    assert secret_scan.base_spans(text) == brute_base(text)
+
+
+def test_base_spans_of_the_table(spark):
+    docs = table(spark, SF_DIR, "documents")
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in secret_scan.scan_documents(docs).collect():
+        base = brute_base(texts[r["doc_id"]] or "")
+        written = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in base)
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(k == n for _, k, _ in base) for n in range(3))
+        assert r["base_sha256"] == sha(written.encode())
+        assert set(filter(None, written.split(","))) <= set(r["spans"].split(","))
+
+
+@pytest.mark.parametrize("key", ["q9Zk3LxT0vBn7WcYp2Rs8HdJ", "ghp-7Xk2mQ9vLp4RtZ8sWb1NcYd5", "zX81+kQ/93mLwP0vTgB47yRnHs=="])
+def test_random_strings_are_found(key):
+    text = f"the value {key} was posted"
+    _, every = secret_scan.spans(text, bpe.encoding())
+    assert [(text[s:e], k) for s, k, e in every] == [(key, 3)]
+
+
+@pytest.mark.parametrize("known", [
+    "123e4567-e89b-12d3-a456-426614174000", "D41D8CD98F00B204E9800998ECF8427E", "release_notes_version_2024_final_draft",
+    "internationalization-of-components", "/usr/share/doc/packages/readme_first_2", "12345678901234567890123",
+    "enungtzeinkeitlichch", "WordWordWordWordWordWord12",
+])
+def test_known_strings_are_not_random(known):
+    assert not [s for s in secret_scan.spans(f"see {known} here", bpe.encoding())[1] if s[1] == 3]
+
+
+def test_redaction_leaves_no_span_and_all_rows(edge_docs, spark):
+    text = 'say token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and q9Zk3LxT0vBn7WcYp2Rs8HdJ end'
+    _, every = secret_scan.spans(text, bpe.encoding())
+    clean = secret_scan.redact(text, every)
+    assert clean == 'say [SECRET]" and [SECRET] end'
+    out = secret_scan.redact_documents(edge_docs)
+    assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
+
+
+def test_edge_rows_of_the_scan(edge_docs, no_docs):
+    rows = secret_scan.scan_documents(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    assert all(r["spans"] == "" and r["base_sha256"] == sha(b"") for r in rows)
+    assert secret_scan.scan_documents(no_docs).count() == 0
