@@ -9,11 +9,12 @@ coordinate has a dart, about COORDINATES * ln COORDINATES darts whatever the len
 coordinate with the probability of their similarity.
 
 ``BANDS`` bands of ``ROWS`` coordinates miss a pair of similarity 0.8 with probability (1 - 0.8^8)^50 = 1e-4 and a pair
-of 0.9 with 4e-13. Within a band's bucket no pairs of members are listed. In each round a bucket's smallest remaining
-member is its pivot and is compared exactly with the others; those that are similar leave the bucket linked, the
-others go on. Since the weighted Jaccard distance is a metric, a link between a member that left and one that went on is only possible
-if their distances to the pivot differ by 0.2 at most; such pairs are compared too, unless they are connected anyway.
-So within buckets no link between classes is lost.
+of 0.9 with 4e-13. Within a band's bucket no pairs of members are listed. First every member is compared exactly with the
+bucket's smallest member, its pivot, and what is similar is connected. Then only links between different classes of a
+bucket matter. They are looked for in blocks of at most ``BLOCK`` members a side, inside the tasks: pairs of different
+classes whose distances to the pivot differ by 0.2 at most (the weighted Jaccard distance is a metric) and whose signatures
+agree in a share of ``LIKELY`` coordinates, which a pair of similarity 0.8 misses with probability 2e-4, are compared
+exactly, and links go out. Large buckets cost comparisons of signatures, but neither rows nor a larger task.
 
 Defined cases: words are lower-case runs of letters, digits and underscores; texts with the same words are copies (one
 node, so copies cost nothing after the first shuffle); a text of one to four words is one shingle; NULL and empty texts
@@ -25,7 +26,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 from math import exp, lgamma, log
 
 import numpy as np
@@ -44,6 +45,9 @@ COORDINATES = BANDS * ROWS
 # Ranks are fixed-point numbers of 58 fractional bits. Region 0 of the ranks ends at 2^-14, each further one doubles.
 RANK_BITS, BASE = 58, 14
 LEVELS = BASE + 5
+# Links between classes: members of a block, and the least share of equal coordinates (one byte of each is kept).
+BLOCK = 512
+LIKELY = 0.73
 # Documents and shingles that are thrown at once.
 DOCS_AT_ONCE, SHINGLES_AT_ONCE = 192, 60_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -115,19 +119,22 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return total
 
 
-def sketched(texts: list[str | None], cache: WordHashes) -> tuple[list[bytes], list[np.ndarray | None]]:
-    """Of every text a digest of its words, and its band hashes (None without words)."""
+def sketched(
+    texts: list[str | None], cache: WordHashes
+) -> tuple[list[bytes], list[np.ndarray | None], list[bytes | None]]:
+    """Of every text a digest of its words, its band hashes and the lowest byte of each coordinate (None without words)."""
     words = [word_hashes(t, cache) for t in texts]
     keys = [xxhash.xxh3_128_digest(w.tobytes()) for w in words]
     out: list[np.ndarray | None] = [None] * len(texts)
+    low: list[bytes | None] = [None] * len(texts)
     sets: list[tuple[int, np.ndarray, np.ndarray]] = []
 
     def flush() -> None:
         if sets:
             owner = np.repeat(np.arange(len(sets)), [len(s[1]) for s in sets])
             found = throw(np.concatenate([s[1] for s in sets]), np.concatenate([s[2] for s in sets]), owner, len(sets))
-            for (number, _, _), row in zip(sets, bands(found), strict=True):
-                out[number] = row.view("i8")
+            for (number, _, _), row, ranks in zip(sets, bands(found), found.astype("u1"), strict=True):
+                out[number], low[number] = row.view("i8"), ranks.tobytes()
             sets.clear()
 
     size = 0
@@ -140,59 +147,77 @@ def sketched(texts: list[str | None], cache: WordHashes) -> tuple[list[bytes], l
             sets.append((number, elements, weights))
             size += len(elements)
     flush()
-    return keys, out
+    return keys, out, low
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (digest of the words) and bands of every row; rows without words have no bands."""
+    """doc_id, key (digest of the words), bands and low bytes of every row; rows without words have no bands."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                keys, found = sketched(part.column("text").to_pylist(), cache)
+                keys, found, low = sketched(part.column("text").to_pylist(), cache)
                 ends = np.cumsum([0, *(0 if f is None else BANDS for f in found)])
                 flat = [f for f in found if f is not None]
                 values = np.concatenate(flat) if flat else np.zeros(0, "i8")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(keys, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))],
-                    names=["doc_id", "key", "bands"],
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())),
+                     pa.array(low, pa.binary())],
+                    names=["doc_id", "key", "bands", "low"],
                 )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(work, "doc_id long, key binary, bands array<long>")
+    return narrow.mapInArrow(work, "doc_id long, key binary, bands array<long>, low binary")
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Similarity of two multisets, each as sorted distinct elements and their counts. Two empty ones are equal."""
-    total = a[1].sum() + b[1].sum()
+def elements(words: np.ndarray) -> np.ndarray:
+    """The shingles of a text as a sorted set: the n-th copy of a shingle is an element of its own, so the Jaccard index
+    of two such sets is the weighted one of the multisets."""
+    found, counts = np.unique(shingles(words), return_counts=True)
+    more = np.repeat(found, counts)
+    copy = np.arange(len(more)) - np.repeat(np.cumsum(counts) - counts, counts)
+    repeated = copy > 0
+    more[repeated] = mix(more[repeated] + copy[repeated].astype("u8") * GOLDEN)
+    return np.sort(more)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard index of two sorted sets. Two empty ones are equal."""
+    total = len(a) + len(b)
     if not total:
         return 1.0
-    _, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(a[1][at], b[1][bt]).sum()
-    return float(shared / (total - shared))
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")  # merges two sorted runs
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared / (total - shared)
 
 
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (id, pivot) with their exact similarity; ``texts`` holds (doc_id, text) of all that occur in pairs."""
+def element_sets(docs: DataFrame) -> DataFrame:
+    """doc_id and elements (as bytes) of every row."""
 
     def work(rows: dict[str, list]) -> dict[str, list]:
-        cache, last, out = WordHashes(), (None, None), []
+        cache = WordHashes()
+        return {"doc_id": rows["doc_id"], "elements": [elements(word_hashes(t, cache)).tobytes() for t in rows["text"]]}
+
+    return map_texts(docs.select("doc_id", "text"), "text", work, "doc_id long, elements binary")
 
-        def multiset(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-            return np.unique(shingles(word_hashes(text, cache)), return_counts=True)
 
-        for text, pivot, pivot_text in zip(rows["text"], rows["pivot"], rows["pivot_text"], strict=True):
-            if last[0] != (pivot, pivot_text):
-                last = (pivot, pivot_text), multiset(pivot_text)
-            out.append(weighted_jaccard(multiset(text), last[1]))
-        return {"id": rows["id"], "pivot": rows["pivot"], "similarity": out}
+def compared(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``pairs`` (id, pivot) with their exact similarity; ``members`` holds (id, elements) of all that occur in pairs."""
 
-    own = texts.select(F.col("doc_id").alias("id"), "text")
-    other = texts.select(F.col("doc_id").alias("pivot"), F.col("text").alias("pivot_text"))
-    both = pairs.join(own, "id").join(other, "pivot").select("id", "pivot", "text", "pivot_text")
-    scored = map_texts(both, "text", work, "id long, pivot long, similarity double")
+    def work(rows: dict[str, list]) -> dict[str, list]:
+        found = [
+            similarity(np.frombuffer(a, "u8"), np.frombuffer(b, "u8"))
+            for a, b in zip(rows["elements"], rows["pivot_elements"], strict=True)
+        ]
+        return {"id": rows["id"], "pivot": rows["pivot"], "similarity": found}
+
+    own = members.select("id", "elements")
+    other = members.select(F.col("id").alias("pivot"), F.col("elements").alias("pivot_elements"))
+    both = pairs.join(own, "id").join(other, "pivot").select("id", "pivot", "elements", "pivot_elements")
+    scored = map_texts(both, "elements", work, "id long, pivot long, similarity double")
     return scored.groupBy("id", "pivot").agg(F.max("similarity").alias("similarity"))
 
 
@@ -209,54 +234,78 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``class_id`` of every row: the smallest id among all documents connected by similarity."""
     sketch = stage(sketches(docs), "sketches")
     nodes = stage(sketch.groupBy("key").agg(F.min("doc_id").alias("node")), "nodes")
-    first = sketch.join(
-        nodes.withColumnRenamed("node", "doc_id"), ["key", "doc_id"], "left_semi"
-    ).select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))
-    bucket = stage(with_pivots(first), "buckets")
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chosen = sketch.join(nodes.withColumnRenamed("node", "doc_id"), ["key", "doc_id"], "left_semi")
+    bucket = stage(with_pivots(chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))), "buckets")
     involved = bucket.select(F.col("id").alias("doc_id")).distinct()
-    texts = stage(narrow.join(involved, "doc_id", "left_semi"), "texts")
-
-    compare_as_links = lambda pairs: stage(compared(stage(pairs, "pairs"), texts), "compared")
-    links, borders = [], []
-    while not bucket.isEmpty():
-        scored = compare_as_links(bucket.where("id > pivot").select("id", "pivot").distinct())
-        links.append(scored.where(F.col("similarity") >= SIMILARITY))
-        judged = stage(bucket.join(scored, ["id", "pivot"]), "judged")
-        # Members that may be linked across this pivot's ball, as far as distances to the pivot tell.
-        near = judged.where(F.col("similarity") >= SIMILARITY)
-        far = judged.where((F.col("similarity") < SIMILARITY) & (F.col("similarity") >= 2 * SIMILARITY - 1))
-        borders.append((near, far))
-        bucket = stage(with_pivots(judged.where(F.col("similarity") < SIMILARITY).select("band", "id")), "buckets")
-    if not links:
-        edges = sketch.sparkSession.createDataFrame([], "a long, b long")
-    else:
-        edges = reduce(DataFrame.unionByName, links).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(involved, "doc_id", "left_semi")
+    low = chosen.groupBy("doc_id").agg(F.min("low").alias("low"))
+    members = element_sets(narrow).join(low, "doc_id").withColumnRenamed("doc_id", "id")
+    members = stage(members, "members")
+
+    scored = stage(compared(bucket.where("id > pivot").select("id", "pivot").distinct(), members), "compared")
+    edges = scored.where(F.col("similarity") >= SIMILARITY).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     classes = components(edges)
-    crossing = [border_pairs(near, far, classes) for near, far in borders]
-    if crossing:
-        pairs = stage(reduce(DataFrame.unionByName, crossing).distinct(), "border")
-        if not pairs.isEmpty():
-            across = compare_as_links(pairs).where(F.col("similarity") >= SIMILARITY)
-            more = across.select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-            classes = components(edges.unionByName(more))
+    more = stage(links_between(bucket, scored, classes, members), "links")
+    if not more.isEmpty():
+        classes = components(edges.unionByName(more))
     known = nodes.join(classes, "node", "left").select("key", F.coalesce("component", "node").alias("class_id"))
     return sketch.select("doc_id", "key").join(known, "key").select("doc_id", "class_id")
 
 
-def border_pairs(near: DataFrame, far: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (id, pivot) of near and far members of a bucket that can still be similar and are not connected yet.
-
-    All near members of a bucket are in their pivot's class, so far members of that class are left out first.
-    """
-    label = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_class"))
-    apart = (
-        far.join(label("id"), "id", "left").join(label("pivot"), "pivot", "left")
-        .where(F.coalesce("id_class", "id") != F.coalesce("pivot_class", "pivot"))
-        .select("band", F.col("id").alias("other"), F.col("similarity").alias("other_similarity"))
+def links_between(bucket: DataFrame, scored: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different classes; one link at least for every two classes
+    that a block of the bucket connects."""
+    others = (
+        bucket.where("id > pivot").join(scored, ["id", "pivot"])
+        .join(classes.withColumnRenamed("node", "id"), "id", "left")
+        .select("band", "id", "similarity", F.coalesce("component", "id").alias("class"))
+    )
+    mixed = (
+        others.groupBy("band")
+        .agg(F.min("class").alias("least"), F.max("class").alias("most"), F.count(F.lit(1)).alias("members"))
+        .where("least < most").select("band", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     )
-    within = F.col("similarity") - F.col("other_similarity") <= 1 - SIMILARITY + 1e-9
-    return near.join(apart, (near["band"] == apart["band"]) & within).select("id", F.col("other").alias("pivot"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    placed = others.join(mixed, "band").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    facing = placed.join(members, "id").select(
+        "band", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "own", "id", "class",
+        "similarity", "low", "elements",
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        left = group["left"][0].as_py()
+        side = group["own"].to_numpy() == left
+        ids, label, near = group["id"].to_numpy(), group["class"].to_numpy(), group["similarity"].to_numpy()
+        ranks = np.frombuffer(b"".join(group["low"].to_pylist()), "u1").reshape(len(ids), COORDINATES)
+        sets = group["elements"]
+        least = COORDINATES * (LIKELY + (1 - LIKELY) / 256)
+        rows = np.flatnonzero(side)
+        columns = rows if left == group["right"][0].as_py() else np.flatnonzero(~side)
+        agreed: list[tuple[int, int, int]] = []
+        for row in rows:
+            open_ = columns[(label[columns] != label[row]) & (np.abs(near[columns] - near[row]) <= 1 - SIMILARITY + 1e-9)]
+            shared = (ranks[open_] == ranks[row]).sum(axis=1)
+            agreed += [(-int(n), int(row), int(c)) for n, c in zip(shared, open_, strict=True) if n >= least]
+        joined: dict[int, int] = {}  # classes that this block has connected, each with a smaller one
+
+        def root(x: int) -> int:
+            while x in joined:
+                x = joined[x]
+            return x
+
+        links = []
+        for _, row, column in sorted(agreed):  # the likeliest first, so that few are left to compare
+            one, two = root(int(label[row])), root(int(label[column]))
+            if one != two and similarity(*(np.frombuffer(sets[n].as_py(), "u8") for n in (row, column))) >= SIMILARITY:
+                joined[max(one, two)] = min(one, two)
+                links.append((int(ids[row]), int(ids[column])))
+        return pa.table({
+            "a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())
+        })
+
+    return facing.groupBy("band", "left", "right").applyInArrow(compare, "a long, b long").distinct()
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
