@@ -19,17 +19,24 @@ def fits_broadcast(small: DataFrame, rows: int | None, limit: int = BROADCAST_BY
     return rows is not None and rows * row_bytes <= limit
 
 
-def join_salted(large: DataFrame, small: DataFrame, by: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Inner join on ``by`` for a small side too big to broadcast, with hot keys spread out.
+def join_split(large: DataFrame, small: DataFrame, by: Sequence[str], rows: str, salts: int = SALTS) -> DataFrame:
+    """Inner join on ``by`` with an aggregate of ``large`` that may be big, with hot keys spread out.
 
-    Each small row is copied once per salt and the large side is hashed on (key, salt), so one key with a third
-    of all rows still lands on up to ``salts`` tasks. The salt is a hash of the row, which a re-run task repeats;
-    the caller first folds copies of a row into one weighted row, since equal rows share a salt.
+    ``rows`` names the column of ``small`` that counts the rows of its key in ``large``; it is dropped. A key with
+    more than 1/``salts`` of all rows is hot. There are fewer than ``salts`` of them, so their list may be broadcast,
+    and only their rows of ``small`` are copied, once per salt. The salt is a hash of the row and of its partition,
+    which a re-run task repeats.
     """
-    salted_small = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    mixed = F.xxhash64(*[c(n) for n in large.columns if n not in by])
-    salted_large = large.withColumn("__salt", F.pmod(mixed, F.lit(salts)).cast("int"))
-    return salted_large.join(salted_small, [*by, "__salt"]).drop("__salt")
+    total = small.agg(F.sum(rows)).scalar()
+    hot = F.col(rows) * salts > total
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread = small.withColumn("__salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0))))).drop(rows)
+    keys = small.where(hot).select(*[c(k) for k in by], F.lit(True).alias("__hot"))
+    mixed = F.pmod(F.xxhash64(*[c(n) for n in large.columns], F.spark_partition_id()), F.lit(salts)).cast("int")
+    salted = large.join(F.broadcast(keys), list(by), "left").withColumn(
+        "__salt", F.when(F.col("__hot"), mixed).otherwise(0)
+    )
+    return salted.drop("__hot").join(spread, [*by, "__salt"]).drop("__salt")
 
 
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

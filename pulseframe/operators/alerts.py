@@ -109,12 +109,13 @@ def merge_history(history: DataFrame, new: DataFrame) -> DataFrame:
     """One alert per (type, batch): a new one replaces an old one whatever its id, unmatched old ones stay.
 
     Running the merge again with the same alerts changes nothing. The newest entry is picked by a combinable
-    aggregate, so no key gathers its versions in one place.
+    aggregate, so no key gathers its versions in one place. Of several new (or several old) ones of a key, the one
+    generated last wins, then the larger id, then the larger of the other fields in their order.
     """
     tagged = history.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
     fields = new.columns
     newest = tagged.groupBy("alert_type", "batch").agg(
-        F.max_by(F.struct(*fields), F.struct("__new", "alert_id")).alias("alert")
+        F.max_by(F.struct(*fields), F.struct("__new", "generated_timestamp", "alert_id", *fields)).alias("alert")
     )
     return in_alert_order(newest.select(*[F.col(f"alert.{f}").alias(f) for f in fields]))
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import date
+from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from pulseframe.functions import blank_as_null, c, month_key, month_label, week_start
 
@@ -27,21 +28,30 @@ def validation_summary(df: DataFrame, date_column: str, year: int | None = None)
 
     All four figures come from one aggregation that reads only the date column.
     """
+    return df.agg(*summary_aggregates(df, date_column, year))
+
+
+def summary_aggregates(df: DataFrame, date_column: str, year: int | None = None) -> list[Column]:
+    """The figures of ``validation_summary`` as aggregates, to be observed while the rows pass."""
     day = c(date_column)
     kept = day.isNotNull()
     if year is not None:
         kept = (day >= F.lit(date(year, 1, 1))) & (day < F.lit(date(year + 1, 1, 1)))
-    return df.agg(
+    return [
         F.count_if(day.isNull()).alias("invalid_dates"),
         F.count_if(kept).alias("records"),
         F.min(F.when(kept, day)).alias("earliest_date"),
         F.max(F.when(kept, day)).alias("latest_date"),
-    )
+    ]
 
 
 def check_dates(summary: DataFrame, date_column: str, what: str) -> None:
     """Raise if the one-row ``validation_summary`` shows bad dates or an empty result."""
-    row = summary.first()
+    check_figures(summary.first(), date_column, what)
+
+
+def check_figures(row: Mapping[str, Any] | Row, date_column: str, what: str) -> None:
+    """The same for figures already at hand."""
     if row["invalid_dates"]:
         raise ValueError(f"Found {row['invalid_dates']} null or unparseable {date_column} values.")
     if not row["records"]:
@@ -62,12 +72,18 @@ def with_week(df: DataFrame, date_column: str, name: str = "week_start") -> Data
     return df.filter(c(date_column).isNotNull()).withColumn(name, week_start(c(date_column)))
 
 
-def in_date_ranges(df: DataFrame, date_column: str, spread: Iterable[str]) -> DataFrame:
-    """Lay rows out in date ranges before they are written.
+def in_date_ranges(
+    df: DataFrame, date_column: str, spread: Iterable[str], parts: int = 8, partitions: int | None = None
+) -> DataFrame:
+    """Lay rows out by month before they are written, sorted by date within a task.
 
-    Costs one shuffle. Afterwards a task sees few weeks or months, so the partial aggregates, distinct values and
-    quartile sketches of every later plan fold before they are shuffled, and date filters skip whole row groups.
-    ``spread`` names columns that tell the rows of one date apart, best a key of the source: a date with very
-    many rows is split by their hash. Rows that agree in all of them stay together.
+    Costs one shuffle of one evaluation of ``df`` (range partitioning would evaluate it a second time to sample it).
+    Afterwards a task sees few weeks or months, so the partial aggregates, distinct values and quartile sketches of
+    every later plan fold before they are shuffled, and date filters skip whole row groups. ``spread`` names columns
+    that tell the rows of one month apart, best a key of the source: every month is split into ``parts`` by their
+    hash, so a hot month goes to several tasks. Rows that agree in all of them stay together.
     """
-    return df.repartitionByRange(c(date_column), F.xxhash64(*[c(n) for n in spread]))
+    part = F.pmod(F.xxhash64(*[c(n) for n in spread]), F.lit(parts))
+    by = [month_key(c(date_column)), part]
+    dealt = df.repartition(partitions, *by) if partitions else df.repartition(*by)
+    return dealt.sortWithinPartitions(c(date_column))

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pulseframe.functions import BROADCAST_BYTES, c, fits_broadcast, join_salted, percent
-from pulseframe.sources.staging import stage
+from pulseframe.functions import BROADCAST_BYTES, c, fits_broadcast, join_split, percent
 
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
@@ -72,9 +71,11 @@ def numeric_stats(
 
 
 def quartile_bounds(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), accuracy: int = 10000, fence: float = 1.5
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), accuracy: int = 10000, fence: float = 1.5,
+    rows: str | None = None,
 ) -> DataFrame:
-    """One row per batch with q1, q3 and both fences of every column (``q1__0``, ``lower__0`` ...).
+    """One row per batch with q1, q3 and both fences of every column (``q1__0``, ``lower__0`` ...), and with the
+    number of its rows under the name ``rows`` if one is given.
 
     The quartile sketch is a bounded, mergeable aggregate: no batch is ever gathered in one place.
     """
@@ -82,9 +83,10 @@ def quartile_bounds(
         *[
             F.percentile_approx(_value(n), F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias(f"__quartiles{i}")
             for i, n in enumerate(columns)
-        ]
+        ],
+        *([F.count(F.lit(1)).alias(rows)] if rows else []),
     )
-    out = []
+    out = [F.col(rows)] if rows else []
     for i in range(len(columns)):
         q1, q3 = F.col(f"__quartiles{i}")[0], F.col(f"__quartiles{i}")[1]
         out += [
@@ -120,9 +122,8 @@ def outlier_summary(
     outlier_count, outlier_percentage). Values strictly outside a fence count.
 
     The second pass needs every row beside its batch's fences. ``max_groups`` (``CALENDAR_MONTHS`` for month
-    batches) can prove in advance that the fences may be broadcast. Where it cannot, the fences are written out
-    and counted first; if they turn out too big, copies of a row are folded into weights and the join is salted.
-    For a whole table the fences are one scalar row.
+    batches) can prove in advance that the fences may be broadcast. Where it cannot, they are joined by key with the
+    hot keys split; nothing runs before the result is asked for. For a whole table the fences are one scalar row.
     """
     keys = [c(k) for k in by]
     if not columns:
@@ -134,26 +135,21 @@ def outlier_summary(
     bound = {n: F.col(n) for n in bound_columns}
     if not by:
         fences = bounds.select(F.struct(*bound_columns)).scalar().alias("__fences")
-        paired = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"), fences)
+        paired = narrow.select("*", fences)
         bound = {n: F.col(f"__fences.{n}") for n in bound_columns}
+    elif fits_broadcast(bounds, max_groups, broadcast_bytes):
+        paired = narrow.join(F.broadcast(bounds), list(by))
     else:
-        if not fits_broadcast(bounds, max_groups, broadcast_bytes):
-            bounds = stage(bounds, "fences")
-            max_groups = bounds.count()
-        if fits_broadcast(bounds, max_groups, broadcast_bytes):
-            weighted = narrow.select("*", F.lit(1).cast("bigint").alias("__weight"))
-            paired = weighted.join(F.broadcast(bounds), list(by))
-        else:
-            weighted = narrow.groupBy(*[c(n) for n in narrow.columns]).agg(F.count(F.lit(1)).alias("__weight"))
-            paired = join_salted(weighted, bounds, by)
-
-    aggregates = [F.sum("__weight").alias("total_records")]
+        counted = quartile_bounds(df, columns, by, accuracy, fence, rows="__rows")
+        paired = join_split(narrow, counted, by, "__rows")
+
+    aggregates = [F.count(F.lit(1)).alias("total_records")]
     for i in range(len(columns)):
         value = F.col(f"value__{i}")
         outside = (value < bound[f"lower__{i}"]) | (value > bound[f"upper__{i}"])
         aggregates += [
-            F.sum(F.when(value.isNotNull(), F.col("__weight")).otherwise(0)).alias(f"valid__{i}"),
-            F.sum(F.when(outside, F.col("__weight")).otherwise(0)).alias(f"outliers__{i}"),
+            F.count(value).alias(f"valid__{i}"),
+            F.count_if(outside).alias(f"outliers__{i}"),
         ]
         if by:
             aggregates += [F.max(F.col(f"{b}__{i}")).alias(f"{b}__{i}") for b in ("q1", "q3", "lower", "upper")]

@@ -16,7 +16,7 @@ WEEK = "week_start"
 
 
 def weekly_features(
-    df: DataFrame, roles: Roles = Roles(), *, approximate: bool = False, identity: str = "values"
+    df: DataFrame, roles: Roles = Roles(), *, approximate: bool = False, identity: str = "digest"
 ) -> DataFrame:
     """One row per week: the eleven features plus the first and last source date inside the week.
 
@@ -56,6 +56,14 @@ def weekly_features(
     )
 
 
+def week_dates(df: DataFrame, date_column: str) -> DataFrame:
+    """First and last date of every week, from a scan of the dates alone."""
+    day = c(date_column)
+    return with_week(df, date_column, WEEK).groupBy(WEEK).agg(
+        F.min(day).cast("date").alias("first_date"), F.max(day).cast("date").alias("last_date")
+    )
+
+
 def partial_week_columns(period: str, first: Column, last: Column) -> tuple[Column, Column]:
     """Flag and note of a week that the source, running from ``first`` to ``last``, covers only in part."""
     day = lambda value: F.date_format(value, "yyyy-MM-dd")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from pulseframe.functions import CALENDAR_MONTHS, attach, c, percent
 from pulseframe.operators.cleaning import with_month_label
@@ -33,7 +33,7 @@ def profile_batches(
     limits: HealthRules = HealthRules(),
     denominator: str = "records",
     max_groups: int | None = None,
-    identity: str = "values",
+    identity: str = "digest",
 ) -> DataFrame:
     """Counts, missing values, numeric statistics, outliers and duplicates: one row per batch.
 
@@ -77,21 +77,23 @@ def batch_health(
     *,
     limits: HealthRules = HealthRules(),
     schema_changes: DataFrame | None = None,
-    max_batches: int | None = CALENDAR_MONTHS,
-    identity: str = "values",
+    monthly: bool = False,
+    max_batches: int | None = None,
+    identity: str = "digest",
 ) -> DataFrame:
     """One row per batch with profile, growth, schema drift, anomalies, deductions, score and status.
 
-    A month key as ``with_month`` adds it comes out as ``yyyy-MM``; any other batch column stays as it is.
+    ``monthly`` says that the batch column is a month key as ``with_month`` adds it: it comes out as ``yyyy-MM``,
+    and the calendar bounds the number of batches. Any other batch column stays as it is, with no bound but
+    ``max_batches``. Growth follows the order of the raw key.
     ``schema_changes`` is the output of ``schema_drift`` over the batches' own schemas. Without it every batch
     has the schema of ``df`` and the first batch is the baseline.
     """
-    profiled = profile_batches(
-        df, numeric, [batch], limits=limits, max_groups=max_batches, identity=identity
-    )
-    if isinstance(df.schema[batch].dataType, T.DateType):
-        profiled = with_month_label(profiled, batch)
+    bound = CALENDAR_MONTHS if monthly and max_batches is None else max_batches
+    profiled = profile_batches(df, numeric, [batch], limits=limits, max_groups=bound, identity=identity)
     grown = with_growth(profiled, batch)
+    if monthly:
+        grown = with_month_label(grown, batch)
     snapshot = schema_snapshot(df, [batch])
     same, first = drift_literal(snapshot, snapshot), drift_literal(None, snapshot)
     if schema_changes is None:
@@ -113,7 +115,7 @@ def single_batch_health(
     *,
     batch: str = "batch",
     limits: HealthRules = HealthRules(),
-    identity: str = "values",
+    identity: str = "digest",
 ) -> DataFrame:
     """The same row for one batch, compared with an optional earlier record count and schema.
 

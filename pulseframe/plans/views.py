@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseframe import rules
 
+LATEST = "latest"
+
 
 def feature_label(feature: Column) -> Column:
     labels = F.create_map(*[F.lit(x) for pair in rules.FEATURE_LABELS.items() for x in pair])
@@ -42,7 +44,10 @@ def month_outliers(health: DataFrame, month: str | None = None, batch: str = "ba
 
 
 def _of_month(health: DataFrame, month: str | None, batch: str) -> DataFrame:
-    return health if month is None else health.filter(F.col(batch) == month)
+    """``month`` is a label, ``LATEST``, or None for every month."""
+    if month is None:
+        return health
+    return health.filter(F.col(batch) == (health.agg(F.max(batch)).scalar() if month == LATEST else F.lit(month)))
 
 
 def labelled_deviations(scores: DataFrame, week: str | None = None) -> DataFrame:
@@ -66,7 +71,22 @@ def week_comparison(comparison: DataFrame, week: str | None = None) -> DataFrame
 
 
 def _of_week(rows: DataFrame, week: str | None) -> DataFrame:
-    return rows if week is None else rows.filter(F.col("week_start") == F.lit(week).cast("date"))
+    """``week`` is a date as text, ``LATEST``, or None for every week."""
+    if week is None:
+        return rows
+    chosen = rows.agg(F.max("week_start")).scalar() if week == LATEST else F.lit(week).cast("date")
+    return rows.filter(F.col("week_start") == chosen)
+
+
+def week_message(scores: DataFrame, week: str | None = None) -> DataFrame:
+    """What a week's drift status means, as a severity and a sentence."""
+    status, severity, sentence = F.col("drift_status"), F.lit(None).cast("string"), F.lit(None).cast("string")
+    for names, level, text in rules.WEEK_MESSAGES:
+        severity = F.when(status.isin(list(names)), level).otherwise(severity)
+        sentence = F.when(status.isin(list(names)), text).otherwise(sentence)
+    return _of_week(scores, week).select(
+        "week_start", "drift_status", severity.alias("severity"), sentence.alias("message"), "source_window_note"
+    )
 
 
 def weekly_trend(scores: DataFrame) -> DataFrame:

@@ -88,6 +88,27 @@ PARTIAL_WEEK_SUFFIX = (
 )
 HEALTH_TRIGGER = "Implementation 1 Data Health Score is %d/100: %s"
 NO_REASON = "No reason recorded"
+CSV_NOT_ANALYSED = "Unable to analyze the CSV file: %s"
+# Drift statuses, severity and sentence of the weekly screen.
+WEEK_MESSAGES = (
+    (
+        (BASELINE_BUILDING, INSUFFICIENT_HISTORY), None,
+        "Behavioral Similarity Score: N/A. Drift Status: Baseline Building. Four earlier weekly batches and valid feature"
+        " statistics are required before scoring.",
+    ),
+    (
+        (NORMAL,), "INFO / NORMAL",
+        "Weekly purchase behaviour is consistent with the prior-only historical baseline.",
+    ),
+    (
+        (MODERATE_DRIFT,), "WARNING",
+        "Weekly purchase behaviour shows moderate drift from the prior-only historical baseline.",
+    ),
+    (
+        (MAJOR_DRIFT,), "HIGH",
+        "Weekly purchase behaviour shows major drift from the prior-only historical baseline.",
+    ),
+)
 REASON_LIMIT = 105
 
 

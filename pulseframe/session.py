@@ -16,6 +16,15 @@ SETTINGS = {
 }
 
 
+def shuffle_settings(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for an input of this size: adaptive execution merges shuffle partitions but never adds any, so it
+    starts from enough of them. Keys are written as ``monitoring_session`` takes them."""
+    return {
+        "spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(max(200, -(-input_bytes // partition_bytes))),
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def monitoring_session(app_name: str = "pulseframe", master: str | None = None, **settings: str) -> SparkSession:
     """``settings`` are extra Spark options with dots written as double underscores."""
     builder = SparkSession.builder.appName(app_name)

@@ -24,6 +24,16 @@ class CsvReadError(ValueError):
     """A CSV that cannot be read; the message is meant for the person who supplied it."""
 
 
+def root_cause(error: Exception) -> str:
+    """The message of the innermost cause of a failed read, without the stacks of the tasks around it."""
+    inner = getattr(error, "java_exception", None)
+    if inner is None:
+        return str(error)
+    while inner.getCause() is not None:
+        inner = inner.getCause()
+    return inner.getMessage()
+
+
 def read_typed_csv(
     spark: SparkSession, path: str, schema: T.StructType = PURCHASE_SCHEMA, *, multi_line: bool = True
 ) -> DataFrame:

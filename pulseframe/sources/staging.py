@@ -21,7 +21,8 @@ def shared_root(spark: SparkSession) -> str:
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
     return _local_roots.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
 

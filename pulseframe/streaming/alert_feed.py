@@ -6,7 +6,9 @@ files that arrived since the last one and stops; the merge is idempotent, so a r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pulseframe.operators.alerts import behavior_alerts
@@ -22,12 +24,16 @@ def alert_feed(
     fingerprints: DataFrame, history_path: str, checkpoint: str, limits: AlertRules = AlertRules(),
     generated: str | None = None,
 ) -> StreamingQuery:
-    """Start a run over the files waiting in the feed; it ends when they are processed."""
+    """Start a run over the files waiting in the feed; it ends when they are processed.
+
+    Alerts carry ``generated`` or else the time at which their micro-batch is merged.
+    """
     def merge(alerts: DataFrame, epoch: int) -> None:
-        update_history(alerts, history_path, limits)
+        moment = generated or datetime.now(timezone.utc).isoformat()
+        update_history(alerts.withColumn("generated_timestamp", F.lit(moment)), history_path, limits)
 
     return (
-        behavior_alerts(fingerprints, generated, limits)
+        behavior_alerts(fingerprints, limits=limits)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

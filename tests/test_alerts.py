@@ -9,6 +9,7 @@ from pulseframe.operators import alerts
 from pulseframe.plans.alerting import refresh_alerts
 from pulseframe.rules import AlertRules
 from pulseframe.sources import alert_store, files, report_store
+from pulseframe.sources.paths import Folder
 from pulseframe.streaming.alert_feed import alert_feed, fingerprint_feed
 
 WEEKS = (
@@ -129,6 +130,61 @@ def test_store_snapshots(spark, tmp_path):
         assert [(r["batch"], r["severity"]) for r in rows] == [("2022-01-03", "WARNING"), ("2022-01-10", "CRITICAL")]
 
 
+def stored(spark, path):
+    return [(r["batch"], r["severity"]) for r in alert_store.load_history(spark, path).collect()]
+
+
+def test_a_run_without_alerts_in_a_new_year_empties_the_history(spark, tmp_path):
+    path = str(tmp_path / "history")
+    first = behavior(spark, week("2022-01-03", 60.0, "Moderate Drift"))
+    assert alert_store.update_history(first, path).count() == 1
+    assert alert_store.update_history(first.limit(0), path, AlertRules(active_year="2023")).count() == 0
+    assert stored(spark, path) == []
+
+
+def test_snapshots_without_a_commit_do_not_count(spark, tmp_path):
+    path = str(tmp_path / "history")
+    first = behavior(spark, week("2022-01-03", 60.0, "Moderate Drift"))
+    alert_store.update_history(first, path)
+    behavior(spark, week("2022-02-07", 40.0, "Major Drift")).write.parquet(f"{path}/snapshots/unfinished")
+    assert stored(spark, path) == [("2022-01-03", "WARNING")]
+
+
+def test_a_writer_that_lost_the_race_merges_again(spark, tmp_path, monkeypatch):
+    path, create = str(tmp_path / "history"), Folder.create
+    other = behavior(spark, week("2022-02-07", 40.0, "Major Drift"))
+    raced = []
+
+    def late(folder, name, content):
+        if not raced:
+            raced.append(name)
+            alert_store.update_history(other, path)
+        return create(folder, name, content)
+
+    monkeypatch.setattr(Folder, "create", late)
+    alert_store.update_history(behavior(spark, week("2022-01-03", 60.0, "Moderate Drift")), path)
+    assert stored(spark, path) == [("2022-01-03", "WARNING"), ("2022-02-07", "HIGH")]
+
+
+def test_old_snapshots_are_retired(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for n in range(5):
+        alert_store.update_history(behavior(spark, week(f"2022-01-{10 + 7 * (n % 3)}", 60.0, "Moderate Drift")), path, kept=2)
+    assert len(Folder(spark, f"{path}/commits").names()) == len(Folder(spark, f"{path}/snapshots").names()) == 3
+    assert len(stored(spark, path)) == 3
+
+
+def test_of_alerts_for_one_batch_the_last_generated_wins(spark):
+    older = behavior(spark, week("2022-01-03", 60.0, "Moderate Drift")).withColumn("generated_timestamp", F.lit("2024-01-01"))
+    newer = behavior(spark, week("2022-01-03", 40.0, "Major Drift")).withColumn("generated_timestamp", F.lit("2024-01-02"))
+    none = older.limit(0)
+    for run in (older.unionByName(newer), newer.unionByName(older)):
+        assert [r["severity"] for r in alerts.merge_history(none, run).collect()] == ["HIGH"]
+    same = behavior(spark, week("2022-01-03", 60.0, "Moderate Drift"), week("2022-01-03", 40.0, "Major Drift"))
+    ways = [alerts.merge_history(none, same.orderBy(F.col("severity").asc() if up else F.col("severity").desc())).collect() for up in (True, False)]
+    assert ways[0] == ways[1]
+
+
 def test_refresh_from_weekly_and_monthly_results(spark, tmp_path):
     weeks = spark.createDataFrame([week("2022-01-31", 60.0, "Moderate Drift")], WEEKS)
     health = spark.createDataFrame([("2022-01", 10, "Critical", ["x"])], MONTHS)
@@ -195,3 +251,11 @@ def test_feed_merges_arriving_fingerprints(spark, tmp_path):
     assert run(week("2022-01-31", 60.0, "Moderate Drift")) == [("2022-01-31", "WARNING")]
     found = run(week("2022-01-31", 40.0, "Major Drift"), week("2022-02-07", 20.0, "Major Drift", note=NOTE))
     assert sorted(found) == [("2022-01-31", "HIGH"), ("2022-02-07", "CRITICAL")]
+
+
+def test_feed_stamps_alerts_with_the_time_of_the_merge(spark, tmp_path):
+    folder, history = str(tmp_path / "feed"), str(tmp_path / "history")
+    files.write_json(spark.createDataFrame([week("2022-01-31", 60.0, "Moderate Drift")], WEEKS), folder)
+    feed = fingerprint_feed(spark, folder, spark.createDataFrame([], WEEKS).schema)
+    alert_feed(feed, history, str(tmp_path / "checkpoint")).awaitTermination()
+    assert alert_store.load_history(spark, history).first()["generated_timestamp"].startswith("20")

@@ -54,6 +54,7 @@ def test_texts_in_order(spark):
     assert row["health_status"] == "Critical"
 
 
+SF_DIR = "/root/testdata/sf0.001"
 ORDERS = "d date, q double, r string"
 
 
@@ -65,7 +66,7 @@ def orders(spark, months):
 
 def test_batch_health_over_months(spark):
     df = orders(spark, {1: [1, 2, 3, 4, 100], 2: [1, 2, 3, 4, None] * 2, 3: [5]})
-    jan, feb, mar = bh.batch_health(df, ["q"]).orderBy("batch").collect()
+    jan, feb, mar = bh.batch_health(df, ["q"], monthly=True).orderBy("batch").collect()
     assert [r["growth_rate"] for r in (jan, feb, mar)] == [0.0, 100.0, -90.0]
     assert jan["schema_drift"]["baseline"] and not feb["schema_drift"]["baseline"]
     fence = jan["outliers"][0]
@@ -75,8 +76,26 @@ def test_batch_health_over_months(spark):
     assert feb["missing"][1]["missing_percentage"] == 20.0 and feb["total_missing"] == 2
 
 
+def test_a_daily_key_stays_a_day(spark):
+    df = orders(spark, {1: [1, 2, 3]}).drop("batch")
+    rows = bh.batch_health(df, ["q"], "d").orderBy("d").collect()
+    assert [r["d"] for r in rows] == [date(2024, 1, n) for n in (1, 2, 3)]
+    assert [r["previous_records"] for r in rows] == [None, 1, 1]
+
+
+def test_a_year_without_a_release_takes_the_latest_before_it(spark):
+    from workload import monthly
+
+    years = spark.createDataFrame([(y,) for y in (1990, 1998, 2001, 2007)], "y int")
+    got = {r["y"]: r["r"] for r in years.select("y", monthly.release_of(F.col("y")).alias("r")).collect()}
+    assert got == {1990: 1995, 1998: 1998, 2001: 2001, 2007: 2001}
+    batches = spark.createDataFrame([("1990",), ("2007",)], "batch string")
+    found = monthly.release_schemas(spark, SF_DIR, batches).groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in found} == {"1990": 5, "2007": 6}
+
+
 def test_batch_with_an_all_null_column_gives_nulls(spark):
-    row = bh.batch_health(orders(spark, {1: [None, None]}), ["q"]).first()
+    row = bh.batch_health(orders(spark, {1: [None, None]}), ["q"], monthly=True).first()
     assert row["numeric"][0]["mean"] is None and row["outliers"][0]["q1"] is None
     assert row["outliers"][0]["outlier_count"] == 0
     assert "High missing values in q: 100.00%" in row["data_quality_anomalies"]
@@ -103,7 +122,7 @@ def test_single_batch_without_history(spark):
 
 def test_health_documents_hold_every_field(spark):
     df = orders(spark, {1: [1, 2, 3, 4, 100]})
-    doc = bh.health_documents(bh.batch_health(df, ["q"]), schema.schema_snapshot(df, ["batch"])).first()
+    doc = bh.health_documents(bh.batch_health(df, ["q"], monthly=True), schema.schema_snapshot(df, ["batch"])).first()
     assert doc["schema"] == {"d": "date", "q": "double", "r": "string"}
     assert doc["missing_values_per_column"] == {"d": 0, "q": 0, "r": 0}
     assert doc["outlier_analysis"]["q"]["upper_bound"] == 7.0
@@ -127,7 +146,7 @@ def test_schema_drift_between_named_batches(spark):
 def test_batch_health_with_schema_changes_per_batch(spark):
     df = orders(spark, {1: [1, 2, 3, 4], 2: [1, 2, 3, 4]})
     changes = schema.schema_drift(schema.schema_history(spark, {"2024-01": {"a": "int"}, "2024-02": {"b": "int"}}))
-    jan, feb = bh.batch_health(df, ["q"], schema_changes=changes).orderBy("batch").collect()
+    jan, feb = bh.batch_health(df, ["q"], schema_changes=changes, monthly=True).orderBy("batch").collect()
     assert (jan["health_score"], feb["health_score"]) == (100, 75)
 
 

@@ -4,26 +4,39 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pulseframe.functions import CALENDAR_MONTHS
+from pulseframe.functions import CALENDAR_MONTHS, percent
 from pulseframe.operators import cleaning, duplicates, health, missing, numeric, schema
 from pulseframe.plans import batch_health as bh, dataset_report as dr, views
 from pulseframe.plans.prepare import prepare_purchases
-from pulseframe.rules import DatasetRules
-from workload.tables import ROLES, STRINGS, TABLES, purchases, purchases_sql, raw_purchases, table
+from pulseframe.rules import DatasetRules, HealthRules
+from workload.tables import ROLES, STRINGS, TABLES, purchases, purchases_sql, raw_purchases, staged_once, table
 
 COLUMNS = ["order_date", "unit_price", "quantity", "state", "title", "product_code", "category", "response_id"]
 MONTH = "strftime(order_date, '%Y-%m')"
 NUMERIC = ROLES.numeric
-# Tables whose numeric columns stay below 10,000 rows at the checked scale: up to there a quartile sketch of
-# accuracy 10,000 keeps every value, so its answer is the exact order statistic.
-EXACT_TABLES = {
+# Every numeric column of every given table.
+NUMERIC_OF = {
+    "benchmark": ["item_id"],
+    "conversations": ["conv_id", "turn"],
     "customer": ["c_custkey", "c_nationkey", "c_acctbal"],
+    "documents": ["doc_id", "n_chars"],
+    "embeddings": ["vec_id", "label"],
+    "events": ["event_id", "user_id", "value"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax"],
+    "nation": ["n_nationkey", "n_regionkey"],
+    "orders": ["o_orderkey", "o_custkey", "o_totalprice"],
+    "pages": ["page_id"],
     "part": ["p_partkey", "p_size", "p_retailprice"],
+    "region": ["r_regionkey"],
     "supplier": ["s_suppkey", "s_nationkey", "s_acctbal"],
-    "labels": ["doc_id", "quality", "toxic"],
 }
+# Rank error of a quartile: 1/EXACT of the rows, so it is the exact order statistic for up to a million values,
+# which covers every table whose results are compared with exact SQL quantiles.
+EXACT = 1_000_000
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +48,12 @@ def labelled(batches: DataFrame) -> DataFrame:
 
 
 def month_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bh.batch_health(monthly(spark, sf_dir), NUMERIC)
+    return bh.batch_health(monthly(spark, sf_dir), NUMERIC, monthly=True)
+
+
+def stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly health as a written table, for the screens and alerts that read results and not facts."""
+    return staged_once(spark, sf_dir, "monthly", lambda: month_health(spark, sf_dir))
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -184,22 +202,52 @@ RELEASES = {
 }
 
 
-def releases(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """Each year's purchases as a table of its own, with the columns of that year's release."""
+def release_of(year: Column) -> Column:
+    """The release a year belongs to: the latest one up to it, the first one before all."""
+    found = F.lit(min(RELEASES))
+    for release in sorted(RELEASES)[1:]:
+        found = F.when(year >= release, release).otherwise(found)
+    return found
+
+
+def released(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with their year as ``batch``, as the year's release carries them: a column it lacks is NULL."""
     whole = purchases(spark, sf_dir)
-    pick = lambda item: F.col(item) if isinstance(item, str) else F.col(item[0]).cast(item[1]).alias(item[0])
-    return {
-        year: cleaning.keep_year(whole, ROLES.date, year).select(*[pick(i) for i in items])
-        for year, items in RELEASES.items()
-    }
+    release = release_of(F.year(ROLES.date))
+    columns = []
+    for name in COLUMNS:
+        value = F.col(name)
+        carried, retyped = [], {}
+        for year, items in RELEASES.items():
+            for item in items:
+                if name == (item if isinstance(item, str) else item[0]):
+                    carried.append(year)
+                    if not isinstance(item, str):
+                        retyped.setdefault(item[1], []).append(year)
+        for kind, years in retyped.items():
+            cast = F.col(name).cast(kind).cast(whole.schema[name].dataType)
+            value = F.when(release.isin(years), cast).otherwise(value)
+        columns.append(F.when(release.isin(carried), value).alias(name))
+    return whole.select(F.date_format(ROLES.date, "yyyy").alias("batch"), *columns)
+
+
+def release_schemas(spark: SparkSession, sf_dir: str, years: DataFrame) -> DataFrame:
+    """Schema history (batch, position, column, type) of ``years`` (batch), from the releases' columns."""
+    types = dict(purchases(spark, sf_dir).dtypes)
+    rows = [
+        (release, position, item if isinstance(item, str) else item[0], types[item] if isinstance(item, str) else item[1])
+        for release, items in RELEASES.items() for position, item in enumerate(items)
+    ]
+    columns = spark.createDataFrame(rows, "release int, position int, column string, type string")
+    known = years.select("batch", release_of(F.col("batch").cast("int")).alias("release"))
+    return known.join(columns, "release").select("batch", "position", "column", "type")
 
 
 def release_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = releases(spark, sf_dir)
-    drift = schema.schema_drift(schema.schema_history(spark, {str(y): df for y, df in tables.items()}))
     whole = purchases(spark, sf_dir)
     counts = whole.groupBy(F.date_format(ROLES.date, "yyyy").alias("batch")).agg(
         F.count(F.lit(1)).alias("total_records"))
+    drift = schema.schema_drift(release_schemas(spark, sf_dir, counts))
     retyped = F.transform("changed_data_types", lambda x: F.concat_ws(
         " ", x["column"], x["previous_type"], x["current_type"]))
     return drift.join(counts, "batch").select(
@@ -217,29 +265,41 @@ RELEASE_DRIFT_SQL = """(VALUES ('1995', FALSE, TRUE, '', '', ''), ('1996', TRUE,
 
 
 def release_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every yearly release judged on its own against the record count and schema of the year before."""
-    tables = releases(spark, sf_dir)
-    counts = {
-        int(r["year"]): r["count"]
-        for r in purchases(spark, sf_dir).groupBy(F.year(ROLES.date).alias("year")).count().collect()
-    }
-    rows = []
-    for year, df in tables.items():
-        before = tables.get(year - 1)
-        rows.append(bh.single_batch_health(
-            df, str(year), ["quantity"], counts.get(year - 1),
-            schema.schema_snapshot(before) if before is not None else None,
-        ))
-    judged = union_all([r.select(
+    """Every yearly release judged on its own against the record count and schema of the one before.
+
+    One profile of all releases at once. A column that a release lacks is NULL there, so it is left out of the
+    release's counts by its schema.
+    """
+    return judged_releases(spark, sf_dir, bh.profile_batches(
+        released(spark, sf_dir), NUMERIC, ["batch"], denominator="valid", max_groups=CALENDAR_MONTHS,
+        limits=HealthRules(quartile_accuracy=EXACT)))
+
+
+def judged_releases(spark: SparkSession, sf_dir: str, profiled: DataFrame) -> DataFrame:
+    profiled = staged_once(spark, sf_dir, "releases", lambda: profiled)
+    history = release_schemas(spark, sf_dir, profiled)
+    carried = history.groupBy("batch").agg(F.collect_set("column").alias("carried"))
+    change = F.struct("detected", "baseline", "added_columns", "removed_columns", "changed_data_types")
+    drift = schema.schema_drift(history).select("batch", change.alias("schema_drift"))
+    own = lambda entries: F.filter(entries, lambda e: F.array_contains("carried", e["column"]))
+    total = F.aggregate("missing", F.lit(0).cast("bigint"), lambda sum_, m: sum_ + m["missing_count"])
+    records = F.col("total_records")
+    rows = (
+        profiled.join(carried, "batch").join(drift, "batch")
+        .withColumns({n: own(n) for n in ("missing", "numeric", "outliers")})
+        .withColumns({"total_columns": F.size("carried").cast("bigint"), "total_missing": total})
+        .withColumn("missing_percentage", percent(F.col("total_missing"), records * F.col("total_columns"), 4))
+    )
+    return long_integers(health.with_batch_score(health.with_growth(rows), HealthRules()).select(
         "batch", "total_records", "total_columns", "total_missing", "missing_percentage", "duplicate_records",
         "duplicate_percentage", "growth_rate", F.array_join("data_quality_anomalies", "; ").alias("anomalies"),
         "health_score", "health_status",
-    ) for r in rows])
-    return long_integers(judged)
+    ))
 
 
 def release_health_sql() -> str:
     parts = []
+    positions = " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(NUMERIC))
     for year, items in RELEASES.items():
         names = [i if isinstance(i, str) else i[0] for i in items]
         key = f"'{year}'"
@@ -251,25 +311,28 @@ def release_health_sql() -> str:
             f" 'High missing values in {n}: ' || printf('%.2f', round(round(count(*) FILTER (WHERE {n} IS NULL)"
             f" / count(*) * 100.0::DOUBLE, 4), 2)) || '%' END" for n in names)
         parts.append(f"""SELECT {key} AS batch, m.*, d.duplicate_records, d.duplicate_percentage,
-          o.outlier_percentage FROM
+          o.spikes FROM
           (SELECT count(*) AS total_records, {len(names)} AS total_columns, {missing_terms} AS total_missing,
             nullif(concat_ws('; ', {gap_terms}), '') AS gaps FROM {source} s) m,
           ({duplicates_sql(source, '', names, 4)}) d,
-          ({outliers_sql(source, '', ['quantity'], 'valid')}) o""")
+          (SELECT string_agg('High numerical outlier percentage in ' || "column" || ': '
+              || printf('%.2f', round(outlier_percentage, 2)) || '%', '; ' ORDER BY position)
+              FILTER (WHERE outlier_percentage > 3.0) AS spikes
+            FROM (SELECT *, CASE "column" {positions} END AS position FROM ({outliers_sql(source, '', NUMERIC, 'valid')}))) o""")
     return with_purchases(f"""SELECT batch, total_records, CAST(total_columns AS BIGINT) AS total_columns, total_missing,
         round(total_missing / (total_records * total_columns) * 100.0::DOUBLE, 4) AS missing_percentage,
         duplicate_records, duplicate_percentage, growth_rate,
         concat_ws('; ', gaps,
           CASE WHEN duplicate_percentage > 3.0 THEN 'High duplicate percentage: ' || printf('%.2f', round(duplicate_percentage, 2)) || '%' END,
           CASE WHEN previous_records > 0 AND abs(growth_rate) > 50.0 THEN 'Abnormal batch-size change: ' || printf('%.2f', round(growth_rate, 2)) || '%' END,
-          CASE WHEN outlier_percentage > 3.0 THEN 'High numerical outlier percentage in quantity: ' || printf('%.2f', round(outlier_percentage, 2)) || '%' END,
+          spikes,
           CASE WHEN detected THEN 'Schema drift detected.' END) AS anomalies,
         CAST(score AS BIGINT) AS health_score,
         CASE WHEN score >= 90 THEN 'Healthy' WHEN score >= 70 THEN 'Warning' ELSE 'Critical' END AS health_status
       FROM (SELECT *, 100 - CASE WHEN gaps IS NOT NULL THEN 15 ELSE 0 END
           - CASE WHEN duplicate_percentage > 3.0 THEN 15 ELSE 0 END
           - CASE WHEN previous_records > 0 AND abs(growth_rate) > 50.0 THEN 20 ELSE 0 END
-          - CASE WHEN outlier_percentage > 3.0 THEN 15 ELSE 0 END - CASE WHEN detected THEN 25 ELSE 0 END AS score
+          - CASE WHEN spikes IS NOT NULL THEN 15 ELSE 0 END - CASE WHEN detected THEN 25 ELSE 0 END AS score
         FROM (SELECT *, coalesce(round((total_records - previous_records) / previous_records * 100.0::DOUBLE, 4), 0.0::DOUBLE) AS growth_rate
           FROM (SELECT r.*, drift.detected, lag(total_records) OVER (ORDER BY r.batch) AS previous_records
             FROM ({' UNION ALL '.join(parts)}) r JOIN {RELEASE_DRIFT_SQL} ON r.batch = drift.batch)))""")
@@ -279,15 +342,16 @@ def release_health_sql() -> str:
 
 def _dataset_quartiles(spark, sf_dir):
     return rounded(union_all([
-        numeric.quartiles(table(spark, sf_dir, n), cols).withColumn("table_name", F.lit(n))
-        for n, cols in EXACT_TABLES.items()
+        numeric.quartiles(table(spark, sf_dir, n), cols, accuracy=EXACT).withColumn("table_name", F.lit(n))
+        for n, cols in NUMERIC_OF.items()
     ]))
 
 
 def _dataset_outliers(spark, sf_dir):
     return union_all([
-        dr.dataset_outliers(table(spark, sf_dir, n), cols).withColumn("table_name", F.lit(n))
-        for n, cols in EXACT_TABLES.items()
+        dr.dataset_outliers(table(spark, sf_dir, n), cols, DatasetRules(quartile_accuracy=EXACT)).withColumn(
+            "table_name", F.lit(n))
+        for n, cols in NUMERIC_OF.items()
     ])
 
 
@@ -296,7 +360,7 @@ def _dataset_outliers_sql() -> str:
         f"""SELECT '{n}' AS table_name, "column", round(q1, 4) AS q1, round(q3, 4) AS q3,
         round(lower_bound, 4) AS lower_bound, round(upper_bound, 4) AS upper_bound, valid_count, outlier_count,
         round(outlier_count / valid_count * 100.0::DOUBLE, 2) AS outlier_percentage
-        FROM ({fences_sql(n, '', cols)}) WHERE valid_count >= 4 AND iqr > 0""" for n, cols in EXACT_TABLES.items())
+        FROM ({fences_sql(n, '', cols)}) WHERE valid_count >= 4 AND iqr > 0""" for n, cols in NUMERIC_OF.items())
 
 
 def _duplicates_of_tables(spark, sf_dir):
@@ -321,6 +385,37 @@ def _numeric_of_lineitem(spark, sf_dir):
     return rounded(numeric.numeric_stats(line, numeric.numeric_columns(line), denominator="valid"))
 
 
+def _daily_health(spark, sf_dir):
+    """Orders by day: a DATE key that is not a month, so its days stay days, and no bound on their number."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"), "o_custkey", "o_totalprice", "o_orderpriority")
+    rows = bh.batch_health(orders, ["o_totalprice"], "day")
+    return long_integers(rows.select(
+        "day", "total_records", "total_missing", "duplicate_records", "growth_rate", "health_score", "health_status",
+        F.array_join("data_quality_anomalies", "; ").alias("anomalies"),
+    ))
+
+
+DAILY_SQL = """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS day, o_custkey, o_totalprice, o_orderpriority FROM orders),
+counts AS (SELECT day, CAST(sum(n) AS BIGINT) AS total_records, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_records
+  FROM (SELECT day, count(*) AS n FROM o GROUP BY day, o_custkey, o_totalprice, o_orderpriority) GROUP BY day),
+q AS (SELECT day, quantile_disc(o_totalprice, 0.25) AS q1, quantile_disc(o_totalprice, 0.75) AS q3 FROM o GROUP BY day),
+out_ AS (SELECT day, round(count(*) FILTER (o_totalprice < q1 - 1.5::DOUBLE * (q3 - q1) OR o_totalprice > q3 + 1.5::DOUBLE * (q3 - q1))
+  / count(*) * 100.0::DOUBLE, 4) AS pct FROM o JOIN q USING (day) GROUP BY day),
+gaps AS (SELECT day, CAST(sum((o_custkey IS NULL)::INT + (o_totalprice IS NULL)::INT + (o_orderpriority IS NULL)::INT) AS BIGINT) AS total_missing
+  FROM o GROUP BY day),
+j AS (SELECT *, round(duplicate_records / total_records * 100.0::DOUBLE, 4) AS dup,
+    lag(total_records) OVER (ORDER BY day) AS previous FROM counts JOIN out_ USING (day) JOIN gaps USING (day)),
+g AS (SELECT *, coalesce(round((total_records - previous) / previous * 100.0::DOUBLE, 4), 0.0::DOUBLE) AS growth_rate FROM j),
+s AS (SELECT *, 100 - CASE WHEN dup > 3.0 THEN 15 ELSE 0 END - CASE WHEN abs(growth_rate) > 50.0 THEN 20 ELSE 0 END
+  - CASE WHEN pct > 3.0 THEN 15 ELSE 0 END AS score FROM g)
+SELECT day, total_records, total_missing, duplicate_records, growth_rate, CAST(score AS BIGINT) AS health_score,
+  CASE WHEN score >= 90 THEN 'Healthy' WHEN score >= 70 THEN 'Warning' ELSE 'Critical' END AS health_status,
+  concat_ws('; ', CASE WHEN dup > 3.0 THEN 'High duplicate percentage: ' || printf('%.2f', round(dup, 2)) || '%' END,
+    CASE WHEN abs(growth_rate) > 50.0 THEN 'Abnormal batch-size change: ' || printf('%.2f', round(growth_rate, 2)) || '%' END,
+    CASE WHEN pct > 3.0 THEN 'High numerical outlier percentage in o_totalprice: ' || printf('%.2f', round(pct, 2)) || '%' END) AS anomalies
+FROM s"""
+CHOSEN_MONTH = "1998-09"
 LINE_NUMERIC = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
 ]
@@ -340,15 +435,18 @@ def reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [dr.dataset_report(table(spark, sf_dir, n), f"{n}.parquet") for n in REPORTED]
 
 
-def _report(spark, sf_dir):
-    flat = union_all([r.select(
+def flat_report(report: DataFrame) -> DataFrame:
+    return report.select(
         "file_name", "row_count", "column_count", "total_missing_values", "overall_missing_percentage",
         "duplicate_row_count", "duplicate_percentage", "overall_outlier_percentage",
         F.array_join("detected_issues", "; ").alias("detected_issues"), "data_health_score", "health_status",
         "date_detection_message", "has_valid_rows", "has_readable_columns",
         F.array_join(F.transform("outlier_analysis", lambda o: o["column"]), ",").alias("analysed_columns"),
-    ) for r in reports(spark, sf_dir)])
-    return long_integers(flat)
+    )
+
+
+def _report(spark, sf_dir):
+    return long_integers(union_all([flat_report(r) for r in reports(spark, sf_dir)]))
 
 
 def report_rows_sql() -> str:
@@ -468,10 +566,14 @@ def queries() -> dict:
         "dataset_report": _report,
         "schema_overview": _overview_of_lineitem,
         "date_column": _date_columns,
-        "monthly_trend": lambda s, d: long_integers(views.monthly_trend(month_health(s, d))),
-        "month_missing": lambda s, d: views.month_missing(month_health(s, d)),
-        "month_numeric": lambda s, d: rounded(views.month_numeric(month_health(s, d))),
-        "month_iqr": lambda s, d: rounded(views.month_outliers(month_health(s, d))),
+        "daily_health": _daily_health,
+        "monthly_trend": lambda s, d: long_integers(views.monthly_trend(stored_months(s, d))),
+        "month_missing": lambda s, d: views.month_missing(stored_months(s, d)),
+        "month_numeric": lambda s, d: rounded(views.month_numeric(stored_months(s, d))),
+        "month_iqr": lambda s, d: rounded(views.month_outliers(stored_months(s, d))),
+        "latest_month_missing": lambda s, d: views.month_missing(stored_months(s, d), views.LATEST),
+        "latest_month_numeric": lambda s, d: rounded(views.month_numeric(stored_months(s, d), views.LATEST)),
+        "chosen_month_iqr": lambda s, d: rounded(views.month_outliers(stored_months(s, d), CHOSEN_MONTH)),
     }
     return out
 
@@ -501,7 +603,7 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT batch, "column", q1, q3 FROM ({fences_sql("purchases", MONTH, NUMERIC)})'),
         "dataset_quartiles": " UNION ALL ".join(
             f"""SELECT '{n}' AS table_name, "column", q1, q3
-            FROM ({fences_sql(n, '', cols)})""" for n, cols in EXACT_TABLES.items()),
+            FROM ({fences_sql(n, '', cols)})""" for n, cols in NUMERIC_OF.items()),
         "batch_iqr_outliers": iqr("records"),
         "batch_iqr_outliers_valid": iqr("valid"),
         "batch_iqr_outliers_salted": iqr("records"),
@@ -529,6 +631,16 @@ def oracle_sql() -> dict[str, str]:
             'SELECT batch AS month, "column", missing_count, missing_percentage FROM miss'),
         "month_numeric": with_purchases(
             f"SELECT batch AS month, * EXCLUDE (batch) FROM ({stats_sql('purchases', MONTH, NUMERIC, 'records')})"),
+        "daily_health": DAILY_SQL,
+        "latest_month_missing": health(
+            """SELECT batch AS month, "column", missing_count, missing_percentage FROM miss
+            WHERE batch = (SELECT max(batch) FROM miss)"""),
+        "latest_month_numeric": with_purchases(
+            f"""SELECT batch AS month, * EXCLUDE (batch) FROM ({stats_sql('purchases', MONTH, NUMERIC, 'records')})
+            WHERE batch = (SELECT max({MONTH}) FROM purchases)"""),
+        "chosen_month_iqr": health(
+            f"""SELECT batch AS month, 'No schema drift detected.' AS schema_message, "column", q1, q3,
+            outlier_percentage FROM outl WHERE batch = '{CHOSEN_MONTH}'"""),
         "month_iqr": health(
             """SELECT batch AS month, 'No schema drift detected.' AS schema_message, "column", q1, q3,
             outlier_percentage FROM outl"""),

@@ -7,6 +7,7 @@ fields, repeated rows, two disturbed weeks and one replayed month. Every row of
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -70,7 +71,15 @@ def raw_purchases(spark: SparkSession, sf_dir: str, by_date: bool = False) -> Da
     ).drop("copy")
 
 
-_staged: dict[tuple[str, str], DataFrame] = {}
+_staged: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def staged_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``build`` as a written table, made once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir if "://" in sf_dir else os.path.abspath(sf_dir), label)
+    if key not in _staged:
+        _staged[key] = stage(build(), label)
+    return _staged[key]
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,11 +88,8 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     The five-way join is the expensive part at scale, and every monitoring plan reads the table several times,
     so the rows are also laid out in date ranges, once for all of them.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _staged:
-        _staged[key] = stage(
-            blank_to_null(raw_purchases(spark, sf_dir, by_date=True), STRINGS), "purchases")
-    return _staged[key]
+    return staged_once(
+        spark, sf_dir, "purchases", lambda: blank_to_null(raw_purchases(spark, sf_dir, by_date=True), STRINGS))
 
 
 def purchases_sql() -> str:

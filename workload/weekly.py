@@ -8,21 +8,24 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pulseframe.operators import alerts, cleaning, weekly
+from pulseframe.operators.alerts import ALERT_SCHEMA
 from pulseframe.operators.numeric import numeric_columns, numeric_stats
 from pulseframe.operators.schema import schema_snapshot
 from pulseframe.plans import batch_health as bh, views, weekly_drift as wd
 from pulseframe.plans.alerting import build_alerts
+from pulseframe.plans.csv_report import report_of_csv
 from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
 from pulseframe.sources import files, report_store
 from pulseframe.sources.alert_store import update_history
-from pulseframe.sources.staging import fresh_path, stage
+from pulseframe.sources.staging import fresh_path
 from workload import monthly as mo
-from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, table
+from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, staged_once, table
 
 FEATURES = list(FEATURE_LABELS)
 GENERATED = "2024-01-01T00:00:00+00:00"
 YEAR_1998 = AlertRules(active_year="1998")
+CHOSEN_WEEK = "1998-09-07"
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,9 +44,18 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wd.weekly_fingerprints(scores(spark, sf_dir), DRIFT)
 
 
+def stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly scores as a written table, made once: what screens, documents and alerts read in place of facts."""
+    return staged_once(spark, sf_dir, "weekly-scores", lambda: scores(spark, sf_dir))
+
+
+def stored_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged_once(spark, sf_dir, "weekly-comparison", lambda: comparison(spark, sf_dir))
+
+
 def stored_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Weekly fingerprints and monthly health as written tables, for queries that use them more than once."""
-    return stage(fingerprints(spark, sf_dir), "weekly"), stage(mo.month_health(spark, sf_dir), "monthly")
+    """Weekly fingerprints and monthly health, from written tables."""
+    return wd.weekly_fingerprints(stored_scores(spark, sf_dir), DRIFT), mo.stored_months(spark, sf_dir)
 
 
 def every_alert(weeks: DataFrame, months: DataFrame) -> DataFrame:
@@ -113,7 +125,7 @@ def prepared_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "orders") + ".csv"
     table(spark, sf_dir, "orders").write.option("header", True).csv(path)
-    loaded = files.read_any_csv(spark, path)
+    loaded = files.read_any_csv(spark, path, multi_line=False)
     return mo.rounded(numeric_stats(loaded, numeric_columns(loaded), denominator="valid"))
 
 
@@ -121,7 +133,7 @@ def health_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly fingerprints written as JSON documents and read back with their schema."""
     path = fresh_path(spark, "fingerprints")
     facts = purchases(spark, sf_dir)
-    documents = bh.health_documents(mo.month_health(spark, sf_dir), schema_snapshot(facts))
+    documents = bh.health_documents(mo.stored_months(spark, sf_dir), schema_snapshot(facts))
     files.write_json(documents, path)
     loaded = files.read_json(spark, path, documents.schema)
     return mo.long_integers(loaded.select(
@@ -133,7 +145,7 @@ def health_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missing_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map of missing counts inside the documents, back in long form."""
-    documents = bh.health_documents(mo.month_health(spark, sf_dir), schema_snapshot(purchases(spark, sf_dir)))
+    documents = bh.health_documents(mo.stored_months(spark, sf_dir), schema_snapshot(purchases(spark, sf_dir)))
     return documents.select(
         F.col("month"), F.col("severity"), F.explode("missing_values_per_column").alias("column", "missing_count"))
 
@@ -156,6 +168,111 @@ def facts_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]))
 
 
+def nothing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of one year, then a run of the next year without alerts: the older year's alerts are gone, and the
+    empty history counts as stored."""
+    path, (weeks, months) = fresh_path(spark, "alert-history"), stored_results(spark, sf_dir)
+    first = every_alert(weeks, months)
+    update_history(first, path, YEAR_1998)
+    update_history(first.limit(0), path, replace(AlertRules(), active_year="1999"))
+    return flat_alerts(update_history(first.filter("batch LIKE '1999%'"), path, replace(AlertRules(), active_year="1999")))
+
+
+def weekly_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly fingerprints written as JSON documents and read back: every entry of both feature maps."""
+    path = fresh_path(spark, "weekly-fingerprints")
+    documents = stored_results(spark, sf_dir)[0]
+    files.write_json(documents, path)
+    loaded = files.read_json(spark, path, documents.schema)
+    entries = loaded.select("week", "drift_status", "behavioral_similarity_score", "behavioral_features",
+                            F.explode("feature_comparison").alias("feature", "c"))
+    return mo.rounded(entries.select(
+        "week", "drift_status", "behavioral_similarity_score", "feature",
+        F.try_element_at("behavioral_features", F.col("feature")).cast("double").alias("value"),
+        *[F.col(f"c.{n}").alias(n) for n in ("current", "baseline_mean", "baseline_stddev", "z_score")],
+    ))
+
+
+def health_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of the statistics and outlier maps of the monthly documents."""
+    documents = bh.health_documents(mo.stored_months(spark, sf_dir), schema_snapshot(purchases(spark, sf_dir)))
+    path = fresh_path(spark, "fingerprints")
+    files.write_json(documents, path)
+    loaded = files.read_json(spark, path, documents.schema)
+    entries = loaded.select("month", "outlier_analysis", F.explode("numerical_statistics").alias("column", "s"))
+    fences = F.try_element_at("outlier_analysis", F.col("column"))
+    return mo.rounded(entries.select(
+        "month", "column", *[F.col(f"s.{n}").alias(n) for n in ("count", "mean", "stddev", "min", "max")],
+        *[fences[n].alias(n) for n in ("q1", "q3", "outlier_count", "outlier_percentage")],
+    ))
+
+
+def alerts_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly, monthly and history documents in, history documents out and in again. The history comes as files that
+    hold one JSON array each."""
+    weeks, months = stored_results(spark, sf_dir)
+    monthly_documents = bh.health_documents(months, schema_snapshot(purchases(spark, sf_dir)))
+    at = {n: fresh_path(spark, n) for n in ("weekly", "monthly", "history", "merged")}
+    files.write_json(weeks, at["weekly"])
+    files.write_json(monthly_documents, at["monthly"])
+    older = earlier_history(weeks, months)
+    # A text line per group of alerts: each file holds whole arrays.
+    older.select(F.to_json(F.struct(*older.columns), {"ignoreNullFields": "false"}).alias("value"),
+                 F.substring("batch", 1, 7).alias("group")).groupBy("group").agg(
+        F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("value")), ","), F.lit("]")).alias("value")
+    ).select("value").repartition(1).write.text(at["history"], lineSep="\n")
+    read = lambda n, schema: files.read_json(spark, at[n], schema)
+    history = read("history", ALERT_SCHEMA)
+    new = build_alerts(read("weekly", weeks.schema), read("monthly", monthly_documents.schema), GENERATED)
+    files.write_json(alerts.merge_history(alerts.active_history(history, YEAR_1998), new), at["merged"])
+    return flat_alerts(read("merged", ALERT_SCHEMA))
+
+
+def csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables through CSV files into a report, and a file that is none: what a person who sends files gets."""
+    rows = []
+    for name in ("customer", "part"):
+        path = fresh_path(spark, name) + ".csv"
+        table(spark, sf_dir, name).write.option("header", True).option("escape", '"').csv(path)
+        report, message = report_of_csv(spark, path, f"{name}.parquet", multi_line=False)
+        rows.append(mo.flat_report(report).withColumn("message", F.lit(message).cast("string")))
+    _, refused = report_of_csv(spark, fresh_path(spark, "part") + ".txt", "part.txt")
+    none = [F.lit(None).cast(kind).alias(n) for n, kind in rows[0].dtypes if n not in ("file_name", "message")]
+    rows.append(table(spark, sf_dir, "region").groupBy().count().select(
+        F.lit("part.txt").alias("file_name"), F.lit(refused).alias("message"), *none))
+    return mo.long_integers(mo.union_all(rows))
+
+
+def csv_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The message each faulty export of the purchases is refused with."""
+    raw = raw_purchases(spark, sf_dir)
+    swapped = raw.select("unit_price", "order_date", *[c for c in raw.columns if c not in ("unit_price", "order_date")])
+    undated = raw.withColumn("order_date", F.when(F.col("product_code") % 7 != 0, F.col("order_date")))
+    found = []
+    for fault, df, year in (("swapped header", swapped, 1998), ("bad dates", undated, 1998), ("empty year", raw, 1890)):
+        try:
+            prepare_to_parquet(spark, csv_export(df), fresh_path(spark, "prepared"), year, ROLES.date,
+                               schema=raw.schema, multi_line=False)
+            message = None
+        except ValueError as error:
+            header = "CSV header does not conform to the schema"
+            message = header if header in str(error) else str(error)
+        found.append((fault, message))
+    return spark.createDataFrame(found, "fault string, message string")
+
+
+def previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema text and first five rows by key of three tables, as a loaded table is shown to a person."""
+    rows = []
+    for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey")):
+        df = table(spark, sf_dir, name)
+        shown = files.preview(df.orderBy(key)).select(
+            F.col(key).alias("row_key"), F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns if dict(df.dtypes)[c] in ("string", "int", "bigint")]).alias("shown"))
+        rows.append(shown.select(
+            F.lit(name).alias("table_name"), F.lit(df.schema.simpleString()).alias("schema_text"), "row_key", "shown"))
+    return mo.union_all(rows)
+
+
 # ---------------------------------------------------------------------------------------------- SQL
 
 def weekly_sql() -> str:
@@ -244,6 +361,21 @@ ranked AS (SELECT w.week, w.score, a.severity, a.trigger, a.batch_timestamp, a.a
   LEFT JOIN alerts a ON a.batch = w.week OR (a.alert_type = 'Data Health' AND a.batch = left(w.week, 7)))"""
 
 
+def preview_sql() -> str:
+    """First five rows by key of the previewed tables, beside the text of their schema."""
+    shown = {
+        "orders": ("o_orderkey", "struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>",
+                   ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+        "customer": ("c_custkey", "struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string>",
+                     ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
+        "part": ("p_partkey", "struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:int,p_retailprice:double>",
+                 ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]),
+    }
+    return " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT '{n}' AS table_name, '{text}' AS schema_text, {key} AS row_key,
+        concat_ws('|', {', '.join(columns)}) AS shown FROM {n} ORDER BY {key} LIMIT 5)""" for n, (key, text, columns) in shown.items())
+
+
 def queries() -> dict:
     r = mo.rounded
     out_features = lambda s, d: r(features(s, d).drop("first_date", "last_date"))
@@ -253,6 +385,17 @@ def queries() -> dict:
         "prepare_from_csv": prepared_year,
         "any_csv": inferred_csv,
         "json_roundtrip": health_json,
+        "json_health_maps": health_maps,
+        "weekly_json": weekly_json,
+        "alerts_from_json": alerts_from_json,
+        "csv_report": csv_report,
+        "csv_rejections": csv_rejections,
+        "table_preview": previews,
+        "history_year_change": nothing_new,
+        "week_message": lambda s, d: views.week_message(stored_scores(s, d)),
+        "latest_week_comparison": lambda s, d: r(views.week_comparison(stored_comparison(s, d), views.LATEST)),
+        "chosen_week_deviations": lambda s, d: mo.long_integers(r(views.labelled_deviations(
+            stored_scores(s, d), CHOSEN_WEEK))),
         "json_missing_map": missing_json,
         "report_store": report_history,
         "recent_reports": lambda s, d: mo.long_integers(report_store.recent_reports(mo.union_all([
@@ -260,7 +403,8 @@ def queries() -> dict:
             for hour, report in enumerate(mo.reports(s, d))])).drop("saved_at")),
         "table_facts": facts_of_tables,
         "weekly_features": out_features,
-        "weekly_partial_window": lambda s, d: weekly.partial_weeks(features(s, d), PERIOD).select(
+        "weekly_partial_window": lambda s, d: weekly.partial_weeks(
+            weekly.week_dates(purchases(s, d), ROLES.date), PERIOD).select(
             "week_start", "first_date", "last_date", "is_partial_source_window", "source_window_note"),
         "weekly_baseline": lambda s, d: r(comparison(s, d).select(
             "week_start", "feature", "historical_observations", "baseline_mean", "baseline_stddev")),
@@ -278,18 +422,18 @@ def queries() -> dict:
             F.round(F.col("feature_comparison")["duplicate_rate"]["z_score"], 4).alias("duplicate_z"),
             "behavioral_similarity_score", "drift_status",
             F.array_join(F.transform("top_deviating_features", lambda x: x["feature"]), ",").alias("top_features")),
-        "behavior_alerts": lambda s, d: flat_alerts(alerts.behavior_alerts(fingerprints(s, d), GENERATED)),
-        "health_alerts": lambda s, d: flat_alerts(alerts.health_alerts(mo.month_health(s, d), GENERATED)),
-        "all_alerts": lambda s, d: flat_alerts(every_alert(fingerprints(s, d), mo.month_health(s, d))),
+        "behavior_alerts": lambda s, d: flat_alerts(alerts.behavior_alerts(stored_results(s, d)[0], GENERATED)),
+        "health_alerts": lambda s, d: flat_alerts(alerts.health_alerts(mo.stored_months(s, d), GENERATED)),
+        "all_alerts": lambda s, d: flat_alerts(every_alert(*stored_results(s, d))),
         "merged_history": lambda s, d: flat_alerts(merged(s, d)),
         "stored_history": lambda s, d: flat_alerts(stored_alerts(s, d)),
         "week_status": week_status,
         "alert_listing": lambda s, d: alerts.alert_listing(
-            every_alert(fingerprints(s, d), mo.month_health(s, d))),
-        "labelled_deviations": lambda s, d: mo.long_integers(r(views.labelled_deviations(scores(s, d)))),
-        "week_comparison": lambda s, d: r(views.week_comparison(comparison(s, d))),
-        "weekly_trend": lambda s, d: views.weekly_trend(scores(s, d)),
-        "overview": lambda s, d: views.overview(mo.month_health(s, d), scores(s, d)),
+            every_alert(*stored_results(s, d))),
+        "labelled_deviations": lambda s, d: mo.long_integers(r(views.labelled_deviations(stored_scores(s, d)))),
+        "week_comparison": lambda s, d: r(views.week_comparison(stored_comparison(s, d))),
+        "weekly_trend": lambda s, d: views.weekly_trend(stored_scores(s, d)),
+        "overview": lambda s, d: views.overview(mo.stored_months(s, d), stored_scores(s, d)),
     }
 
 
@@ -311,6 +455,42 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT count(*) FILTER (WHERE d IS NULL) AS invalid_dates, count(*) FILTER (WHERE year(d) = 1998) AS records,
             min(d) FILTER (WHERE year(d) = 1998) AS earliest_date, max(d) FILTER (WHERE year(d) = 1998) AS latest_date
             FROM (SELECT {spoiled} AS d FROM raw)"""),
+        "json_health_maps": health(
+            f"""SELECT s.batch AS month, s."column", s."count", s.mean, s.stddev, s.min, s.max, o.q1, o.q3, o.outlier_count,
+            o.outlier_percentage FROM ({mo.stats_sql('purchases', mo.MONTH, mo.NUMERIC, 'records')}) s
+            JOIN outl o ON o.batch = s.batch AND o."column" = s."column\""""),
+        "weekly_json": week(
+            f"""SELECT strftime(week_start, '%Y-%m-%d') AS week, drift_status, behavioral_similarity_score, feature,
+            round(current, 4) AS value, round(current, 4) AS current, round(baseline_mean, 4) AS baseline_mean,
+            round(baseline_stddev, 4) AS baseline_stddev, round(z_score, 4) AS z_score
+            FROM zed JOIN (SELECT week_start, drift_status, behavioral_similarity_score FROM drift) USING (week_start)"""),
+        "alerts_from_json": alert("SELECT * FROM merged"),
+        "csv_report": f"""SELECT r.*, CAST(NULL AS VARCHAR) AS message FROM ({mo.report_rows_sql()}) r
+            WHERE file_name IN ('customer.parquet', 'part.parquet')
+            UNION ALL BY NAME SELECT 'part.txt' AS file_name, 'Please upload a valid .csv file.' AS message""",
+        "csv_rejections": mo.with_purchases(
+            f"""SELECT 'swapped header' AS fault, 'CSV header does not conform to the schema' AS message
+            UNION ALL SELECT 'bad dates', 'Found ' || count(*) || ' null or unparseable order_date values.'
+              FROM raw WHERE product_code % 7 = 0
+            UNION ALL SELECT 'empty year', CASE WHEN count(*) = 0 THEN 'No genuine 1890 purchase records were found.' END
+              FROM raw WHERE year(order_date) = 1890"""),
+        "table_preview": preview_sql(),
+        "history_year_change": alert("SELECT * FROM alerts WHERE batch LIKE '1999%'"),
+        "week_message": week(
+            """SELECT week_start, drift_status, source_window_note, CASE drift_status WHEN 'Normal' THEN 'INFO / NORMAL'
+              WHEN 'Moderate Drift' THEN 'WARNING' WHEN 'Major Drift' THEN 'HIGH' END AS severity,
+            CASE drift_status WHEN 'Normal' THEN 'Weekly purchase behaviour is consistent with the prior-only historical baseline.'
+              WHEN 'Moderate Drift' THEN 'Weekly purchase behaviour shows moderate drift from the prior-only historical baseline.'
+              WHEN 'Major Drift' THEN 'Weekly purchase behaviour shows major drift from the prior-only historical baseline.'
+              ELSE 'Behavioral Similarity Score: N/A. Drift Status: Baseline Building. Four earlier weekly batches and valid feature statistics are required before scoring.' END AS message
+            FROM drift"""),
+        "latest_week_comparison": week(
+            f"""SELECT week_start, {label} AS feature, round(current, 4) AS current, round(baseline_mean, 4) AS baseline_mean,
+            round(baseline_stddev, 4) AS baseline_stddev, round(z_score, 4) AS z_score FROM zed
+            WHERE week_start = (SELECT max(week_start) FROM zed)"""),
+        "chosen_week_deviations": week(
+            f"""SELECT week_start, rank, {label} AS feature, round(z_score, 4) AS z_score, round(current, 4) AS current,
+            round(baseline_mean, 4) AS baseline_mean FROM top WHERE week_start = DATE '{CHOSEN_WEEK}'"""),
         "csv_roundtrip": mo.with_purchases(f"SELECT * REPLACE ({spoiled} AS order_date) FROM raw"),
         "prepare_from_csv": mo.with_purchases("SELECT * FROM purchases WHERE year(order_date) = 1998"),
         "any_csv": mo.stats_sql("orders", "", ["o_orderkey", "o_custkey", "o_totalprice"], "valid"),
