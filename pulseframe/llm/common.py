@@ -14,9 +14,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 WORD = re.compile(r"\w+")
 # Text bytes that a slice of an Arrow batch holds before the next slice begins; one longer text is a slice alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
 # Distinct words whose hashes a task remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

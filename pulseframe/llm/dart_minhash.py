@@ -49,7 +49,7 @@ LEVELS = BASE + 5
 BLOCK = 512
 LIKELY = 0.73
 # Documents and shingles that are thrown at once.
-DOCS_AT_ONCE, SHINGLES_AT_ONCE = 192, 60_000
+DOCS_AT_ONCE, SHINGLES_AT_ONCE = 128, 30_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -156,7 +156,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text"):
                 keys, found, low = sketched(part.column("text").to_pylist(), cache)
                 ends = np.cumsum([0, *(0 if f is None else BANDS for f in found)])
                 flat = [f for f in found if f is not None]
