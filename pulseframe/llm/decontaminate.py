@@ -5,7 +5,8 @@ are joined with the seeds of all documents. So that a document's seeds need no s
 document first asks a Bloom filter of fixed size (2 MB, built from at most 2^24 bit numbers, however large the benchmark
 is); only documents with a hit leave their task, with their words as hashes. Each joined seed gives a diagonal (document
 position minus item position); along it, the words of item and document are compared one by one, and the best segment
-(+1 for equal words, -2 for others) counts if it has ``LEAST_WORDS`` equal words or ``LEAST_SHARE`` of the item.
+(+1 for equal words, -2 for others) counts if it has ``LEAST_WORDS`` equal words, or if ``LEAST_SHARE`` of all words of the
+item agree; then it reaches from the first to the last of them.
 
 Defined cases: items that are equal word by word count as the one with the smallest id; items and documents of fewer
 words than the lightest mask has ones are seeds as a whole, so short items match only documents that equal them. NULL and
@@ -199,7 +200,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ):
             words, there = np.frombuffer(item_bytes, "u8"), np.frombuffer(facing_bytes, "u8")
             skipped = max(0, -diagonal)
-            start, end, equal = best_segment(words[skipped:skipped + len(there)] == there)
+            agree = words[skipped:skipped + len(there)] == there
+            start, end, equal = best_segment(agree)
+            same = np.flatnonzero(agree)
+            if len(same) >= LEAST_SHARE * len(words):
+                start, end, equal = int(same[0]), int(same[-1]) + 1, len(same)
             whole = len(words) >= WEIGHT or (equal == len(words) == len(there))
             if whole and (equal >= LEAST_WORDS or equal >= LEAST_SHARE * len(words)):
                 at = max(diagonal, 0)
