@@ -1,9 +1,9 @@
 import os
 
 import pytest
+from tests_data import PROSE
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-PROSE = "the quick brown fox jumps over the lazy dog while seven wizards watch from a distant hill in silence"
 # Columns that could clash with names the operators use inside.
 CLASHING = ["key", "score", "node", "words", "label", "band", "pivot", "size", "host", "tree", "payload", "held_out"]
 

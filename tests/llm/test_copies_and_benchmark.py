@@ -3,7 +3,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from tests_data import SF_DIR
+from tests_data import PROSE, SF_DIR
 
 from pulseframe.llm import components, dart_minhash, decontaminate
 from pulseframe.llm.common import WordHashes, table, word_hashes
@@ -139,8 +139,6 @@ def test_substitutions_and_parts(spark, length, changes, part, expected):
 
 
 def test_edge_rows_of_the_benchmark(spark, edge_docs, no_docs):
-    from conftest import PROSE
-
     schema = "item_id long, text string, seed string, item_words string"
     benchmark = spark.createDataFrame(
         [(3, PROSE, "x", "y"), (2, PROSE.upper(), "x", "y"), (4, "", "x", "y"), (5, None, "x", "y"), (6, "tiny", "x", "y"), (None, PROSE, "x", "y")],
