@@ -39,7 +39,8 @@ from pulseframe.sources.staging import fresh_path, stage
 
 REVISIT_BYTES = 100
 BLOCK_LINES = 2000
-ROLL_BYTES = 256 << 20
+TASK_LINES = 50_000
+ROLL_BYTES = 64 << 20
 OPEN_FILES, OPEN_BLOCKS = 32, 16
 CAPTURED = "2024-01-01T00:00:00Z"
 
@@ -387,7 +388,10 @@ def look_up(requests: DataFrame, index: DataFrame) -> DataFrame:
             reader.ranges.close()
 
     wanted = requests.select(url_key(F.col("url")).alias("key"), F.col("page_id").cast("long").alias("page_id")).distinct()
-    ordered = wanted.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    # The reads behind a narrow request are wide, so the number of tasks follows the captures, not the requests' bytes.
+    lines = sum(r["lines"] for r in index.select("lines").collect())
+    tasks = max(requests.sparkSession.sparkContext.defaultParallelism, -(-lines // TASK_LINES))
+    ordered = wanted.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
     return ordered.mapInArrow(find, FOUND)
 
 
