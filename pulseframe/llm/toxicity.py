@@ -21,6 +21,7 @@ Repeated rows give repeated rows with equal scores; other columns are ignored.
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from collections import Counter
 from collections.abc import Callable, Sequence
@@ -53,7 +54,7 @@ CLEAR_MAJORITY = 3
 LEAST_CORRELATION = 0.1
 FEATURES = 1 << 18
 KEPT_FEATURES = 6000
-STEPS, LEARNING, DECAY = 400, 0.5, 2e-3
+STEPS, LEARNING, DECAY = 250, 0.05, 1e-3
 SCALE = 100.0
 
 
@@ -72,16 +73,16 @@ class Sample:
 
     words: list[Counter] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
-    texts: list[str] = field(default_factory=list)
+    addressed: list[bool] = field(default_factory=list)
     labels: list[float] = field(default_factory=list)
     toxic_share: float = 0.1
 
     def add(self, text: str | None, label: float) -> None:
         lower = (text or "").lower()
         found = WORD.findall(lower)
-        self.words.append(Counter(found))
+        self.words.append(Counter(map(sys.intern, found)))  # one string per distinct word of the sample
         self.sizes.append(max(1, len(found)))
-        self.texts.append(lower)
+        self.addressed.append(bool(ADDRESS.search(lower)))
         self.labels.append(label)
 
 
@@ -98,15 +99,16 @@ def term_counts(words: Counter) -> Counter:
     return out
 
 
-def proposed_terms(counts: Sequence[Counter], sizes: Sequence[int], labels: np.ndarray) -> list[tuple[str, bool]]:
+def proposed_terms(sample: Sample) -> list[tuple[str, bool]]:
     """(term, whether by rate) of the voters, those that occur in most toxic documents first.
 
     A term is left out if it begins, or begins with, a better one and adds few documents to it.
     """
-    positive, negative = float((labels == 1).sum()), float((labels == 0).sum())
+    positive, negative = float(sample.labels.count(1.0)), float(sample.labels.count(0.0))
     seen = {1.0: Counter(), 0.0: Counter()}
-    for count, size, label in zip(counts, sizes, labels, strict=True):
+    for words, size, label in zip(sample.words, sample.sizes, sample.labels, strict=True):
         if label == label:
+            count = term_counts(words)
             seen[label].update((term, False) for term in count)
             seen[label].update((term, True) for term, n in count.items() if n >= RATE * size)
     ranked = []
@@ -126,19 +128,20 @@ def proposed_terms(counts: Sequence[Counter], sizes: Sequence[int], labels: np.n
     return chosen
 
 
-def votes(sample: Sample, counts: Sequence[Counter], terms: Sequence[tuple[str, bool]]) -> np.ndarray:
+def votes(sample: Sample, terms: Sequence[tuple[str, bool]]) -> np.ndarray:
     """One row per document, one column per voter: 1 toxic, -1 clean, 0 no vote."""
-    out = np.zeros((len(counts), len(terms) + 4), "i1")
+    out = np.zeros((len(sample.words), len(terms) + 4), "i1")
     names = {term for term, _ in terms}
-    for row, (count, size) in enumerate(zip(counts, sample.sizes, strict=True)):
+    for row, (words, size) in enumerate(zip(sample.words, sample.sizes, strict=True)):
+        count = term_counts(words)
         for column, (term, by_rate) in enumerate(terms):
             out[row, column] = count.get(term, 0) >= (RATE * size if by_rate else 1)
         hits = [count[t] for t in names if t in count]
         fired = int(out[row, :len(terms)].sum())
-        lexicon = sum(sample.words[row].get(w, 0) for w in LEXICON)
+        lexicon = sum(words.get(w, 0) for w in LEXICON)
         out[row, len(terms):] = [
             1 if lexicon >= 2 or lexicon >= RATE * size else 0,
-            1 if ADDRESS.search(sample.texts[row]) else 0,
+            int(sample.addressed[row]),
             1 if fired >= 3 else -1 if fired == 0 else 0,
             1 if sum(hits) >= RATE * size else -1 if sum(hits) < RATE / 2 * size else 0,
         ]
@@ -255,10 +258,10 @@ def train(documents: Sequence[Counter], sizes: Sequence[int], belief: np.ndarray
     for step in range(1, STEPS + 1):
         margin = bias + np.bincount(row, weights[column] * value, n)
         slope = (sigmoid(margin) - target) * weight
-        gradient = np.append(np.bincount(column, slope[row] * value, len(kept)) + DECAY * 1e-2 * weights, slope.sum())
+        gradient = np.append(np.bincount(column, slope[row] * value, len(kept)) + DECAY * weights, slope.sum())
         momentum = 0.9 * momentum + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient ** 2
-        move = LEARNING * 0.1 * (momentum / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
+        move = LEARNING * (momentum / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
         weights -= move[:-1]
         bias -= move[-1]
     return Classifier({int(f): float(w) for f, w in zip(kept, weights, strict=True) if abs(w) > 1e-6}, float(bias))
@@ -269,8 +272,7 @@ def fitted(sample: Sample) -> Classifier:
     labels = np.array(sample.labels, "f8")
     if not (labels == 1).any() or not (labels == 0).any():
         return Classifier()
-    counts = [term_counts(w) for w in sample.words]
-    ballot = votes(sample, counts, proposed_terms(counts, sample.sizes, labels))
+    ballot = votes(sample, proposed_terms(sample))
     # The share of toxic documents in the sample, that of the unlabelled part taken from all open labels.
     known = np.isfinite(labels)
     prior = (float((labels == 1).sum()) + sample.toxic_share * float((~known).sum())) / len(labels)
@@ -301,7 +303,7 @@ def sampled(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, unla
     )
     # At most 2 * per_label + unlabelled rows of two numbers, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    for row in rows.groupBy("doc_id").agg(F.first("text").alias("text"), F.first("label").alias("label")).orderBy("doc_id").toLocalIterator():
+    for row in rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).orderBy("doc_id").toLocalIterator():
         sample.add(row["text"], np.nan if row["label"] is None else row["label"])
     return sample
 
