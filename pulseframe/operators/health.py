@@ -15,7 +15,11 @@ def growth_rate(records: Column, previous: Column) -> Column:
 
 
 def with_growth(batches: DataFrame, batch: str = "batch") -> DataFrame:
-    """Add ``previous_records`` and ``growth_rate``. The window runs over one row per batch, never over facts."""
+    """Add ``previous_records`` and ``growth_rate``.
+
+    The window runs over one row per batch, never over facts. It has no partition, so all batches pass through one
+    task: fine for calendar keys and for what a report shows, not for a key with hundreds of millions of values.
+    """
     previous = F.lag("total_records").over(Window.orderBy(batch))
     return batches.withColumns({
         "previous_records": previous, "growth_rate": growth_rate(F.col("total_records"), previous)

@@ -112,6 +112,9 @@ WEEK_MESSAGES = (
 REASON_LIMIT = 105
 
 
+# Fixed values, too: the default limits of all rules below.
+
+
 @dataclass(frozen=True)
 class HealthRules:
     """Limits and deductions of the per-batch health score."""
