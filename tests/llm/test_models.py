@@ -247,3 +247,68 @@ def test_whole_licences_and_near_texts():
 def test_edge_rows_of_licences(edge_docs, no_docs):
     assert licences.scan_documents(edge_docs).count() == 0
     assert licences.scan_documents(no_docs).count() == 0
+
+
+def in_paragraphs(text, *starts):
+    """A template in its usual layout, with blank lines before the given words."""
+    text = " ".join(text.split())
+    for words in starts:
+        assert words in text
+        text = text.replace(words, f"\n\n{words}", 1)
+    return text
+
+
+LAYOUTS = {
+    "MIT": ["The above copyright notice", "THE SOFTWARE IS PROVIDED"],
+    "BSD": ["1. Redistributions", "2. Redistributions", "THIS SOFTWARE IS PROVIDED"],
+    "GPL": ["This program is distributed", "You should have received"],
+    "Apache": ["http://www.apache.org", "Unless required"],
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("head", ["", "Copyright (c) 2020 Jane Doe. All rights reserved.\n", "/*\n * Copyright 2020\n *\n * "])
+def test_licences_with_blank_lines_between_prose(name, head):
+    prose = "Some prose that is about something else altogether.\n" * 40
+    body = in_paragraphs(licences.TEMPLATES[name][-1], *LAYOUTS[name])
+    text = prose + "\n" + head + body + "\n\n" + prose
+    ((start, end, found, score),) = licences.found_in(text, licences.Templates())
+    assert found == name and score == 1.0
+    assert licences.bigrams(text[start:end]) == licences.bigrams(body)
+
+
+@pytest.mark.parametrize(("text", "names"), [
+    ("Copyright (c) 2020 Jane Doe. Released under the MIT License.", ["MIT"]),
+    ("İn short, we say that this is licensed under the Apache License, Version 2.0, as are most of our tools.", ["Apache"]),
+    ("The code is released under the MIT License and the texts are licensed under CC BY-NC 4.0 from now on.", ["MIT", "CC-BY-NC"]),
+    ("As the site says, this work is licensed under the GNU General Public License, version 3, like all others.", ["GPL"]),
+    ("See the header of the file: SPDX-License-Identifier: Zlib is what it says there.", []),
+    ("It was released under the terms of a licence and in the public domain of the world.", []),
+])
+def test_notices_inside_longer_lines(text, names):
+    found = licences.found_in(text, licences.Templates())
+    assert [f[2] for f in found] == names
+    assert all(text[s - 1:s].strip(" ") == "" and score == 1.0 for s, _, _, score in found)
+
+
+def test_windows_equal_all_windows():
+    """Against every window from the size of the template on, one template at a time, on its own words with changes."""
+    pick, seen = np.random.default_rng(4), 0
+    for name, group in licences.TEMPLATES.items():
+        for own in group:
+            size = len(licences.bigrams(own))
+            if size > 12:
+                continue
+            chain = licences.WORDS.findall(own.lower())
+            for _ in range(6):
+                words = [str(w) for w in pick.choice([*chain, "rain", "stone", "cloud"], 30)]
+                words[10:10] = [w if pick.random() < 0.9 else "rain" for w in chain]
+                pairs, count = licences.bigrams(" ".join(words)), licences.Counter(licences.bigrams(own))
+                best = max(
+                    2 * sum((licences.Counter(pairs[a:b]) & count).values()) / (b - a + size)
+                    for a in range(len(pairs)) for b in range(a + size, min(len(pairs), 2 * size + a) + 1)
+                )
+                got = licences.windows_in(" ".join(words), licences.Templates({name: [own]}))
+                assert (max(g[3] for g in got) if got else 0.0) == pytest.approx(best if best >= licences.DICE else 0.0)
+                seen += bool(got)
+    assert seen > 60
