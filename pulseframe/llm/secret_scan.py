@@ -2,7 +2,7 @@
 
 A BPE vocabulary packs words into few tokens and random strings into many, so a low ratio of characters to tokens
 exposes keys that no pattern knows. Candidates are runs of key characters; known digests (hexadecimal runs of digest
-length), UUIDs and plain identifiers (words, snake case, camel case, versions, paths) are not tested.
+length), UUIDs, numbers and plain identifiers (words that take few tokens and numbers between separators) are not tested.
 
 Offsets count code points, ends are exclusive. NULL is an empty text; an empty text has no spans. Spans of equal start
 are in the order of ``KINDS``. Repeated rows give repeated rows; other columns are ignored. Whole texts are scanned.
@@ -34,7 +34,9 @@ CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{RANDOM_LEAST},}}")
 HEX_LONG = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[-_/.=+]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*")
+DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
+PART = re.compile(r"[A-Za-z0-9]+")
+SHORT_WORD = 3
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -45,14 +47,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def is_known(candidate: str) -> bool:
+def is_plain(part: str, coder) -> bool:
+    """Whether a part without separators is a number or a word: short, or of letters that take few tokens."""
+    if part.isdigit():
+        return True
+    return part.isalpha() and (len(part) <= SHORT_WORD or len(part) > RANDOM_RATIO * len(encode(part, coder)))
+
+
+def is_known(candidate: str, coder) -> bool:
     """Whether a candidate is a digest, a UUID, or an identifier made of whole words and whole numbers."""
-    if DIGEST.fullmatch(candidate) or UUID.fullmatch(candidate):
+    if len(candidate) in DIGEST_LENGTHS and DIGEST.fullmatch(candidate) or UUID.fullmatch(candidate):
         return True
-    digits = sum(c.isdigit() for c in candidate)
-    if not digits or digits == len(candidate):
-        return True  # words without a digit, or a number
-    return bool(IDENTIFIER.fullmatch(candidate))
+    return all(is_plain(part, coder) for part in PART.findall(candidate))
 
 
 def random_spans(text: str, coder, covered: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -67,7 +73,7 @@ def random_spans(text: str, coder, covered: list[tuple[int, int, int]]) -> list[
         if before and ends[before - 1] > m.start():
             continue
         candidate = m.group()
-        if not is_known(candidate) and len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder)):
+        if not is_known(candidate, coder) and len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder)):
             found.append((m.start(), 3, m.end()))
     return found
 

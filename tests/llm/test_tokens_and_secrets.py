@@ -126,6 +126,25 @@ def test_known_strings_are_not_random(known):
     assert not [s for s in secret_scan.spans(f"see {known} here", bpe.encoding())[1] if s[1] == 3]
 
 
+@pytest.mark.parametrize(("letters", "length"), [
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 24), ("abcdefghijklmnopqrstuvwxyz", 32), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 32),
+    ("0123456789abcdef", 24), ("0123456789ABCDEF", 28), ("0123456789ABCDEF", 48),
+])
+def test_keys_of_letters_or_hexadecimal_digits_are_found(letters, length):
+    pick = random.Random(length)
+    keys = ["".join(pick.choices(letters, k=length)) for _ in range(200)]
+    found = [[(f"see {k} here"[s:e], n) for s, n, e in secret_scan.spans(f"see {k} here", bpe.encoding())[1]] for k in keys]
+    assert sum(f == [(k, 3)] for f, k in zip(found, keys, strict=True)) >= 190
+
+
+@pytest.mark.parametrize("known", [
+    "------------------------------", "-=-=-=-=-=-=-=-=-=-=-=-=", "a-b-c-d-e-f-g-h-i-j-k-l-m", "getElementsByTagNameAndClassName",
+    "1234-5678-9012-3456-7890", "D41D8CD98F00B204E9800998ECF8427E00000000", "usr/lib/src/bin/etc/opt/var",
+])
+def test_plain_strings_without_digits_are_not_random(known):
+    assert not secret_scan.spans(f"see {known} here", bpe.encoding())[1]
+
+
 def test_redaction_leaves_no_span_and_all_rows(edge_docs, spark):
     text = 'say token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" and q9Zk3LxT0vBn7WcYp2Rs8HdJ end'
     _, every = secret_scan.spans(text, bpe.encoding())
