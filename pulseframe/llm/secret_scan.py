@@ -3,6 +3,9 @@
 A BPE vocabulary packs words into few tokens and random strings into many, so a low ratio of characters to tokens
 exposes keys that no pattern knows. Candidates are runs of key characters; known digests (hexadecimal runs of digest
 length), UUIDs, numbers and plain identifiers (words that take few tokens and numbers between separators) are not tested.
+What base patterns leave of a run is a candidate of its own. If a candidate as a whole does not look random, its parts
+between separators are tested, each with as many of the next ones as the least length takes; a span of such parts ends
+where words, numbers, digests or UUIDs begin.
 
 Offsets count code points, ends are exclusive. NULL is an empty text; an empty text has no spans. Spans of equal start
 are in the order of ``KINDS``. Repeated rows give repeated rows; other columns are ignored. Whole texts are scanned.
@@ -12,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
@@ -35,7 +37,8 @@ HEX_LONG = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
-PART = re.compile(r"[A-Za-z0-9]+")
+PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
+SEPARATORS = "+/_=-"
 SHORT_WORD = 3
 
 
@@ -47,6 +50,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def is_digest(part: str) -> bool:
+    return bool(len(part) in DIGEST_LENGTHS and DIGEST.fullmatch(part) or UUID.fullmatch(part))
+
+
 def is_plain(part: str, coder) -> bool:
     """Whether a part without separators is a number or a word: short, or of letters that take few tokens."""
     if part.isdigit():
@@ -56,25 +63,85 @@ def is_plain(part: str, coder) -> bool:
 
 def is_known(candidate: str, coder) -> bool:
     """Whether a candidate is a digest, a UUID, or an identifier made of whole words and whole numbers."""
-    if len(candidate) in DIGEST_LENGTHS and DIGEST.fullmatch(candidate) or UUID.fullmatch(candidate):
-        return True
-    return all(is_plain(part, coder) for part in PART.findall(candidate))
+    return all(is_digest(m.group()) or is_plain(m.group(), coder) for m in PART.finditer(candidate))
+
+
+def looks_random(candidate: str, coder) -> bool:
+    return len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder))
+
+
+def random_parts(candidate: str, coder) -> list[tuple[int, int]]:
+    """Spans of the parts of a candidate that look random though the whole does not."""
+    parts = [m.span() for m in PART.finditer(candidate)]
+    digest = [is_digest(candidate[a:b]) for a, b in parts]
+    plain = [d or is_plain(candidate[a:b], coder) for (a, b), d in zip(parts, digest, strict=True)]
+    marked = [False] * len(parts)
+    reach = last = 0
+    for first in range(len(parts)):
+        while last < len(parts) and parts[last][1] - parts[first][0] < RANDOM_LEAST:
+            last += 1
+        if last == len(parts):
+            break
+        last = max(last, first)
+        if any(digest[first:last + 1]) or all(plain[first:last + 1]):
+            continue
+        if looks_random(candidate[parts[first][0]:parts[last][1]], coder):
+            for n in range(max(first, reach), last + 1):
+                marked[n] = True
+            reach = last + 1
+    found, n = [], 0
+    while n < len(parts):
+        if not marked[n]:
+            n += 1
+            continue
+        stop = n
+        while stop < len(parts) and marked[stop]:
+            stop += 1
+        first, end = n, stop
+        while plain[first] and first < end - 1:
+            first += 1
+        while plain[end - 1] and end - 1 > first:
+            end -= 1
+        if parts[end - 1][1] - parts[first][0] < RANDOM_LEAST:  # short without the plain parts at its ends
+            first, end = n, stop
+        while first and not plain[first - 1]:
+            first -= 1
+        while end < len(parts) and not plain[end]:
+            end += 1
+        start, close = parts[first][0], parts[end - 1][1]
+        while close < len(candidate) and candidate[close] == "=":
+            close += 1
+        if found and found[-1][1] > start:
+            start = found.pop()[0]
+        found.append((start, close))
+        n = max(stop, end)
+    return found
 
 
 def random_spans(text: str, coder, covered: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Candidates outside the ``covered`` spans whose tokens are short."""
-    found, ends, reach = [], [], 0
-    starts = [start for start, _, _ in covered]
-    for _, _, end in covered:
-        reach = max(reach, end)
-        ends.append(reach)
+    """What lies outside the ``covered`` spans and has short tokens."""
+    found, at = [], 0
     for m in CANDIDATE.finditer(text):
-        before = bisect_left(starts, m.end())  # spans that begin before the candidate ends
-        if before and ends[before - 1] > m.start():
-            continue
-        candidate = m.group()
-        if not is_known(candidate, coder) and len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder)):
-            found.append((m.start(), 3, m.end()))
+        while at < len(covered) and covered[at][2] <= m.start():
+            at += 1
+        stretches, start, n = [], m.start(), at
+        while n < len(covered) and covered[n][0] < m.end():
+            stretches.append((start, covered[n][0]))
+            start = max(start, covered[n][2])
+            n += 1
+        for start, end in [*stretches, (start, m.end())]:
+            if (start, end) != m.span():  # no separator that only led on to a base span
+                while start < end and text[start] in SEPARATORS:
+                    start += 1
+                while start < end and text[end - 1] in SEPARATORS and (text[end - 1] != "=" or end != m.end()):
+                    end -= 1
+            candidate = text[start:end]
+            if len(candidate) < RANDOM_LEAST or is_known(candidate, coder):
+                continue
+            if looks_random(candidate, coder):
+                found.append((start, 3, end))
+            else:
+                found += [(start + a, 3, start + b) for a, b in random_parts(candidate, coder)]
     return found
 
 
