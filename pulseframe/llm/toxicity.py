@@ -1,8 +1,10 @@
 """Toxicity scores by weak supervision.
 
 1. Voters. Terms (words and word beginnings) are proposed by how much more often they occur in toxic rows of a bounded
-   labelled sample; each gives two voters, one on occurrence and one on a rate of ``RATE`` of the words. Fixed voters are
-   a short lexicon, an address pattern, and voters on the number and the rate of all terms, which alone vote for clean.
+   labelled sample; each gives two voters, one on occurrence and one on a rate of ``RATE`` of the words. The commonest
+   terms come first; toxic rows that have few of them, as those of a small language or topic, add terms of their own.
+   Fixed voters are a short lexicon, an address pattern, and voters on the number and the rate of all terms, which alone
+   vote for clean, and only on texts most of whose words they know from labelled rows.
 2. Label model. A generative model without labels: a hidden class, and per voter the chance of each vote given the class,
    fitted by expectation maximisation on the sample with more, unlabelled documents. Correlations of the voters given the class
    are estimated from the residuals, and a voter's evidence is divided by how much of it others repeat.
@@ -20,6 +22,7 @@ Repeated rows give repeated rows with equal scores; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from array import array
@@ -41,6 +44,11 @@ BEGINNINGS = (4, 5, 6)
 TERMS = 60
 LEAST_DOCUMENTS, LEAST_SHARE = 6, 0.03
 LEAST_PRECISION = 0.85
+# Terms for small groups: voters that a toxic row should have, chance that a term without a meaning is so one-sided.
+COVER = 8
+CHANCE = 1e-4
+# Least share of known words of a text that gets a vote for clean.
+KNOWN_SHARE = 0.5
 RATE = 0.006
 # A short general lexicon and a pattern of address.
 LEXICON = frozenset("""
@@ -102,7 +110,8 @@ def term_counts(words: Counter) -> Counter:
 def proposed_terms(sample: Sample) -> list[tuple[str, bool]]:
     """(term, whether by rate) of the voters, those that occur in most toxic documents first.
 
-    A term is left out if it begins, or begins with, a better one and adds few documents to it.
+    A term is left out if it begins, or begins with, a better one and adds few documents to it. The terms after the first
+    ``TERMS`` need no share of all toxic rows: they are taken for the rows that have fewer than ``COVER`` voters so far.
     """
     positive, negative = float(sample.labels.count(1.0)), float(sample.labels.count(0.0))
     seen = {1.0: Counter(), 0.0: Counter()}
@@ -111,27 +120,68 @@ def proposed_terms(sample: Sample) -> list[tuple[str, bool]]:
             count = term_counts(words)
             seen[label].update((term, False) for term in count)
             seen[label].update((term, True) for term, n in count.items() if n >= RATE * size)
-    ranked = []
+    ranked, rare = [], []
+    toxic_part = positive / (positive + negative)
     for key, hits in seen[1.0].items():
-        if hits >= max(LEAST_DOCUMENTS, LEAST_SHARE * positive):
+        if hits >= LEAST_DOCUMENTS:
             share, other = hits / positive, (seen[0.0][key] + 0.5) / negative
-            if share / (share + other) >= LEAST_PRECISION:
-                ranked.append((hits, share / (share + other), key))
+            precision = share / (share + other)
+            if precision >= LEAST_PRECISION:
+                if hits >= LEAST_SHARE * positive:
+                    ranked.append((hits, precision, key))
+                elif one_sided(hits, seen[0.0][key], toxic_part):
+                    rare.append((hits, precision, key))
     ranked.sort(key=lambda r: (-r[0] * r[1], r[2]))
     chosen: list[tuple[str, bool]] = []
-    for hits, _, (term, by_rate) in ranked:
+
+    def repeats(term: str, by_rate: bool) -> bool:
         bare = term.rstrip("$")
-        if len(chosen) < TERMS and not any(
-            by_rate == rate and (bare.startswith(t.rstrip("$")) or t.rstrip("$").startswith(bare)) for t, rate in chosen
-        ):
-            chosen.append((term, by_rate))
+        return any(by_rate == rate and (bare.startswith(t.rstrip("$")) or t.rstrip("$").startswith(bare)) for t, rate in chosen)
+
+    for _, _, key in ranked:
+        if len(chosen) < TERMS and not repeats(*key):
+            chosen.append(key)
+    rest = sorted({r[2]: r for r in [*ranked, *rare]}.values(), key=lambda r: (-r[0] * r[1], r[2]))
+    wanted = {key for _, _, key in rest} - set(chosen)
+    rows_of: dict[tuple[str, bool], list[int]] = {key: [] for key in wanted}
+    voters = Counter()
+    first = set(chosen)
+    toxic = [n for n, label in enumerate(sample.labels) if label == 1.0]
+    for n in toxic:
+        count, size = term_counts(sample.words[n]), sample.sizes[n]
+        for term, times in count.items():
+            for key in ((term, False), *([(term, True)] if times >= RATE * size else [])):
+                if key in first:
+                    voters[n] += 1
+                elif key in wanted:
+                    rows_of[key].append(n)
+    for _, _, key in rest:
+        if key in wanted:
+            lacking = [n for n in rows_of[key] if voters[n] < COVER]
+            if len(lacking) >= LEAST_DOCUMENTS and not repeats(*key):
+                chosen.append(key)
+                voters.update(rows_of[key])
     return chosen
 
 
+def one_sided(toxic: int, clean: int, toxic_part: float) -> bool:
+    """Whether so few clean rows among those with a term are beyond chance, by the binomial tail."""
+    n, tail = toxic + clean, 0.0
+    for k in range(clean + 1):
+        tail += math.comb(n, k) * toxic_part ** (n - k) * (1 - toxic_part) ** k
+    return tail <= CHANCE
+
+
+def known_words(sample: Sample) -> set[str]:
+    """The words that labelled rows have."""
+    return {w for words, label in zip(sample.words, sample.labels, strict=True) if label == label for w in words}
+
+
 def votes(sample: Sample, terms: Sequence[tuple[str, bool]]) -> np.ndarray:
     """One row per document, one column per voter: 1 toxic, -1 clean, 0 no vote."""
     out = np.zeros((len(sample.words), len(terms) + 4), "i1")
     names = {term for term, _ in terms}
+    seen = known_words(sample)
     for row, (words, size) in enumerate(zip(sample.words, sample.sizes, strict=True)):
         count = term_counts(words)
         for column, (term, by_rate) in enumerate(terms):
@@ -139,11 +189,12 @@ def votes(sample: Sample, terms: Sequence[tuple[str, bool]]) -> np.ndarray:
         hits = [count[t] for t in names if t in count]
         fired = int(out[row, :len(terms)].sum())
         lexicon = sum(words.get(w, 0) for w in LEXICON)
+        known = sum(n for w, n in words.items() if w in seen) >= KNOWN_SHARE * sum(words.values())
         out[row, len(terms):] = [
             1 if lexicon >= 2 or lexicon >= RATE * size else 0,
             int(sample.addressed[row]),
-            1 if fired >= 3 else -1 if fired == 0 else 0,
-            1 if sum(hits) >= RATE * size else -1 if sum(hits) < RATE / 2 * size else 0,
+            1 if fired >= 3 else -1 if fired == 0 and known else 0,
+            1 if sum(hits) >= RATE * size else -1 if sum(hits) < RATE / 2 * size and known else 0,
         ]
     return out
 

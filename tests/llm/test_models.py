@@ -120,6 +120,36 @@ def test_edge_rows_of_toxicity(spark, toxic_tables, edge_docs, no_docs):
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
 
 
+def test_a_small_toxic_group_is_learnt():
+    """One and a half per cent of the toxic rows in a language of their own, which has clean rows, too."""
+    pick = np.random.default_rng(11)
+    words = {g: [f"{g}{a}{b}{c}" for a in "bdklm" for b in "aeiou" for c in "nrstz"] for g in ("ra", "wu")}
+    bad = {"ra": ["zorgly", "snivex", "blattar", "quorbin", "mugwith"], "wu": ["xhemot", "ykkeral", "vufane", "jibrosk", "oolwend"]}
+
+    def text(group, toxic):
+        chosen = list(pick.choice(words[group], 60))
+        return " ".join(chosen + (list(pick.choice(bad[group], 4, replace=False)) if toxic else []))
+
+    sample = toxicity.Sample(toxic_share=0.3)
+    for group, toxic, rows in (("ra", 1, 1000), ("ra", 0, 1400), ("wu", 1, 15), ("wu", 0, 60)):
+        for _ in range(rows):
+            sample.add(text(group, toxic), float(toxic))
+    score = toxicity.fitted(sample).scorer()
+    for group in ("ra", "wu"):
+        assert np.mean([score(text(group, 1)) >= toxicity.THRESHOLD for _ in range(60)]) >= 0.9
+        assert np.mean([score(text(group, 0)) >= toxicity.THRESHOLD for _ in range(200)]) <= 0.02
+
+
+def test_no_vote_for_clean_on_unknown_words():
+    sample = toxicity.Sample()
+    for n in range(20):
+        sample.add("plain words of a clean text" + (" zorgly" if n % 2 else ""), float(n % 2))
+    sample.add("nothing here was ever seen", np.nan)
+    sample.add("plain words of a text", np.nan)
+    ballot = toxicity.votes(sample, [("zorgly$", False)])
+    assert not ballot[-2].any() and ballot[-1, -2:].tolist() == [-1, -1]
+
+
 def test_label_model_discounts_copies_of_a_voter():
     pick = np.random.default_rng(0)
     truth = pick.random(4000) < 0.2
