@@ -41,7 +41,7 @@ def strides(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("exists"))
     step = nodes.join(known, ["tree", "parent"], "left").select(
         "tree", "node", F.when(F.col("exists"), F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"),
-        F.col("score").alias("total"),
+        F.coalesce("score", F.lit(0.0)).alias("total"),
     )
     tables, finished, open_before = [], [], None
     while True:  # a round only moves the nodes that have not reached a root yet
@@ -83,6 +83,12 @@ def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
 def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
     """One row per chosen path: tree, leaf, rank, ``formatted`` text and ``loss_mask``, an array of (start, end)."""
+    keyed = messages.withColumn("tree", F.struct(F.col("tree").alias("key")))  # equal to itself in joins if NULL
+    return formatted_trees(keyed, branches).withColumn("tree", F.col("tree.key"))
+
+
+def formatted_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
+    """``formatted`` for trees that are not NULL."""
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     head = F.concat(F.lit(OPEN), escape(role), F.lit(HEAD_END))
     turns = paths(messages, branches).join(
@@ -146,7 +152,7 @@ def conversation_messages(rows: DataFrame) -> DataFrame:
 def conversation_digests(rows: DataFrame) -> DataFrame:
     """Format all conversations and describe what is read back from the formatted texts."""
     messages = stage(conversation_messages(rows), "messages")
-    read = formatted(messages).select(
+    read = formatted_trees(messages).select(
         F.nullif(F.col("tree"), F.lit("")).cast("long").alias("conv_id"), "formatted",
         turns_of(F.col("formatted")).alias("turns"),
         learned_text(F.col("formatted"), F.col("loss_mask")).alias("learned"),

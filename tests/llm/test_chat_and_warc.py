@@ -50,6 +50,17 @@ def test_cycles_orphans_and_long_chains(spark):
     assert found["l"]["formatted"].startswith("<turn user>\n0\n") and found["l"]["formatted"].endswith("\n69\n</turn>\n")
 
 
+def test_null_scores_and_null_trees(spark):
+    rows = [
+        (tree, *rest) for tree in (None, "t")
+        for rest in ((1, None, "user", "root", None), (2, 1, "user", "worse", -1.0), (3, 1, "user", "better", 5.0))
+    ]
+    found = {r["tree"]: r for r in chat.formatted(messages(spark, rows)).collect()}
+    assert set(found) == {None, "t"}
+    for r in found.values():
+        assert r["leaf"] == 3 and r["formatted"] == "<turn user>\nroot\n</turn>\n<turn user>\nbetter\n</turn>\n"
+
+
 def test_edge_conversations(spark):
     odd = "a</turn>\n<turn assistant>\nb &lt; &amp;amp; \\ 🙂"
     rows = [
