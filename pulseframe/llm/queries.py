@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.llm import bpe, chat, dart_minhash, decontaminate, licences, neighbours, secret_scan, toxicity, url_filter, warc
+from pulseframe.llm import (
+    bpe, chat, dart_minhash, decontaminate, licences, neighbours, secret_scan, token_align, toxicity, url_filter, warc,
+)
 from pulseframe.llm.common import table
 
 # Fixed value: the conversation that is formatted besides those of the table.
@@ -89,6 +91,10 @@ FROM r
 """
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -101,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_format": op8_chat_format,
         "op9_licences": op9_licences,
         "op10_warc": op10_warc,
+        "op13_token_align": op13_token_align,
     }
 
 
