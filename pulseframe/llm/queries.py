@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseframe.llm import (
-    bpe, chat, dart_minhash, decontaminate, licences, neighbours, prefix_trie, secret_scan, token_align, toxicity,
-    url_filter, warc,
+    bpe, chat, dart_minhash, decontaminate, licences, neighbours, prefix_trie, secret_scan, suffix_array,
+    token_align, toxicity, url_filter, warc,
 )
 from pulseframe.llm.common import table
 
@@ -96,6 +96,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.alignment_digests(table(spark, sf_dir, "documents"))
 
@@ -113,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_licences": op9_licences,
         "op10_warc": op10_warc,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_suffix_array": op12_suffix_array,
         "op13_token_align": op13_token_align,
     }
 
