@@ -64,7 +64,8 @@ def profile_batches(
     )
     outliers = outlier_summary(
         df, numeric, by, max_groups=max_groups, denominator=denominator,
-        accuracy=limits.quartile_accuracy, fence=limits.fence_width,
+        accuracy=limits.quartile_accuracy,
+        exact=limits.exact_quartiles, fence=limits.fence_width,
     )
     copies = duplicate_rows(df, by, identity).drop("total_records", "unique_records")
     return attach(attach(plain, outliers, by), copies, by)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseframe import rules
@@ -9,7 +11,9 @@ from pulseframe.functions import attach, c, percent
 from pulseframe.operators import health
 from pulseframe.operators.duplicates import duplicate_rows
 from pulseframe.operators.missing import missing_array, missing_count_aggregates, missing_total
-from pulseframe.operators.numeric import numeric_aggregates, numeric_array, numeric_columns, outlier_summary
+from pulseframe.operators.numeric import (
+    long_values, numeric_aggregates, numeric_array, numeric_columns, outlier_summary,
+)
 from pulseframe.operators.schema import date_column, schema_snapshot
 from pulseframe.rules import DatasetRules
 
@@ -44,18 +48,32 @@ def dataset_outliers(df: DataFrame, columns: list[str] | None = None, limits: Da
     """Long IQR table of the analysed columns of a whole table."""
     chosen = numeric_columns(df) if columns is None else columns
     summary = outlier_summary(
-        df, chosen, denominator="valid", accuracy=limits.quartile_accuracy, fence=limits.fence_width, digits=2
+        df, chosen, denominator="valid", accuracy=limits.quartile_accuracy,
+        exact=limits.exact_quartiles, fence=limits.fence_width, digits=2
     )
     return summary.select(F.inline(analysed_outliers(F.col("outliers"), limits)))
 
 
+def datasets_outliers(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]], limits: DatasetRules = DatasetRules()
+) -> DataFrame:
+    """The long IQR tables of several tables, measured in the passes of one."""
+    summary = outlier_summary(
+        long_values(tables, columns), ["value"], ["table_name", "column_name"], denominator="valid",
+        max_groups=sum(map(len, columns.values())), accuracy=limits.quartile_accuracy,
+        exact=limits.exact_quartiles, fence=limits.fence_width, digits=2,
+    )
+    found = summary.select("table_name", "column_name", F.inline(analysed_outliers(F.col("outliers"), limits)))
+    return found.drop("column").withColumnRenamed("column_name", "column")
+
+
 def dataset_report(
     df: DataFrame, name: str, limits: DatasetRules = DatasetRules(), *, identity: str = "digest"
 ) -> DataFrame:
     """All measures, issues, score and status of ``df`` as a single row with nested arrays.
 
-    The table is read four times, each time with the columns that pass needs: fixed-size measures, quartile
-    sketches, outlier counts, and row identity. The one-row results meet as scalar subqueries.
+    The table is read five times, each time with the columns that pass needs: fixed-size measures, quartiles (twice),
+    outlier counts, and row identity. The one-row results meet as scalar subqueries.
     """
     columns, numeric = df.columns, numeric_columns(df)
     total = missing_total(columns)
@@ -71,7 +89,8 @@ def dataset_report(
         numeric_array(numeric, "valid").alias("numerical_summary"),
     )
     outliers = outlier_summary(
-        df, numeric, denominator="valid", accuracy=limits.quartile_accuracy, fence=limits.fence_width, digits=2
+        df, numeric, denominator="valid", accuracy=limits.quartile_accuracy,
+        exact=limits.exact_quartiles, fence=limits.fence_width, digits=2
     )
     measured = attach(plain, outliers, [])
     if columns:

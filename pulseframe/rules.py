@@ -132,6 +132,7 @@ class HealthRules:
     warning_from: int = 70
     fence_width: float = 1.5
     quartile_accuracy: int = 10000
+    exact_quartiles: bool = False
 
 
 @dataclass(frozen=True)
@@ -167,6 +168,7 @@ class DatasetRules:
     min_outlier_values: int = 4
     fence_width: float = 1.5
     quartile_accuracy: int = 10000
+    exact_quartiles: bool = False
 
 
 @dataclass(frozen=True)

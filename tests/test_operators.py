@@ -139,6 +139,41 @@ def test_large_quartiles_stay_within_the_sketch_bound(spark):
     assert abs(row["q1"] - n * 0.25) <= n / 10000 + 1 and abs(row["q3"] - n * 0.75) <= n / 10000 + 1
 
 
+@pytest.mark.parametrize("by", [[], ["k"]])
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_large_quantiles_are_exact(spark, by, accuracy):
+    """Over two million values in one group, far more than a sketch holds: ties, NULLs, a NULL group, a column of NULLs."""
+    n = 2_400_000
+    skewed = F.when(F.col("id") % 50 != 0, F.exp((F.xxhash64("id") % 1000003) / 100000.0))
+    df = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 20 > 0, "hot").alias("k"), skewed.alias("v"), (F.col("id") % 7).cast("double").alias("w"),
+        F.lit(None).cast("double").alias("x"),
+    )
+    brute = df.toPandas()
+    groups = {"hot": brute[brute.k == "hot"], None: brute[brute.k.isna()]} if by else {"all": brute}
+    rows = numeric.quantiles(df, ["v", "w", "x"], (0.25, 0.5, 0.75), by, accuracy=accuracy).collect()
+    assert len(rows) == len(groups)
+    for row in rows:
+        group = groups[row["k"] if by else "all"]
+        assert row["rows"] == len(group)
+        for i, name in enumerate("vw"):
+            values = group[name].dropna().sort_values().to_numpy()
+            exact = [values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.5, 0.75)]
+            assert [row[f"q__{i}_{j}"] for j in range(3)] == exact
+        assert [row[f"q__2_{j}"] for j in range(3)] == [None] * 3
+
+
+def test_quantiles_of_odd_values(spark):
+    values = [float("inf"), float("-inf"), 1e308, -1e308, 0.0, -0.0, 5e-324, None, 1.0, 1.0, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    row = numeric.quantiles(df, ["v"], (0.1, 0.25, 0.5, 0.75, 1.0)).first()
+    known = sorted(v for v in values if v is not None)
+    assert [row[f"q__0_{j}"] for j in range(5)] == [known[math.ceil(p * len(known)) - 1] for p in (0.1, 0.25, 0.5, 0.75, 1.0)]
+    empty = numeric.quantiles(df.limit(0), ["v"], (0.5,)).collect()
+    assert [tuple(r) for r in empty] == [(0, None)]
+    assert numeric.quantiles(df.limit(0).withColumn("k", F.lit(1)), ["v"], (0.5,), ["k"]).collect() == []
+
+
 def test_numeric_types(spark):
     df = spark.createDataFrame([], "a tinyint, b smallint, c int, d bigint, e float, f double, g decimal(5,2), h string, i date")
     assert numeric.numeric_columns(df) == list("abcdefg")

@@ -34,9 +34,11 @@ NUMERIC_OF = {
     "region": ["r_regionkey"],
     "supplier": ["s_suppkey", "s_nationkey", "s_acctbal"],
 }
-# Rank error of a quartile: 1/EXACT of the rows, so it is the exact order statistic for up to a million values,
-# which covers every table whose results are compared with exact SQL quantiles.
-EXACT = 1_000_000
+
+
+# Results that are compared with exact SQL quantiles are exact at every size.
+EXACT_HEALTH = HealthRules(exact_quartiles=True)
+EXACT_REPORT = DatasetRules(exact_quartiles=True)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def labelled(batches: DataFrame) -> DataFrame:
 
 
 def month_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bh.batch_health(monthly(spark, sf_dir), NUMERIC, monthly=True)
+    return bh.batch_health(monthly(spark, sf_dir), NUMERIC, monthly=True, limits=EXACT_HEALTH)
 
 
 def stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +274,7 @@ def release_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return judged_releases(spark, sf_dir, bh.profile_batches(
         released(spark, sf_dir), NUMERIC, ["batch"], denominator="valid", max_groups=CALENDAR_MONTHS,
-        limits=HealthRules(quartile_accuracy=EXACT)))
+        limits=EXACT_HEALTH))
 
 
 def judged_releases(spark: SparkSession, sf_dir: str, profiled: DataFrame) -> DataFrame:
@@ -340,19 +342,19 @@ def release_health_sql() -> str:
 
 # ---------------------------------------------------------------------------------------------- the registry
 
+def _numeric_tables(spark, sf_dir):
+    return {n: table(spark, sf_dir, n) for n in NUMERIC_OF}
+
+
 def _dataset_quartiles(spark, sf_dir):
-    return rounded(union_all([
-        numeric.quartiles(table(spark, sf_dir, n), cols, accuracy=EXACT).withColumn("table_name", F.lit(n))
-        for n, cols in NUMERIC_OF.items()
-    ]))
+    every = numeric.long_values(_numeric_tables(spark, sf_dir), NUMERIC_OF)
+    found = numeric.quantiles(
+        every, ["value"], (0.25, 0.75), ["table_name", "column_name"], max_groups=sum(map(len, NUMERIC_OF.values())))
+    return rounded(found.selectExpr("table_name", "column_name AS column", "q__0_0 AS q1", "q__0_1 AS q3"))
 
 
 def _dataset_outliers(spark, sf_dir):
-    return union_all([
-        dr.dataset_outliers(table(spark, sf_dir, n), cols, DatasetRules(quartile_accuracy=EXACT)).withColumn(
-            "table_name", F.lit(n))
-        for n, cols in NUMERIC_OF.items()
-    ])
+    return dr.datasets_outliers(_numeric_tables(spark, sf_dir), NUMERIC_OF, EXACT_REPORT)
 
 
 def _dataset_outliers_sql() -> str:
@@ -377,7 +379,7 @@ def _duplicates_of_tables(spark, sf_dir):
 def _type_outliers(spark, sf_dir):
     """Event values per event type. Nothing bounds the number of types, so the fences are counted before use."""
     events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "batch")
-    return rounded(numeric.iqr_outliers(events, ["value"], ["batch"], denominator="valid"))
+    return rounded(numeric.iqr_outliers(events, ["value"], ["batch"], exact=True, denominator="valid"))
 
 
 def _numeric_of_lineitem(spark, sf_dir):
@@ -389,7 +391,7 @@ def _daily_health(spark, sf_dir):
     """Orders by day: a DATE key that is not a month, so its days stay days, and no bound on their number."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderdate").cast("date").alias("day"), "o_custkey", "o_totalprice", "o_orderpriority")
-    rows = bh.batch_health(orders, ["o_totalprice"], "day")
+    rows = bh.batch_health(orders, ["o_totalprice"], "day", limits=EXACT_HEALTH)
     return long_integers(rows.select(
         "day", "total_records", "total_missing", "duplicate_records", "growth_rate", "health_score", "health_status",
         F.array_join("data_quality_anomalies", "; ").alias("anomalies"),
@@ -432,7 +434,7 @@ REPORTED = {
 
 
 def reports(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [dr.dataset_report(table(spark, sf_dir, n), f"{n}.parquet") for n in REPORTED]
+    return [dr.dataset_report(table(spark, sf_dir, n), f"{n}.parquet", EXACT_REPORT) for n in REPORTED]
 
 
 def flat_report(report: DataFrame) -> DataFrame:
@@ -548,14 +550,15 @@ def queries() -> dict:
             numeric.numeric_stats(monthly(s, d), NUMERIC, ["batch"], "valid"))),
         "dataset_numeric_summary": _numeric_of_lineitem,
         "batch_quartiles": lambda s, d: rounded(labelled(
-            numeric.quartiles(monthly(s, d), NUMERIC, ["batch"]))),
+            numeric.quartiles(
+                monthly(s, d), NUMERIC, ["batch"], exact=True, max_groups=CALENDAR_MONTHS))),
         "dataset_quartiles": _dataset_quartiles,
         "batch_iqr_outliers": lambda s, d: rounded(labelled(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS))),
+            monthly(s, d), NUMERIC, ["batch"], exact=True, max_groups=CALENDAR_MONTHS))),
         "batch_iqr_outliers_valid": lambda s, d: rounded(labelled(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], max_groups=CALENDAR_MONTHS, denominator="valid"))),
+            monthly(s, d), NUMERIC, ["batch"], exact=True, max_groups=CALENDAR_MONTHS, denominator="valid"))),
         "batch_iqr_outliers_salted": lambda s, d: rounded(labelled(numeric.iqr_outliers(
-            monthly(s, d), NUMERIC, ["batch"], broadcast_bytes=0))),
+            monthly(s, d), NUMERIC, ["batch"], exact=True, broadcast_bytes=0))),
         "event_type_outliers": _type_outliers,
         "dataset_iqr_outliers": _dataset_outliers,
         "batch_growth": lambda s, d: health.with_growth(labelled(
