@@ -55,6 +55,12 @@ def prepare_to_parquet(
     except (PySparkException, Py4JJavaError) as error:
         place.delete(pending)
         raise CsvReadError(rules.CSV_UNREADABLE % root_cause(error)) from error
-    place.delete(name)
+    # The old table makes way under another name first: killed in between, a writer leaves both to be found.
+    earlier = f"{name}.replaced-{uuid.uuid4().hex}"
+    replaced = name in place.names()
+    if replaced:
+        place.rename(name, earlier)
     place.rename(pending, name)
+    if replaced:
+        place.delete(earlier)
     return read_parquet(spark, parquet_path, prepared.schema)

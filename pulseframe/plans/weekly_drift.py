@@ -18,7 +18,7 @@ FINGERPRINT_FIELDS = [
 
 def weekly_scores(
     df: DataFrame, roles: Roles = Roles(), limits: DriftRules = DriftRules(), *,
-    approximate: bool = False, identity: str = "values",
+    approximate: bool = False, identity: str = "digest",
 ) -> DataFrame:
     """Fact rows to one scored row per week, in a single lazy plan."""
     features = weekly_features(df, roles, approximate=approximate, identity=identity)

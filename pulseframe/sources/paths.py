@@ -24,6 +24,19 @@ class Folder:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(here))
 
+    def files(self) -> list[tuple[str, int, int]]:
+        """Path below the folder, size and modification time of every file in it and its folders."""
+        here = self._at("")
+        if not self._fs.exists(here):
+            return []
+        root = self._fs.makeQualified(here).toUri().getPath()
+        found, walk = [], self._fs.listFiles(here, True)
+        while walk.hasNext():
+            status = walk.next()
+            name = status.getPath().toUri().getPath()[len(root):].lstrip("/")
+            found.append((name, status.getLen(), status.getModificationTime()))
+        return found
+
     def create(self, name: str, content: str) -> bool:
         """Write a small file unless one of that name exists; whether it was written."""
         try:

@@ -14,6 +14,7 @@ from pulseframe.operators.schema import schema_snapshot
 from pulseframe.plans import batch_health as bh, views, weekly_drift as wd
 from pulseframe.plans.alerting import build_alerts
 from pulseframe.plans.csv_report import report_of_csv
+from pulseframe.plans.incremental import batch_folders, refresh
 from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
 from pulseframe.sources import files, report_store
@@ -32,6 +33,28 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.weekly_features(purchases(spark, sf_dir), ROLES)
 
 
+def in_two_steps(spark: SparkSession, rows: DataFrame, key: str, compute) -> DataFrame:
+    """Results of ``compute`` kept up to date: a first refresh before the disturbed week, a second one after the rest
+    came in, which computes the batches that are new or got more rows."""
+    facts, store = fresh_path(spark, "facts"), fresh_path(spark, "results")
+    spread = [ROLES.entity, ROLES.product]
+    batch_folders(rows.where(F.col(ROLES.date) < CHOSEN_WEEK), facts, key, ROLES.date, spread)
+    refresh(spark, facts, store, key, compute)
+    late = rows.where(F.col(key) >= rows.where(F.col(ROLES.date) >= CHOSEN_WEEK).agg(F.min(key)).scalar())
+    batch_folders(late, facts, key, ROLES.date, spread)
+    return refresh(spark, facts, store, key, compute)
+
+
+def incremental_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cleaning.with_week(purchases(spark, sf_dir), ROLES.date, weekly.WEEK)
+    return in_two_steps(spark, rows, weekly.WEEK, lambda facts: weekly.weekly_features(facts, ROLES))
+
+
+def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mo.monthly(spark, sf_dir)
+    return in_two_steps(spark, rows, "batch", lambda facts: numeric_stats(facts, mo.NUMERIC, ["batch"]))
+
+
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.compare_to_history(features(spark, sf_dir), DRIFT)
 
@@ -403,6 +426,8 @@ def queries() -> dict:
             for hour, report in enumerate(mo.reports(s, d))])).drop("saved_at")),
         "table_facts": facts_of_tables,
         "weekly_features": out_features,
+        "weekly_incremental": lambda s, d: r(incremental_weeks(s, d).drop("first_date", "last_date")),
+        "monthly_incremental": lambda s, d: mo.rounded(mo.labelled(incremental_months(s, d))),
         "weekly_partial_window": lambda s, d: weekly.partial_weeks(
             weekly.week_dates(purchases(s, d), ROLES.date), PERIOD).select(
             "week_start", "first_date", "last_date", "is_partial_source_window", "source_window_note"),
@@ -502,6 +527,8 @@ def oracle_sql() -> dict[str, str]:
         "recent_reports": reports,
         "table_facts": facts,
         "weekly_features": week(f"SELECT week_start, {rounded_features} FROM weeks"),
+        "weekly_incremental": week(f"SELECT week_start, {rounded_features} FROM weeks"),
+        "monthly_incremental": mo.with_purchases(mo.stats_sql("purchases", mo.MONTH, mo.NUMERIC, "records")),
         "weekly_partial_window": week(
             """SELECT week_start, first_date, last_date, is_partial_source_window, source_window_note FROM zed
             WHERE position = 0"""),
