@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pulseframe.operators import alerts, cleaning, weekly
+from pulseframe.operators import alerts, cleaning, distinct_state as ds, weekly
 from pulseframe.operators.alerts import ALERT_SCHEMA
 from pulseframe.operators.numeric import numeric_columns, numeric_stats
 from pulseframe.operators.schema import schema_snapshot
@@ -19,7 +19,7 @@ from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
 from pulseframe.sources import files, report_store
 from pulseframe.sources.alert_store import update_history
-from pulseframe.sources.staging import fresh_path
+from pulseframe.sources.staging import fresh_path, stage
 from workload import monthly as mo
 from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, staged_once, table
 
@@ -55,6 +55,35 @@ def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_two_steps(spark, rows, "batch", lambda facts: numeric_stats(facts, mo.NUMERIC, ["batch"]))
 
 
+VARIETY = [ROLES.entity, ROLES.product, ROLES.category, ROLES.region]
+
+
+def distinct_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bitmaps of the four identifying columns as a written table."""
+    def build() -> DataFrame:
+        daily = stage(ds.daily_values(purchases(spark, sf_dir), ROLES.date, VARIETY), "daily")
+        return ds.bitmap_state(daily, stage(ds.dictionary(daily), "dictionary"))
+
+    return staged_once(spark, sf_dir, "distinct-state", build)
+
+
+def distinct_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values per week, month and year, all from the daily state."""
+    state, day = distinct_state(spark, sf_dir), F.col("day")
+    spans = {"week": F.trunc(day, "week"), "month": F.trunc(day, "month"), "year": F.trunc(day, "year")}
+    return mo.union_all([
+        ds.distinct_counts(state, span).select(F.lit(name).alias("kind"), "span", "column", "distinct_values")
+        for name, span in spans.items()
+    ])
+
+
+def distinct_spans_sql() -> str:
+    return mo.with_purchases(" UNION ALL ".join(
+        f"""SELECT '{kind}' AS kind, CAST(date_trunc('{kind}', order_date) AS DATE) AS span, '{n}' AS "column",
+        count(DISTINCT {n}) AS distinct_values FROM purchases WHERE {n} IS NOT NULL GROUP BY 2"""
+        for kind in ("week", "month", "year") for n in VARIETY))
+
+
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.compare_to_history(features(spark, sf_dir), DRIFT)
 
@@ -426,6 +455,7 @@ def queries() -> dict:
             for hour, report in enumerate(mo.reports(s, d))])).drop("saved_at")),
         "table_facts": facts_of_tables,
         "weekly_features": out_features,
+        "distinct_spans": distinct_spans,
         "weekly_incremental": lambda s, d: r(incremental_weeks(s, d).drop("first_date", "last_date")),
         "monthly_incremental": lambda s, d: mo.rounded(mo.labelled(incremental_months(s, d))),
         "weekly_partial_window": lambda s, d: weekly.partial_weeks(
@@ -527,6 +557,7 @@ def oracle_sql() -> dict[str, str]:
         "recent_reports": reports,
         "table_facts": facts,
         "weekly_features": week(f"SELECT week_start, {rounded_features} FROM weeks"),
+        "distinct_spans": distinct_spans_sql(),
         "weekly_incremental": week(f"SELECT week_start, {rounded_features} FROM weeks"),
         "monthly_incremental": mo.with_purchases(mo.stats_sql("purchases", mo.MONTH, mo.NUMERIC, "records")),
         "weekly_partial_window": week(
