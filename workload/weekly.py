@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -17,7 +18,7 @@ from pulseframe.plans.csv_report import report_of_csv
 from pulseframe.plans.incremental import batch_folders, refresh
 from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
-from pulseframe.sources import files, report_store
+from pulseframe.sources import files, footers, report_store
 from pulseframe.sources.alert_store import update_history
 from pulseframe.sources.staging import fresh_path, stage
 from workload import monthly as mo
@@ -55,6 +56,12 @@ def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_two_steps(spark, rows, "batch", lambda facts: numeric_stats(facts, mo.NUMERIC, ["batch"]))
 
 
+def footer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and date range of the written purchase table, from its footers."""
+    folder = os.path.dirname(purchases(spark, sf_dir).inputFiles()[0])
+    return footers.footer_facts(spark, folder, ROLES.date)
+
+
 VARIETY = [ROLES.entity, ROLES.product, ROLES.category, ROLES.region]
 
 
@@ -455,6 +462,7 @@ def queries() -> dict:
             for hour, report in enumerate(mo.reports(s, d))])).drop("saved_at")),
         "table_facts": facts_of_tables,
         "weekly_features": out_features,
+        "footer_facts": footer_facts,
         "distinct_spans": distinct_spans,
         "weekly_incremental": lambda s, d: r(incremental_weeks(s, d).drop("first_date", "last_date")),
         "monthly_incremental": lambda s, d: mo.rounded(mo.labelled(incremental_months(s, d))),
@@ -557,6 +565,8 @@ def oracle_sql() -> dict[str, str]:
         "recent_reports": reports,
         "table_facts": facts,
         "weekly_features": week(f"SELECT week_start, {rounded_features} FROM weeks"),
+        "footer_facts": mo.with_purchases(
+            "SELECT count(*) AS row_count, min(order_date) AS earliest_date, max(order_date) AS latest_date FROM purchases"),
         "distinct_spans": distinct_spans_sql(),
         "weekly_incremental": week(f"SELECT week_start, {rounded_features} FROM weeks"),
         "monthly_incremental": mo.with_purchases(mo.stats_sql("purchases", mo.MONTH, mo.NUMERIC, "records")),
