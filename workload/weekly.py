@@ -7,6 +7,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pulseframe.operators import alerts, cleaning, distinct_state as ds, weekly
 from pulseframe.operators.alerts import ALERT_SCHEMA
@@ -20,6 +21,7 @@ from pulseframe.plans.prepare import prepare_to_parquet
 from pulseframe.rules import FEATURE_LABELS, AlertRules
 from pulseframe.sources import files, footers, report_store
 from pulseframe.sources.alert_store import update_history
+from pulseframe.sources.quarantine import read_with_quarantine
 from pulseframe.sources.staging import fresh_path, stage
 from workload import monthly as mo
 from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, staged_once, table
@@ -56,6 +58,25 @@ def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_two_steps(spark, rows, "batch", lambda facts: numeric_stats(facts, mo.NUMERIC, ["batch"]))
 
 
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases with faults planted by product code, written as CSV and parsed once into good rows and rejected lines."""
+    faulty = lambda column, number, text: F.when(F.col("product_code") % number == 0, text).otherwise(
+        F.col(column).cast("string")).alias(column)
+    rows = purchases(spark, sf_dir).select(
+        faulty("order_date", 101, "someday"), faulty("quantity", 103, "many"), "product_code", "category")
+    path = fresh_path(spark, "faulty")
+    rows.write.option("header", True).csv(path)
+    found = read_with_quarantine(
+        spark, path, StructType.fromDDL("order_date date, quantity double, product_code bigint, category string"),
+        multi_line=False)
+    lines = found.rejected.groupBy(F.array_join("causes", ",").alias("causes")).agg(F.count(F.lit(1)).alias("line_count"))
+    return lines.unionByName(found.good.agg(F.lit("").alias("causes"), F.count(F.lit(1)).alias("line_count")))
+
+
+QUARANTINE_SQL = """SELECT concat_ws(',', CASE WHEN product_code % 101 = 0 THEN 'order_date' END,
+  CASE WHEN product_code % 103 = 0 THEN 'quantity' END) AS causes, count(*) AS line_count FROM purchases GROUP BY 1"""
+
+
 def footer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and date range of the written purchase table, from its footers."""
     folder = os.path.dirname(purchases(spark, sf_dir).inputFiles()[0])
@@ -462,6 +483,7 @@ def queries() -> dict:
             for hour, report in enumerate(mo.reports(s, d))])).drop("saved_at")),
         "table_facts": facts_of_tables,
         "weekly_features": out_features,
+        "csv_quarantine": csv_quarantine,
         "footer_facts": footer_facts,
         "distinct_spans": distinct_spans,
         "weekly_incremental": lambda s, d: r(incremental_weeks(s, d).drop("first_date", "last_date")),
@@ -565,6 +587,7 @@ def oracle_sql() -> dict[str, str]:
         "recent_reports": reports,
         "table_facts": facts,
         "weekly_features": week(f"SELECT week_start, {rounded_features} FROM weeks"),
+        "csv_quarantine": mo.with_purchases(QUARANTINE_SQL),
         "footer_facts": mo.with_purchases(
             "SELECT count(*) AS row_count, min(order_date) AS earliest_date, max(order_date) AS latest_date FROM purchases"),
         "distinct_spans": distinct_spans_sql(),
