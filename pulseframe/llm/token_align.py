@@ -29,14 +29,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from pulseframe.llm import bpe
 from pulseframe.llm.common import slices
 from pulseframe.sources.staging import fresh_path
 
 A_FILE = public_tokenizers.path("byte_bpe_50k.json")
+# The same vocabulary as ranks.
+A_RANKS = bpe.RANKS
 B_FILE = public_tokenizers.path("piece_bpe_32k.model")
-# Text bytes after which a batch ends, and window alignments that a Python worker remembers between batches.
-BATCH_BYTES = 8 << 20
-CACHE_WINDOWS = 200_000
+# Text bytes after which a batch ends.
+BATCH_BYTES = 16 << 20
 SLICE_BYTES = 1 << 19
 # Between the two id lists of a window; no vocabulary is that large.
 SEPARATOR = 0xFFFFFFFF
@@ -66,25 +68,35 @@ class Coder:
     def __init__(self, tokens: list[bytes]) -> None:
         self.tokens = tokens
         self.lengths = [len(t) for t in tokens]
-        self.sizes = np.array(self.lengths, "i8")
+        self.sizes = np.array(self.lengths, "i4")
         self.spaced = np.array([t[:1] == b" " for t in tokens], bool)
 
 
 class ByteCoder(Coder):
-    def __init__(self, path: str) -> None:
+    """Texts of Latin-1 characters, which both libraries class alike, are encoded by the rank file of the same
+    vocabulary, in a third of the time; all others by the library of ``path``."""
+
+    def __init__(self, path: str, ranks: str | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
+        self.ranks = ranks and bpe.encoding(ranks)
         alphabet = byte_level_alphabet()
         size = self.coder.get_vocab_size(with_added_tokens=True)
         entries = (self.coder.id_to_token(i) or "" for i in range(size))
         super().__init__([bytes(map(alphabet.__getitem__, e)) if all(c in alphabet for c in e) else e.encode() for e in entries])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        spaced = [" " + t for t in texts]
-        return [e.ids for e in self.coder.encode_batch_fast(spaced, add_special_tokens=False)]
+        return [self._by_ranks(t) or self.coder.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+    def _by_ranks(self, text: str) -> list[int] | None:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        return self.ranks and bpe.encode(" " + text, self.ranks).tolist()
 
 
 class PieceCoder(Coder):
@@ -102,64 +114,68 @@ class PieceCoder(Coder):
 
 
 @lru_cache(maxsize=2)
-def coders(a_file: str, b_file: str) -> tuple[ByteCoder, PieceCoder]:
-    return ByteCoder(a_file), PieceCoder(b_file)
+def coders(a_file: str, b_file: str, a_ranks: str | None = A_RANKS) -> tuple[ByteCoder, PieceCoder]:
+    return ByteCoder(a_file, a_ranks), PieceCoder(b_file)
 
 
 def align(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> tuple[str, int, list[int]]:
     """Groups of a window as ``a1,a2|b1;a3|b2``, their number, and the linked pairs ``a << 32 | b`` of all
     overlapping tokens. Both lists cover the same number of bytes."""
-    groups, pairs = [], []
-    i = j = from_i = from_j = 0
-    end_a, end_b = a_lengths[a[0]], b_lengths[b[0]]
+    following, beside = iter(b), iter(a)
+    one, other = next(beside), next(following)
+    ahead = a_lengths[one] - b_lengths[other]  # bytes by which the tokens of A so far end later
+    pairs, left, right, said = [one << 32 | other], f"{one}", f"{other}", []
     while True:
-        pairs.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-            if i == len(a):
-                return ";".join(groups), len(groups), pairs
-            from_i, from_j = i, j
-            end_a, end_b = end_a + a_lengths[a[i]], end_b + b_lengths[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += a_lengths[a[i]]
+        if ahead > 0:
+            other = next(following)
+            ahead -= b_lengths[other]
+            right = f"{right},{other}"
+        elif ahead:
+            one = next(beside)
+            ahead += a_lengths[one]
+            left = f"{left},{one}"
         else:
-            j += 1
-            end_b += b_lengths[b[j]]
+            said.append(f"{left}|{right}")
+            one = next(beside, None)
+            if one is None:
+                return ";".join(said), len(said), pairs
+            other = next(following)
+            ahead = a_lengths[one] - b_lengths[other]
+            left, right = f"{one}", f"{other}"
+        pairs.append(one << 32 | other)
 
 
-class Alignments(dict):
-    """Window alignments by the bytes of the id tuples, worked out once while the cache has room."""
+class Windows(dict):
+    """The windows of a batch, numbered by the bytes of their id tuples, and the alignment of each, worked out once. All
+    that is remembered is strings and numbers, which the garbage collector need not visit."""
 
     def __init__(self, a: Coder, b: Coder) -> None:
         self.a, self.b = a.lengths, b.lengths
-
-    def __missing__(self, window: bytes) -> tuple[str, int, list[int]]:
-        ids = array("I", window).tolist()
-        cut = ids.index(SEPARATOR)
-        if len(self) >= CACHE_WINDOWS:
-            self.clear()
-        value = self[window] = align(ids[:cut], ids[cut + 1:], self.a, self.b)
-        return value
-
-
-class Codes(dict):
-    """Consecutive numbers for the windows of a batch."""
+        self.said: list[str] = []
+        self.groups, self.links, self.pairs = array("I"), array("I"), array("q")
 
     def __missing__(self, window: bytes) -> int:
         value = self[window] = len(self)
+        ids = array("I", window).tolist()
+        cut = ids.index(SEPARATOR)
+        said, groups, pairs = align(ids[:cut], ids[cut + 1:], self.a, self.b)
+        self.said.append(said)
+        self.groups.append(groups)
+        self.links.append(len(pairs))
+        self.pairs.extend(pairs)
         return value
 
 
 def windows_of(a_ids: np.ndarray, b_ids: np.ndarray, a: Coder, b: Coder) -> list[bytes]:
     """Cut a verified document at its anchors; each window as the bytes of A's ids, a separator and B's ids."""
-    a_ends, b_ends = np.cumsum(a.sizes[a_ids]), np.cumsum(b.sizes[b_ids])
+    a_ends, b_ends = np.cumsum(a.sizes[a_ids], dtype="i8"), np.cumsum(b.sizes[b_ids], dtype="i8")
     a_open, b_open = np.append(a.spaced[a_ids[1:]], True), np.append(b.spaced[b_ids[1:]], True)
-    anchors = np.intersect1d(a_ends[a_open], b_ends[b_open], assume_unique=True)
-    a_stops, b_stops = np.searchsorted(a_ends, anchors) + 1, np.searchsorted(b_ends, anchors) + 1
+    a_stops = np.flatnonzero(a_open) + 1
+    beside = np.searchsorted(b_ends, a_ends[a_stops - 1])
+    shared = (b_ends[beside] == a_ends[a_stops - 1]) & b_open[beside]
+    a_stops, b_stops = a_stops[shared], beside[shared] + 1
     # Window k holds A's ids, one separator and B's ids, so it ends at a_stops[k] + b_stops[k] + k + 1.
-    stops = a_stops + b_stops + np.arange(1, len(anchors) + 1)
+    stops = a_stops + b_stops + np.arange(1, len(a_stops) + 1)
     a_counts, b_counts = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
     flat = np.full(int(stops[-1]), SEPARATOR, "<u4")
     starts = stops - a_counts - b_counts - 1
@@ -172,37 +188,26 @@ def windows_of(a_ids: np.ndarray, b_ids: np.ndarray, a: Coder, b: Coder) -> list
 class Batch:
     """Documents on their way to one staged row."""
 
-    def __init__(self) -> None:
-        self.codes, self.bytes = Codes(), 0
+    def __init__(self, a: Coder, b: Coder) -> None:
+        self.windows, self.bytes = Windows(a, b), 0
         self.rows: list[tuple] = []
         self.flat: list[np.ndarray] = []
-        self.links: list[int] = []
-        self.pairs: list[int] = []
-
-    def add(self, key: int | None, windows: list[bytes], n_a: int, n_b: int, known: Alignments) -> None:
-        before = len(self.codes)
-        codes = list(map(self.codes.__getitem__, windows))
-        groups = links = 0
-        text = hashlib.sha256()
-        parts = []
-        for window, code in zip(windows, codes):
-            said, n, pairs = known[window]
-            parts.append(said)
-            groups += n
-            links += len(pairs)
-            if code >= before and code == len(self.links):
-                self.links.append(len(pairs))
-                self.pairs += pairs
-        text.update(";".join(parts).encode())
-        self.rows.append((key, n_a, n_b, groups, links, text.hexdigest() if windows else "", len(windows)))
+
+    def add(self, key: int | None, windows: list[bytes], n_a: int, n_b: int) -> None:
+        codes = list(map(self.windows.__getitem__, windows))
+        said = ";".join(map(self.windows.said.__getitem__, codes))
+        digest = hashlib.sha256(said.encode()).hexdigest() if windows else ""
+        # Every shared end closes a group, and a group of n and m tokens has n + m - 1 links.
+        groups = sum(map(self.windows.groups.__getitem__, codes))
+        self.rows.append((key, n_a, n_b, groups, n_a + n_b - groups, digest, len(windows)))
         self.flat.append(np.array(codes, "<u4"))
 
     def row(self, number: int) -> dict:
         names = ("keys", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_windows")
         columns = {name: [r[i] for r in self.rows] for i, name in enumerate(names)}
         codes = np.concatenate(self.flat) if self.flat else np.zeros(0, "<u4")
-        links = np.array(self.links, "<u4")
-        pairs, where = np.unique(np.array(self.pairs, "i8"), return_inverse=True)
+        links = np.array(self.windows.links, "<u4")
+        pairs, where = np.unique(np.array(self.windows.pairs, "i8"), return_inverse=True)
         used = np.repeat(np.bincount(codes, minlength=len(links)), links)  # how often each window's links occur
         counts = np.bincount(where, weights=used, minlength=len(pairs)).astype("i8")  # sums below 2**53
         return columns | {
@@ -212,14 +217,16 @@ class Batch:
         }
 
 
-def encoded_batches(docs: DataFrame, key: str, text: str, a_file: str, b_file: str) -> DataFrame:
+def encoded_batches(
+    docs: DataFrame, key: str, text: str, a_file: str, b_file: str, a_ranks: str | None
+) -> DataFrame:
     """One row per batch of documents: what is known of each document, its window codes, and the batch's dictionary."""
     fields = T.StructType.fromDDL(BATCHES)
     arrow = to_arrow_schema(fields)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = coders(a_file, b_file)
-        known, open_batch, number = Alignments(a, b), Batch(), TaskContext.get().partitionId() << 32
+        a, b = coders(a_file, b_file, a_ranks)
+        open_batch, number = Batch(a, b), TaskContext.get().partitionId() << 32
 
         def out() -> pa.RecordBatch:
             row = open_batch.row(number)
@@ -235,14 +242,14 @@ def encoded_batches(docs: DataFrame, key: str, text: str, a_file: str, b_file: s
                         t and b"".join(map(a.tokens.__getitem__, a_ids)) == whole
                         and b"".join(map(b.tokens.__getitem__, b_ids)) == whole
                     ):
-                        windows = windows_of(np.array(a_ids, "i8"), np.array(b_ids, "i8"), a, b)
-                        open_batch.add(k, windows, len(a_ids), len(b_ids), known)
+                        windows = windows_of(np.array(a_ids, "i4"), np.array(b_ids, "i4"), a, b)
+                        open_batch.add(k, windows, len(a_ids), len(b_ids))
                     else:
-                        open_batch.add(k, [], 0, 0, known)
+                        open_batch.add(k, [], 0, 0)
                     open_batch.bytes += len(whole)
                 if open_batch.bytes >= BATCH_BYTES:
                     yield out()
-                    open_batch, number = Batch(), number + 1
+                    open_batch, number = Batch(a, b), number + 1
         if open_batch.rows:
             yield out()
 
@@ -263,13 +270,14 @@ def pair_counts(batches: DataFrame) -> DataFrame:
 
 
 def alignment_digests(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", a_file: str = A_FILE, b_file: str = B_FILE
+    docs: DataFrame, key: str = "doc_id", text: str = "text", a_file: str = A_FILE, b_file: str = B_FILE,
+    a_ranks: str | None = A_RANKS,
 ) -> DataFrame:
     """Per document the numbers of tokens, groups and links, ``n_best`` and ``count_sum`` of its links by the
     corpus-wide counts of their pairs, and the SHA-256 of its groups. Writes the batches to the shared folder."""
     spark = docs.sparkSession
     path = fresh_path(spark, "alignments")
-    encoded_batches(docs, key, text, a_file, b_file).write.option("compression", "zstd").parquet(path)
+    encoded_batches(docs, key, text, a_file, b_file, a_ranks).write.option("compression", "zstd").parquet(path)
     batches = spark.read.schema(T.StructType.fromDDL(BATCHES)).parquet(path)
     counts = pair_counts(batches)
     asked = batches.select("batch", F.posexplode("pairs").alias("at", "pair"))
