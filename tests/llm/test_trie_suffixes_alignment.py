@@ -331,3 +331,15 @@ def test_every_token_has_bytes():
     a, b = token_align.coders(token_align.A_FILE, token_align.B_FILE)
     assert min(a.lengths) > 0 and min(b.lengths) > 0
     assert sorted(token_align.byte_level_alphabet().values()) == list(range(256))
+
+
+def test_ranks_and_json_give_the_same_ids():
+    """Random Latin-1 texts with controls, odd white space, contractions and control strings, by either file."""
+    ranked, plain = token_align.ByteCoder(token_align.A_FILE, token_align.A_RANKS), token_align.ByteCoder(token_align.A_FILE, None)
+    pick = random.Random(8)
+    usual = list(" \n\tab1'\xe9\xa0\x85\x1c\x1d") + ["'s", "'re", "<|endoftext|>", "  "]
+    texts = [
+        "".join(chr(pick.randrange(256)) if pick.random() < 0.3 else pick.choice(usual) for _ in range(pick.randint(0, 60)))
+        for _ in range(3000)
+    ]
+    assert ranked.encode(texts) == plain.encode(texts)
