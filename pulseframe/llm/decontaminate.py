@@ -2,33 +2,41 @@
 
 A seed is a hash of the words at the ones of a fixed mask; words at its zeros may differ. Seeds of all benchmark items
 are joined with the seeds of all documents. So that a document's seeds need no shuffle unless they can match, a
-document first asks a Bloom filter of fixed size (2 MB, built from at most 2^24 bit numbers, however large the benchmark
-is); only documents with a hit leave their task, with their words as hashes. Each joined seed gives a diagonal (document
-position minus item position); along it, the words of item and document are compared one by one, and the best segment
-(+1 for equal words, -2 for others) counts if it has ``LEAST_WORDS`` equal words, or if ``LEAST_SHARE`` of all words of the
-item agree; then it reaches from the first to the last of them.
-
-Defined cases: items that are equal word by word count as the one with the smallest id; items and documents of fewer
-words than the lightest mask has ones are seeds as a whole, so short items match only documents that equal them. NULL and
-empty texts have no words and match nothing; rows with a NULL id are not reported. Rows that repeat a document id are
-taken together; ties between segments go to the first. Other columns are ignored.
+document first asks a Bloom filter, sized by the number of seeds (at least 12 bits a seed up to 2^27 bits, 16 MB; beyond
+that more documents pass, and none is lost); only documents with a hit leave their task, with their words as hashes. Each
+joined seed gives a diagonal (document position minus item position); along it, the words of item and document are
+compared one by one, and the best segment (+1 for equal words, -2 for others) counts if it has ``LEAST_WORDS`` equal
+words, or if ``LEAST_SHARE`` of all words of the item agree; then it reaches from the first to the last of them.
+
+Items of 16 words and more have seeds of six words, shorter ones of four. Every way to change a fifth of the words leaves a
+seed: enumerated for items of 6 to 25 words, sampled above (50,000 ways each for 30 to 60 words, none missed).
+
+Defined cases: texts and items are told apart by digests of their texts and words, never by their ids. Items that are
+equal word by word count as the one with the smallest id; an item whose ids are all NULL is looked for like any other
+and reported with a NULL item_id (one row a document for all such items). Items of fewer than six words match only
+documents that equal them, as part of a text they would match everywhere. NULL and empty texts have no words and match
+nothing. ``overlaps`` does not report rows with a NULL doc_id, ``without_contaminated`` decides them by their text. Rows
+that repeat a document id are taken together; ties between segments go to the first. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pulseframe.llm.common import WordHashes, map_texts, mix, slices, word_hashes
 from pulseframe.sources.staging import stage
 
-# The masks, each with six ones.
+# The masks with six ones for items of ``LONG`` words and more, and those with four ones for shorter items.
 MASKS = ("111111", "11011011", "1101000111", "11100100101")
+LIGHT_MASKS = ("1111", "110011")
 WEIGHT = 6
-FILTER_BITS = 24
+LONG = 16
+BITS_PER_SEED = 12
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 16, 27
 PROBES = 3
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
@@ -39,18 +47,19 @@ def _multipliers(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def seeds(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def seeds(words: np.ndarray, ends: np.ndarray, masks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions of all seeds of texts that lie one behind the other in ``words``, ``ends`` at their ends.
 
-    A text shorter than ``WEIGHT`` has one seed of all its words at its first position.
+    A text shorter than ``WEIGHT`` has one more seed, of all its words, at its first position.
     """
     hashes, places = [], []
+    numbers = {mask: number for number, mask in enumerate(MASKS + LIGHT_MASKS)}
     times = _multipliers(max(map(len, MASKS)))
     left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(words))  # words from here to the end of the text
-    for number, mask in enumerate(MASKS):
+    for mask in masks:
         if len(words) < len(mask):
             continue
-        total = np.full(len(words) - len(mask) + 1, number, "u8")
+        total = np.full(len(words) - len(mask) + 1, numbers[mask], "u8")
         for k, one in enumerate(mask):
             if one == "1":
                 total += words[k:len(words) - len(mask) + 1 + k] * times[k]
@@ -67,76 +76,111 @@ def seeds(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def probes(hashes: np.ndarray) -> np.ndarray:
-    """The filter bits of seeds, one row per probe."""
-    return np.stack([(mix(hashes + np.uint64(k)) >> np.uint64(64 - FILTER_BITS)).astype("i8") for k in range(PROBES)])
+def masks_of(length: int) -> Sequence[str]:
+    """The masks for an item of so many words."""
+    return MASKS if length >= LONG else LIGHT_MASKS if length >= WEIGHT else ()
+
+
+def probe(hashes: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """The ``k``-th bit of every seed in a filter of 2^``bits`` bits."""
+    return (mix(hashes + np.uint64(k)) >> np.uint64(64 - bits)).astype("i8")
+
+
+def digest(text: str | Column) -> Column:
+    """Sixteen bytes that tell texts (or bytes) apart; NULL for NULL."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id and ``item_words`` (hashes as bytes) of the distinct items."""
+    """item (a digest of the words), item_id and ``item_words`` (hashes as bytes) of the distinct items."""
 
     def work(rows: dict[str, list]) -> dict[str, list]:
         cache = WordHashes()
         return {"item_id": rows["item_id"], "item_words": [word_hashes(t, cache).tobytes() for t in rows["text"]]}
 
-    narrow = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL")
+    narrow = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     words = map_texts(narrow, "text", work, "item_id long, item_words binary").where(F.octet_length("item_words") > 0)
-    return words.groupBy("item_words").agg(F.min("item_id").alias("item_id"))
+    return words.groupBy("item_words").agg(F.min("item_id").alias("item_id")).select(
+        digest("item_words").alias("item"), "item_id", "item_words")
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """seed, item_id, item_at and the three filter bits of every seed of every item."""
-    schema = "seed long, item_id long, item_at int, bits array<int>"
+    """seed, item and item_at of every seed of every item, with the item's number of words."""
+    schema = "seed long, item binary, item_at int, item_length int"
 
     def work(rows: dict[str, list]) -> dict[str, list]:
-        words = [np.frombuffer(w, "u8") for w in rows["item_words"]]
-        ends = np.cumsum([len(w) for w in words])
-        hashes, places = seeds(np.concatenate(words), ends) if words else (np.zeros(0, "u8"), np.zeros(0, "i8"))
-        item = np.searchsorted(ends, places, side="right")
-        starts = ends - np.array([len(w) for w in words], "i8")
-        return {
-            "seed": hashes.view("i8"), "item_id": [rows["item_id"][i] for i in item],
-            "item_at": (places - starts[item]).astype("i4") if len(places) else [],
-            "bits": probes(hashes).T.astype("i4").tolist(),
-        }
-
-    return map_texts(items.select("item_id", "item_words"), "item_words", work, schema)
-
-
-def bloom(item_seed_table: DataFrame) -> np.ndarray:
-    """The filter as packed bits. What is collected are distinct bit numbers, 2^24 at most."""
-    numbers = item_seed_table.select(F.explode("bits").alias("bit")).distinct().toPandas()["bit"].to_numpy()
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[numbers] = True
-    return np.packbits(bits, bitorder="little")
-
-
-def documents_with_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
-    """doc_id, words (hashes as bytes) and hits (seed, position) of the documents that pass the filter."""
+        out = {n: [] for n in ("seed", "item", "item_at", "item_length")}
+        for item, held in zip(rows["item"], rows["item_words"], strict=True):
+            words = np.frombuffer(held, "u8")
+            hashes, places = seeds(words, np.array([len(words)]), masks_of(len(words)))
+            out["seed"] += hashes.view("i8").tolist()
+            out["item"] += [item] * len(hashes)
+            out["item_at"] += places.tolist()
+            out["item_length"] += [len(words)] * len(hashes)
+        return out
+
+    return map_texts(items.select("item", "item_words"), "item_words", work, schema)
+
+
+def masks_and_bits(keyed: DataFrame) -> tuple[list[str], int]:
+    """The masks that some item needs, and the size of the filter for so many seeds as a power of two."""
+    row = keyed.agg(
+        F.count(F.lit(1)).alias("seeds"),
+        F.coalesce(F.max(F.col("item_length") >= LONG), F.lit(False)).alias("long"),
+        F.coalesce(F.max(F.col("item_length").between(WEIGHT, LONG - 1)), F.lit(False)).alias("short"),
+    ).first()
+    masks = [*(MASKS if row["long"] else ()), *(LIGHT_MASKS if row["short"] else ())]
+    bits = int(np.ceil(np.log2(max(1, row["seeds"]) * BITS_PER_SEED)))
+    return masks, min(max(bits, LEAST_FILTER_BITS), MOST_FILTER_BITS)
+
+
+def bloom(keyed: DataFrame, bits: int) -> np.ndarray:
+    """The filter as packed bits, built in the tasks as bitmaps of 4 KB; what is collected is the filter, 16 MB at most."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("seed").to_numpy().view("u8")
+            for k in range(PROBES):
+                yield pa.RecordBatch.from_arrays([pa.array(probe(hashes, k, bits) + 1)], names=["bit"])
+
+    size = 1 << 15  # bits of one bitmap
+    maps = keyed.select("seed").mapInArrow(work, "bit long").groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    packed = np.zeros((1 << bits) // 8, "u1")
+    for row in maps.toArrow().to_pylist():
+        at = (row["part"] - 1) * size // 8
+        packed[at:at + size // 8] = np.frombuffer(row["map"], "u1")
+    return packed
+
+
+def documents_with_hits(docs: DataFrame, packed: np.ndarray, masks: Sequence[str], bits: int) -> DataFrame:
+    """doc_id, key (a digest of the text), words (hashes as bytes) and hits (seed, position) of the documents that pass the
+    filter."""
     shared = docs.sparkSession.sparkContext.broadcast(packed)
+    masks = tuple(masks)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, cache = shared.value, WordHashes()
+        held, cache = shared.value, WordHashes()
 
         def passes(at: np.ndarray) -> np.ndarray:
-            return (bits[at >> 3] >> (at & 7).astype("u1")) & 1 == 1
+            return (held[at >> 3] >> (at & 7).astype("u1")) & 1 == 1
 
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = part.column("doc_id").to_pylist()
+                ids, keys = part.column("doc_id").to_pylist(), part.column("key").to_pylist()
                 words = [word_hashes(t, cache) for t in part.column("text").to_pylist()]
                 ends = np.cumsum([len(w) for w in words])
-                hashes, places = seeds(np.concatenate(words), ends)
+                hashes, places = seeds(np.concatenate(words), ends, masks)
                 for k in range(PROBES):  # later probes see only what passed the earlier ones
-                    at = (mix(hashes + np.uint64(k)) >> np.uint64(64 - FILTER_BITS)).astype("i8")
-                    kept = passes(at)
+                    kept = passes(probe(hashes, k, bits))
                     hashes, places = hashes[kept], places[kept]
                 of = np.searchsorted(ends, places, side="right")
                 order = np.argsort(of, kind="stable")
-                out = {"doc_id": [], "words": [], "hits": []}
+                out = {"doc_id": [], "key": [], "words": [], "hits": []}
                 for d, chosen in zip(*_grouped(of[order], order), strict=True):
                     start = ends[d] - len(words[d])
                     out["doc_id"].append(ids[d])
+                    out["key"].append(keys[d])
                     out["words"].append(words[d].tobytes())
                     out["hits"].append([
                         {"seed": int(s), "at": int(p)}
@@ -144,12 +188,13 @@ def documents_with_hits(docs: DataFrame, packed: np.ndarray) -> DataFrame:
                     ])
                 kind = pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["doc_id"], pa.int64()), pa.array(out["words"], pa.binary()), pa.array(out["hits"], kind)],
-                    names=["doc_id", "words", "hits"],
+                    [pa.array(out["doc_id"], pa.int64()), pa.array(out["key"], pa.binary()),
+                     pa.array(out["words"], pa.binary()), pa.array(out["hits"], kind)],
+                    names=["doc_id", "key", "words", "hits"],
                 )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    return narrow.mapInArrow(work, "doc_id long, words binary, hits array<struct<seed: long, at: int>>")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest("text").alias("key"))
+    return narrow.mapInArrow(work, "doc_id long, key binary, words binary, hits array<struct<seed: long, at: int>>")
 
 
 def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
@@ -169,34 +214,34 @@ def best_segment(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end, int(equal[start:end].sum())
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document and benchmark item it contains: where, how many words agree, and the item's length.
-
-    ``start`` and ``end`` are word positions in the document.
-    """
+def text_overlaps(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with hits (doc_id, key, ...), and one row per text and diagonal that holds an item: key, item_id,
+    start, end, equal_words, item_length. Texts that occur often are compared once."""
     items = stage(benchmark_items(benchmark), "benchmark-items")
     keyed = stage(item_seeds(items), "benchmark-seeds")
-    hit = stage(documents_with_hits(docs, bloom(keyed)), "benchmark-hits")
+    masks, bits = masks_and_bits(keyed)
+    hit = stage(documents_with_hits(docs, bloom(keyed, bits), masks, bits), "benchmark-hits")
+    texts = hit.dropDuplicates(["key"])
     diagonals = (
-        hit.select("doc_id", F.explode("hits").alias("hit"))
-        .select("doc_id", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("at"))
-        .join(keyed.select("seed", "item_id", "item_at"), "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
+        texts.select("key", F.explode("hits").alias("hit"))
+        .select("key", F.col("hit.seed").alias("seed"), F.col("hit.at").alias("at"))
+        .join(keyed.select("seed", "item", "item_at"), "seed")
+        .select("key", "item", (F.col("at") - F.col("item_at")).alias("diagonal"))
         .distinct()
-        .join(items, "item_id")
+        .join(items, "item")
     )
     # Only the words of the document that lie along the diagonal, as bytes of the hashes.
     first = F.greatest("diagonal", F.lit(0))
     length = (F.octet_length("item_words") / 8).cast("int") - (first - F.col("diagonal"))
-    facing = diagonals.join(hit.select("doc_id", "words"), "doc_id").select(
-        "doc_id", "item_id", "diagonal", "item_words",
+    facing = diagonals.join(texts.select("key", "words"), "key").select(
+        "key", "item_id", "diagonal", "item_words",
         F.substring("words", first * 8 + 1, length * 8).alias("facing"),
     )
 
     def work(rows: dict[str, list]) -> dict[str, list]:
-        out = {n: [] for n in ("doc_id", "item_id", "start", "end", "equal_words", "item_length")}
-        for doc, item, diagonal, item_bytes, facing_bytes in zip(
-            rows["doc_id"], rows["item_id"], rows["diagonal"], rows["item_words"], rows["facing"], strict=True
+        out = {n: [] for n in ("key", "item_id", "start", "end", "equal_words", "item_length")}
+        for key, item, diagonal, item_bytes, facing_bytes in zip(
+            rows["key"], rows["item_id"], rows["diagonal"], rows["item_words"], rows["facing"], strict=True
         ):
             words, there = np.frombuffer(item_bytes, "u8"), np.frombuffer(facing_bytes, "u8")
             skipped = max(0, -diagonal)
@@ -208,18 +253,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             whole = len(words) >= WEIGHT or (equal == len(words) == len(there))
             if whole and (equal >= LEAST_WORDS or equal >= LEAST_SHARE * len(words)):
                 at = max(diagonal, 0)
-                for name, value in zip(out, (doc, item, at + start, at + end, equal, len(words)), strict=True):
+                for name, value in zip(out, (key, item, at + start, at + end, equal, len(words)), strict=True):
                     out[name].append(value)
         return out
 
-    schema = "doc_id long, item_id long, start long, end long, equal_words long, item_length long"
-    found = map_texts(facing, "facing", work, schema)
+    schema = "key binary, item_id long, start long, end long, equal_words long, item_length long"
+    return hit, map_texts(facing, "facing", work, schema)
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document and benchmark item it contains: where, how many words agree, and the item's length.
+
+    ``start`` and ``end`` are word positions in the document.
+    """
+    hit, found = text_overlaps(docs, benchmark)
+    found = stage(found, "benchmark-found")
+    named = hit.where("doc_id IS NOT NULL").select("doc_id", "key").join(found, "key")
     best = F.max_by(F.struct("start", "end", "equal_words", "item_length"), F.struct("equal_words", -F.col("start")))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    return named.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document holds no benchmark item; rows with a NULL id stay."""
-    bad = overlaps(docs, benchmark).select(F.col("doc_id").alias("__contaminated")).distinct()
-    bad = stage(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["__contaminated"], "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item. Every row is decided by its own text, whatever its id."""
+    _, found = text_overlaps(docs, benchmark)
+    bad = stage(found.select(F.col("key").alias("__contaminated")).distinct(), "contaminated")
+    return docs.join(bad, digest(docs["text"]) == bad["__contaminated"], "left_anti")

@@ -1,8 +1,10 @@
 import random
+from itertools import combinations
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_data import PROSE, SF_DIR
 
 from pulseframe.llm import components, dart_minhash, decontaminate
@@ -151,3 +153,70 @@ def test_edge_rows_of_the_benchmark(spark, edge_docs, no_docs):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, 3, 4, 7, None]
     assert decontaminate.overlaps(no_docs, benchmark).count() == 0
     assert decontaminate.overlaps(edge_docs, benchmark.limit(0)).count() == 0
+
+
+def test_every_way_to_change_a_fifth_of_the_words_leaves_a_seed():
+    for length in range(6, 21):
+        item = np.arange(1, length + 1, dtype="u8")
+        end, masks = np.array([length]), decontaminate.masks_of(length)
+        own = set(zip(*map(np.ndarray.tolist, decontaminate.seeds(item, end, masks)), strict=True))
+        for places in combinations(range(length), length // 5):
+            text = item.copy()
+            text[list(places)] += np.uint64(1000)
+            assert own & set(zip(*map(np.ndarray.tolist, decontaminate.seeds(text, end, masks)), strict=True)), (length, places)
+
+
+def test_overlaps_equal_brute_force_with_substitutions(spark):
+    """Items of 6 to 40 words inside longer texts with up to a fifth of their words changed, against all alignments."""
+    pick, items, docs = random.Random(3), [], []
+    for n in range(60):
+        items.append((n, prose(500 + n, 6 + n % 35)))
+    for d in range(240):
+        item = items[d % 60][1]
+        changes = min(d // 60, len(item) // 5 + (d % 7 == 0))
+        docs.append((d, prose(9000 + d, pick.randint(0, 30)) + edited(item, d, changes) + prose(19000 + d, pick.randint(0, 30))))
+
+    def agrees(text, item):
+        for diagonal in range(1 - len(item), len(text)):
+            equal = np.array([0 <= diagonal + k < len(text) and text[diagonal + k] == w for k, w in enumerate(item)])
+            if equal.sum() >= 0.8 * len(item) or decontaminate.best_segment(equal)[2] >= 12:
+                return True
+        return False
+
+    by_word = {}
+    for d, text in docs:
+        for w in text:
+            by_word.setdefault(w, set()).add(d)
+    expected = {
+        (d, i) for i, item in items for d in set().union(*(by_word.get(w, set()) for w in item)) if agrees(dict(docs)[d], item)
+    }
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = decontaminate.overlaps(text_rows(spark, [(d, " ".join(w)) for d, w in docs]), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected and len(expected) > 180
+
+
+def test_rows_without_ids_are_decided_by_their_text(spark):
+    item = " ".join(prose(77, 20))
+    rows = [(None, "before " + item), (None, "clean text of some words that no item has"), (1, item), (1, "another clean text")]
+    benchmark = spark.createDataFrame([(None, item)], "item_id long, text string")
+    docs = text_rows(spark, rows).withColumn("__contaminated", F.lit("clash"))
+    kept = decontaminate.without_contaminated(docs, benchmark)
+    assert sorted(r["text"] for r in kept.collect()) == sorted([rows[1][1], rows[3][1]])
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, benchmark).collect()] == [(1, None)]
+
+
+def test_the_filter_grows_with_the_seeds(spark):
+    few, many = ([(n, " ".join(prose(n, 40))) for n in range(k)] for k in (3, 300))
+    sizes = []
+    for rows in (few, many):
+        benchmark = spark.createDataFrame(rows, "item_id long, text string")
+        keyed = decontaminate.item_seeds(decontaminate.benchmark_items(benchmark))
+        masks, bits = decontaminate.masks_and_bits(keyed)
+        assert tuple(masks) == decontaminate.MASKS
+        hashes = np.array([r["seed"] for r in keyed.collect()], "i8").view("u8")
+        packed = decontaminate.bloom(keyed, bits)
+        for k in range(decontaminate.PROBES):
+            at = decontaminate.probe(hashes, k, bits)
+            assert ((packed[at >> 3] >> (at & 7).astype("u1")) & 1).all()
+        sizes.append(bits)
+    assert sizes[0] == decontaminate.LEAST_FILTER_BITS < sizes[1]
