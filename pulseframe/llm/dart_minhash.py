@@ -309,16 +309,20 @@ def links_between(bucket: DataFrame, scored: DataFrame, classes: DataFrame, memb
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per class, with the id that names the class; rows with a NULL id stay.
+    """One row of ``docs`` per class: the one with the smallest id, a NULL id last, the first in the written order on ties.
 
-    Of rows that repeat an id, one stays, whatever their texts.
+    Rows are numbered first and each is decided by its own text, so an id that stands for several texts loses none that is
+    nobody's copy, and rows with NULL ids fold like any others.
     """
-    decided = stage(near_duplicates(docs).where("doc_id IS NOT NULL"), "classes")
-    dropped = stage(decided.where("doc_id <> class_id").select(F.col("doc_id").alias("__id")).distinct(), "copies")
-    kept = docs.join(dropped, docs["doc_id"] == dropped["__id"], "left_anti")
-    repeated = stage(decided.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept["doc_id"] == repeated["__id"], "left_anti")
-    more = kept.join(repeated, kept["doc_id"] == repeated["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    classes = near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")).withColumnRenamed("doc_id", row)
+    named = numbered.select(row, F.col("doc_id").alias("id")).join(classes, row)
+    decided = stage(named.select(row, "id", "class_id"), "classes")
+    first = decided.groupBy("class_id").agg(
+        F.min(F.struct(F.col("id").isNull(), "id", row)).alias("kept"), F.count(F.lit(1)).alias("rows")
+    ).where("rows > 1").select("class_id", F.col("kept")[row].alias("kept"))
+    dropped = stage(decided.join(first, "class_id").where(F.col(row) != F.col("kept")).select(row), "copies")
+    return numbered.join(dropped, row, "left_anti").select(*[numbered[f"`{name}`"] for name in docs.columns])

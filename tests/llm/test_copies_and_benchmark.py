@@ -220,3 +220,13 @@ def test_the_filter_grows_with_the_seeds(spark):
             assert ((packed[at >> 3] >> (at & 7).astype("u1")) & 1).all()
         sizes.append(bits)
     assert sizes[0] == decontaminate.LEAST_FILTER_BITS < sizes[1]
+
+
+def test_copies_are_decided_by_their_text(spark):
+    one, two = " ".join(prose(41, 60)), " ".join(prose(42, 60))
+    rows = [(1, one), (2, one), (2, two), (None, two + " more"), (None, "alone as can be"), (None, "alone as can be"), (7, None), (None, "")]
+    docs = text_rows(spark, rows).withColumn("__row", F.lit("clash"))
+    kept = dart_minhash.without_copies(docs)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(found, key=str) == sorted([(1, one), (2, two), (None, "alone as can be"), (7, None)], key=str)
