@@ -2,10 +2,12 @@
 
 A BPE vocabulary packs words into few tokens and random strings into many, so a low ratio of characters to tokens
 exposes keys that no pattern knows. Candidates are runs of key characters; known digests (hexadecimal runs of digest
-length), UUIDs, numbers and plain identifiers (words that take few tokens and numbers between separators) are not tested.
-What base patterns leave of a run is a candidate of its own. If a candidate as a whole does not look random, its parts
-between separators are tested, each with as many of the next ones as the least length takes; a span of such parts ends
-where words, numbers, digests or UUIDs begin.
+length), UUIDs, numbers and identifiers are not tested. An identifier is made of words that take few tokens, numbers,
+words with a short number (``build12``), and, for up to three quarters of its parts, short tags (``v2``, ``x86``, ``utf8mb4``).
+Short parts take few characters a token by nature, so a candidate only looks random if unknown parts are at least half of
+its letters and digits. What base patterns leave of a run is a candidate of its own. If a candidate as a whole does not
+look random, its parts between separators are tested, each with as many of the next ones as the least length takes; a span
+of such parts ends where words, numbers, digests or UUIDs begin.
 
 Offsets count code points, ends are exclusive. NULL is an empty text; an empty text has no spans. Spans of equal start
 are in the order of ``KINDS``. Repeated rows give repeated rows; other columns are ignored. Whole texts are scanned.
@@ -40,6 +42,10 @@ DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 SEPARATORS = "+/_=-"
 SHORT_WORD = 3
+# A tag is made of short words and short numbers in turn.
+TAG = re.compile(r"[A-Za-z]+|[0-9]+")
+TAG_PIECES, TAG_DIGITS = 4, 4
+UNKNOWN, PLAIN, TAGGED = range(3)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -54,27 +60,40 @@ def is_digest(part: str) -> bool:
     return bool(len(part) in DIGEST_LENGTHS and DIGEST.fullmatch(part) or UUID.fullmatch(part))
 
 
-def is_plain(part: str, coder) -> bool:
-    """Whether a part without separators is a number or a word: short, or of letters that take few tokens."""
-    if part.isdigit():
-        return True
-    return part.isalpha() and (len(part) <= SHORT_WORD or len(part) > RANDOM_RATIO * len(encode(part, coder)))
+def is_word(part: str, coder) -> bool:
+    """Whether letters are short or take few tokens."""
+    return len(part) <= SHORT_WORD or len(part) > RANDOM_RATIO * len(encode(part, coder))
 
 
-def is_known(candidate: str, coder) -> bool:
-    """Whether a candidate is a digest, a UUID, or an identifier made of whole words and whole numbers."""
-    return all(is_digest(m.group()) or is_plain(m.group(), coder) for m in PART.finditer(candidate))
+def kind_of(part: str, coder) -> int:
+    """``PLAIN`` for digests, numbers, words and longer words with one short number, ``TAGGED`` for other short mixtures of
+    words and numbers, else ``UNKNOWN``."""
+    if part.isdigit() or is_digest(part):
+        return PLAIN
+    if part.isalpha():
+        return PLAIN if is_word(part, coder) else UNKNOWN
+    pieces = TAG.findall(part)
+    if len(pieces) > TAG_PIECES or not all(len(p) <= TAG_DIGITS if p.isdigit() else is_word(p, coder) for p in pieces):
+        return UNKNOWN
+    return PLAIN if len(pieces) == 2 and len(pieces[0]) > SHORT_WORD and pieces[0].isalpha() else TAGGED
 
 
-def looks_random(candidate: str, coder) -> bool:
-    return len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder))
+def is_identifier(kinds: list[int]) -> bool:
+    """Whether parts of these kinds make an identifier: none unknown, a quarter plain."""
+    return UNKNOWN not in kinds and 4 * kinds.count(TAGGED) <= 3 * len(kinds)
 
 
-def random_parts(candidate: str, coder) -> list[tuple[int, int]]:
+def looks_random(candidate: str, coder, parts: list[tuple[int, int]], kinds: list[int]) -> bool:
+    """Whether a candidate takes many tokens, and not only because its words and numbers are short."""
+    size = [b - a for a, b in parts]
+    known = 0 if UNKNOWN not in kinds else sum(n for n, k in zip(size, kinds, strict=True) if k != UNKNOWN)
+    return 2 * known <= sum(size) and len(candidate) <= RANDOM_RATIO * len(encode(candidate, coder))
+
+
+def random_parts(candidate: str, coder, parts: list[tuple[int, int]], kinds: list[int]) -> list[tuple[int, int]]:
     """Spans of the parts of a candidate that look random though the whole does not."""
-    parts = [m.span() for m in PART.finditer(candidate)]
     digest = [is_digest(candidate[a:b]) for a, b in parts]
-    plain = [d or is_plain(candidate[a:b], coder) for (a, b), d in zip(parts, digest, strict=True)]
+    plain = [kind == PLAIN for kind in kinds]
     marked = [False] * len(parts)
     reach = last = 0
     for first in range(len(parts)):
@@ -83,9 +102,10 @@ def random_parts(candidate: str, coder) -> list[tuple[int, int]]:
         if last == len(parts):
             break
         last = max(last, first)
-        if any(digest[first:last + 1]) or all(plain[first:last + 1]):
+        window = slice(first, last + 1)
+        if any(digest[window]) or is_identifier(kinds[window]):
             continue
-        if looks_random(candidate[parts[first][0]:parts[last][1]], coder):
+        if looks_random(candidate[parts[first][0]:parts[last][1]], coder, parts[window], kinds[window]):
             for n in range(max(first, reach), last + 1):
                 marked[n] = True
             reach = last + 1
@@ -136,12 +156,16 @@ def random_spans(text: str, coder, covered: list[tuple[int, int, int]]) -> list[
                 while start < end and text[end - 1] in SEPARATORS and (text[end - 1] != "=" or end != m.end()):
                     end -= 1
             candidate = text[start:end]
-            if len(candidate) < RANDOM_LEAST or is_known(candidate, coder):
+            if len(candidate) < RANDOM_LEAST:
+                continue
+            parts = [m.span() for m in PART.finditer(candidate)]
+            kinds = [kind_of(candidate[a:b], coder) for a, b in parts]
+            if is_identifier(kinds):
                 continue
-            if looks_random(candidate, coder):
+            if looks_random(candidate, coder, parts, kinds):
                 found.append((start, 3, end))
             else:
-                found += [(start + a, 3, start + b) for a, b in random_parts(candidate, coder)]
+                found += [(start + a, 3, start + b) for a, b in random_parts(candidate, coder, parts, kinds)]
     return found
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -192,3 +193,54 @@ def test_edge_rows_of_the_scan(edge_docs, no_docs):
     assert len(rows) == edge_docs.count()
     assert all(r["spans"] == "" and r["base_sha256"] == sha(b"") for r in rows)
     assert secret_scan.scan_documents(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("known", [
+    "api/v2/users/2024/05/17/index", "release-2024-05-17-v2-rc1-build12", "foo_bar_v2_x86_64-linux-gnu",
+    "ISBN978-3-16-148410-0", "utf8mb4_unicode_520_ci_v2", "src/main/java/utils/v2/index/2024/test_case_12",
+])
+def test_version_names_and_paths_are_identifiers(known):
+    assert not secret_scan.spans(f"see {known} here", bpe.encoding())[1]
+
+
+NAMES = (
+    "src main java test tests lib utils index users config build release docs v1 v2 v3 x86 x64 arm64 rc1 rc2 beta3 test12 page7 "
+    "2023 2024 05 17 30 api data model server client py3 utf8 sha1 linux gnu node18 part4 handler common case core"
+).split()
+
+
+def test_few_random_paths_and_nearly_all_random_keys_are_hit():
+    pick, coder, hits = random.Random(8), bpe.encoding(), 0
+    for _ in range(1000):
+        path = pick.choice("/_-").join(pick.choice(NAMES) for _ in range(8))
+        hits += bool(secret_scan.spans(f"see {path} here", coder)[1])
+    assert hits < 10
+    for size in (20, 24, 40):
+        for letters in (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits):
+            found = 0
+            for _ in range(500):
+                key = "".join(pick.choice(letters) for _ in range(size))
+                inner = key.strip("+/")
+                found += len(inner) < 20 or bool(secret_scan.spans(f"see {key} here", coder)[1])
+            assert found >= 0.985 * 500, (size, letters, found)
+
+
+def plain_kinds(part, coder):
+    """A plain version of the kinds of a part: split where letters and digits meet, each piece judged alone."""
+    if part.isdigit() or secret_scan.is_digest(part):
+        return "plain"
+    pieces = re.split(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])", part)
+    short = [len(p) <= (4 if p.isdigit() else 3) for p in pieces]
+    words = [s or (p.isalpha() and len(p) / len(coder.encode_ordinary(p)) > 2.1) for p, s in zip(pieces, short, strict=True)]
+    if len(pieces) > 4 or not all(words):
+        return "unknown"
+    return "plain" if len(pieces) == 1 or (len(pieces) == 2 and pieces[0].isalpha() and len(pieces[0]) > 3) else "tag"
+
+
+def test_kinds_of_parts_equal_a_plain_version():
+    pick, names = random.Random(9), ("plain", "tag", "unknown")
+    numbers = {secret_scan.PLAIN: 0, secret_scan.TAGGED: 1, secret_scan.UNKNOWN: 2}
+    words = ["build", "v", "rc", "Index", "kubectl", "qzx", "utf", "mb", "release", "xqjz", "12", "4", "2024", "99999", "86"]
+    for _ in range(2000):
+        part = "".join(pick.choice(words) for _ in range(pick.randint(1, 5)))
+        assert names[numbers[secret_scan.kind_of(part, bpe.encoding())]] == plain_kinds(part, bpe.encoding()), part
