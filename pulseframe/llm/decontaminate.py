@@ -2,9 +2,9 @@
 
 A seed is a hash of the words at the ones of a fixed mask; words at its zeros may differ. Seeds of all benchmark items
 are joined with the seeds of all documents. So that a document's seeds need no shuffle unless they can match, a
-document first asks a Bloom filter, sized by the number of seeds (at least 12 bits a seed up to 2^27 bits, 16 MB; beyond
-that more documents pass, and none is lost); only documents with a hit leave their task, with their words as hashes. Each
-joined seed gives a diagonal (document position minus item position); along it, the words of item and document are
+document first asks a Bloom filter, sized by the number of seeds (64 bits a seed or more, so that one seed in some 10,000
+passes by chance, from 2 MB up to 32 MB; beyond that more documents pass, and none is lost); only documents with a hit
+leave their task, with their words as hashes. Each joined seed gives a diagonal (document position minus item position); along it, the words of item and document are
 compared one by one, and the best segment (+1 for equal words, -2 for others) counts if it has ``LEAST_WORDS`` equal
 words, or if ``LEAST_SHARE`` of all words of the item agree; then it reaches from the first to the last of them.
 
@@ -35,8 +35,8 @@ MASKS = ("111111", "11011011", "1101000111", "11100100101")
 LIGHT_MASKS = ("1111", "110011")
 WEIGHT = 6
 LONG = 16
-BITS_PER_SEED = 12
-LEAST_FILTER_BITS, MOST_FILTER_BITS = 16, 27
+BITS_PER_SEED = 64
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 24, 28
 PROBES = 3
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
@@ -130,12 +130,16 @@ def masks_and_bits(keyed: DataFrame) -> tuple[list[str], int]:
         F.coalesce(F.max(F.col("item_length").between(WEIGHT, LONG - 1)), F.lit(False)).alias("short"),
     ).first()
     masks = [*(MASKS if row["long"] else ()), *(LIGHT_MASKS if row["short"] else ())]
-    bits = int(np.ceil(np.log2(max(1, row["seeds"]) * BITS_PER_SEED)))
-    return masks, min(max(bits, LEAST_FILTER_BITS), MOST_FILTER_BITS)
+    return masks, filter_bits(row["seeds"])
+
+
+def filter_bits(count: int) -> int:
+    """The power of two of the filter's bits for so many seeds."""
+    return min(max((max(1, count) * BITS_PER_SEED - 1).bit_length(), LEAST_FILTER_BITS), MOST_FILTER_BITS)
 
 
 def bloom(keyed: DataFrame, bits: int) -> np.ndarray:
-    """The filter as packed bits, built in the tasks as bitmaps of 4 KB; what is collected is the filter, 16 MB at most."""
+    """The filter as packed bits, built in the tasks as bitmaps of 4 KB; what is collected is the filter, 32 MB at most."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

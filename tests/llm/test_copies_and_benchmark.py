@@ -205,21 +205,17 @@ def test_rows_without_ids_are_decided_by_their_text(spark):
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, benchmark).collect()] == [(1, None)]
 
 
-def test_the_filter_grows_with_the_seeds(spark):
-    few, many = ([(n, " ".join(prose(n, 40))) for n in range(k)] for k in (3, 300))
-    sizes = []
-    for rows in (few, many):
-        benchmark = spark.createDataFrame(rows, "item_id long, text string")
-        keyed = decontaminate.item_seeds(decontaminate.benchmark_items(benchmark))
-        masks, bits = decontaminate.masks_and_bits(keyed)
-        assert tuple(masks) == decontaminate.MASKS
-        hashes = np.array([r["seed"] for r in keyed.collect()], "i8").view("u8")
-        packed = decontaminate.bloom(keyed, bits)
-        for k in range(decontaminate.PROBES):
-            at = decontaminate.probe(hashes, k, bits)
-            assert ((packed[at >> 3] >> (at & 7).astype("u1")) & 1).all()
-        sizes.append(bits)
-    assert sizes[0] == decontaminate.LEAST_FILTER_BITS < sizes[1]
+def test_the_filter_holds_all_seeds_and_grows_with_them(spark):
+    benchmark = spark.createDataFrame([(n, " ".join(prose(n, 40))) for n in range(30)], "item_id long, text string")
+    keyed = decontaminate.item_seeds(decontaminate.benchmark_items(benchmark))
+    masks, bits = decontaminate.masks_and_bits(keyed)
+    assert tuple(masks) == decontaminate.MASKS and bits == 24
+    hashes = np.array([r["seed"] for r in keyed.collect()], "i8").view("u8")
+    packed = decontaminate.bloom(keyed, bits)
+    for k in range(decontaminate.PROBES):
+        at = decontaminate.probe(hashes, k, bits)
+        assert ((packed[at >> 3] >> (at & 7).astype("u1")) & 1).all()
+    assert [decontaminate.filter_bits(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 22, 1 << 40)] == [24, 24, 25, 28, 28]
 
 
 def test_copies_are_decided_by_their_text(spark):
