@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pulseframe import rules
 from pulseframe.functions import percent, sprintf
 from pulseframe.rules import DatasetRules, HealthRules
+from pulseframe.sources.staging import stage
 
 
 def growth_rate(records: Column, previous: Column) -> Column:
@@ -18,7 +19,8 @@ def with_growth(batches: DataFrame, batch: str = "batch") -> DataFrame:
     """Add ``previous_records`` and ``growth_rate``.
 
     The window runs over one row per batch, never over facts. It has no partition, so all batches pass through one
-    task: fine for calendar keys and for what a report shows, not for a key with hundreds of millions of values.
+    task: fine for calendar keys and for what a report shows; ``with_growth_in_ranges`` serves keys with any number of
+    values.
     """
     previous = F.lag("total_records").over(Window.orderBy(batch))
     return batches.withColumns({
@@ -26,6 +28,27 @@ def with_growth(batches: DataFrame, batch: str = "batch") -> DataFrame:
     })
 
 
+def with_growth_in_ranges(batches: DataFrame, batch: str = "batch") -> DataFrame:
+    """``with_growth`` for any number of batches: rows are dealt out in ranges of the batch key and written, each range is
+    ordered by itself, and its first row gets the last record count of the range before it.
+
+    One row per range passes through one task, never the batches. A NULL batch comes first, as in ``with_growth``;
+    batch keys have to be distinct. Runs when it is called, because the ranges are drawn once.
+    """
+    part, carried, place = "__range", "__carried", "__place"
+    ranged = stage(
+        batches.repartitionByRange(F.col(batch).asc_nulls_first()).withColumn(part, F.spark_partition_id()), "ranges")
+    last = F.max_by("total_records", F.struct(F.col(batch).isNotNull(), batch))
+    ends = ranged.groupBy(part).agg(last.alias("__last"))
+    before = ends.select(part, F.lag("__last").over(Window.orderBy(part)).alias(carried))
+    inside = Window.partitionBy(part).orderBy(batch)
+    rows = ranged.withColumns({
+        "previous_records": F.lag("total_records").over(inside), place: F.row_number().over(inside)}).join(before, part)
+    previous = F.when(F.col(place) == 1, F.col(carried)).otherwise(F.col("previous_records"))
+    return rows.withColumn("previous_records", previous).withColumn(
+        "growth_rate", growth_rate(F.col("total_records"), F.col("previous_records"))).drop(part, carried, place)
+
+
 def batch_status(score: Column, limits: HealthRules) -> Column:
     return F.when(score >= limits.healthy_from, "Healthy").when(score >= limits.warning_from, "Warning").otherwise(
         "Critical"

@@ -229,3 +229,21 @@ def test_dataset_score_tiers(spark, missing, duplicates, outliers, usable, score
     scored = row.select(health.dataset_score(*[F.col(n) for n in "mdou"], limits).alias("score"))
     found = scored.select("score", health.dataset_status(F.col("score"), limits).alias("status")).first()
     assert (found["score"], found["status"]) == (score, status)
+
+
+def test_growth_in_ranges_equals_growth_in_one_window(spark):
+    """A million batches, a NULL batch and NULL record counts."""
+    rows = spark.range(1_000_000).select(
+        F.when(F.col("id") != 500, F.col("id") * 7 % 1_000_003).alias("batch"),
+        F.when(F.col("id") % 1000 != 3, F.col("id") % 97 + 1).alias("total_records"))
+    ranged, plain = health.with_growth_in_ranges(rows.repartition(5)), health.with_growth(rows)
+    assert ranged.columns == plain.columns
+    assert ranged.count() == 1_000_000
+    assert ranged.exceptAll(plain).isEmpty()
+
+
+def test_growth_in_ranges_of_few_or_no_batches(spark):
+    rows = spark.createDataFrame([("b", 10), ("a", 5), (None, 4)], "batch string, total_records long")
+    found = [(r["batch"], r["previous_records"], r["growth_rate"]) for r in health.with_growth_in_ranges(rows).orderBy("batch").collect()]
+    assert found == [(None, None, 0.0), ("a", 4, 25.0), ("b", 5, 100.0)]
+    assert health.with_growth_in_ranges(rows.limit(0)).count() == 0

@@ -531,8 +531,22 @@ def _date_columns_sql() -> str:
     return " UNION ALL ".join(one(n) for n in TABLES)
 
 
+def order_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth from order to order: as many batches as there are orders, so they are put in order in ranges."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("batch")).agg(
+        F.count(F.lit(1)).alias("total_records"))
+    return health.with_growth_in_ranges(lines)
+
+
+ORDER_GROWTH_SQL = """WITH g AS (SELECT l_orderkey AS batch, count(*) AS total_records FROM lineitem GROUP BY 1),
+  p AS (SELECT *, lag(total_records) OVER (ORDER BY batch) AS previous_records FROM g)
+SELECT *, coalesce(round((total_records - previous_records) / previous_records * 100.0::DOUBLE, 4), 0.0::DOUBLE) AS growth_rate
+FROM p"""
+
+
 def queries() -> dict:
     out = {
+        "order_growth": order_growth,
         "prepare_clean": lambda s, d: cleaning.keep_year(
             cleaning.blank_to_null(raw_purchases(s, d), STRINGS), ROLES.date, 1998),
         "batch_missing": lambda s, d: labelled(missing.column_missing(monthly(s, d), ["batch"])),
@@ -587,6 +601,7 @@ def oracle_sql() -> dict[str, str]:
     docs = "(SELECT text, lang, source, n_chars FROM documents)"
     overview = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(LINE_TYPES.items()))
     return {
+        "order_growth": ORDER_GROWTH_SQL,
         "prepare_clean": with_purchases("SELECT * FROM purchases WHERE year(order_date) = 1998"),
         "batch_missing": with_purchases(missing_sql("purchases", MONTH, COLUMNS, False, 4)),
         "batch_missing_total": with_purchases(
