@@ -14,7 +14,8 @@ bucket's smallest member, its pivot, and what is similar is connected. Then only
 bucket matter. They are looked for in blocks of at most ``BLOCK`` members a side, inside the tasks: pairs of different
 classes whose distances to the pivot differ by 0.2 at most (the weighted Jaccard distance is a metric) and whose signatures
 agree in a share of ``LIKELY`` coordinates, which a pair of similarity 0.8 misses with probability 2e-4, are compared
-exactly, and links go out. Large buckets cost comparisons of signatures, but neither rows nor a larger task.
+exactly, and links go out. A bucket of M members in different classes costs comparisons of signatures, and M times M / ``BLOCK``
+rows with their element sets; its tasks hold two blocks each.
 
 Defined cases: words are lower-case runs of letters, digits and underscores; texts with the same words are copies (one
 node, so copies cost nothing after the first shuffle); a text of one to four words is one shingle; NULL and empty texts
