@@ -45,6 +45,26 @@ def duplicate_rows(
         F.coalesce(F.sum("__copies"), F.lit(0)).cast("bigint").alias("total_records"),
         F.count(F.lit(1)).alias("unique_records"),
     )
+    return _with_rate(counted, keys, digits)
+
+
+def daily_copies(df: DataFrame, date_column: str, identity: str = "values") -> DataFrame:
+    """``day``, records and distinct rows of every day. Rows that are equal share their day, so the figures of weeks,
+    months or any span of days are sums of these (see ``duplicates_of_spans``), and one shuffle of the rows serves all.
+    Rows without a date belong to no day."""
+    days = df.where(c(date_column).isNotNull()).withColumn("__day", c(date_column).cast("date"))
+    return duplicate_rows(days, ["__day"], identity).select(
+        F.col("__day").alias("day"), "total_records", "unique_records")
+
+
+def duplicates_of_spans(daily: DataFrame, span: Column, name: str, digits: int | None = 4) -> DataFrame:
+    """As ``duplicate_rows`` by ``span``, an expression of ``day`` that comes out as ``name``, from ``daily_copies``."""
+    counted = daily.groupBy(span.alias(name)).agg(
+        F.sum("total_records").alias("total_records"), F.sum("unique_records").alias("unique_records"))
+    return _with_rate(counted, [c(name)], digits)
+
+
+def _with_rate(counted: DataFrame, keys: Sequence[Column], digits: int | None) -> DataFrame:
     extra = F.col("total_records") - F.col("unique_records")
     return counted.select(
         *keys, "total_records", "unique_records", extra.alias("duplicate_records"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pulseframe import rules
 from pulseframe.functions import c, percent, sprintf, week_start
 from pulseframe.operators.cleaning import with_week
-from pulseframe.operators.duplicates import duplicate_rows
+from pulseframe.operators.duplicates import duplicate_rows, duplicates_of_spans
 from pulseframe.operators.missing import missing_count_aggregates, missing_total, source_columns
 from pulseframe.rules import DriftRules, Roles
 
@@ -16,14 +16,16 @@ WEEK = "week_start"
 
 
 def weekly_features(
-    df: DataFrame, roles: Roles = Roles(), *, approximate: bool = False, identity: str = "digest"
+    df: DataFrame, roles: Roles = Roles(), *, approximate: bool = False, identity: str = "digest",
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """One row per week: the eleven features plus the first and last source date inside the week.
 
     Three aggregations joined on the week: fixed-size measures, the four distinct counts, and the row-identity
     shuffle for duplicates. They stay apart on purpose. Together with the distinct counts every (week, value)
     entry of the shuffle would carry the buffers of all measures. ``approximate`` trades the exact distinct
-    counts for sketches, which removes their shuffle.
+    counts for sketches, which removes their shuffle. ``daily``, the ``daily_copies`` of the same rows, takes the place
+    of the row-identity shuffle.
     """
     weeks = with_week(df, roles.date, WEEK)
     columns = source_columns(weeks, [WEEK])
@@ -46,9 +48,11 @@ def weekly_features(
         count_values(c(roles.category)).alias("unique_category_count"),
         count_values(c(roles.region)).alias("unique_shipping_state_count"),
     )
-    copies = duplicate_rows(weeks, [WEEK], identity, digits=None).select(
-        WEEK, F.col("duplicate_percentage").alias("duplicate_rate")
-    )
+    if daily is None:
+        duplicated = duplicate_rows(weeks, [WEEK], identity, digits=None)
+    else:
+        duplicated = duplicates_of_spans(daily, week_start(F.col("day")), WEEK, digits=None)
+    copies = duplicated.select(WEEK, F.col("duplicate_percentage").alias("duplicate_rate"))
     rate = percent(missing_total(columns), F.col("purchase_record_count") * len(columns))
     feature = lambda name: rate if name == "missing_value_rate" else F.col(name).cast("double")
     return measures.join(variety, WEEK).join(copies, WEEK).select(

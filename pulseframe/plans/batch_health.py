@@ -34,12 +34,14 @@ def profile_batches(
     denominator: str = "records",
     max_groups: int | None = None,
     identity: str = "digest",
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """Counts, missing values, numeric statistics, outliers and duplicates: one row per batch.
 
     Three aggregations meet on the batch key: (1) one generated-code pass with every fixed-size measure,
     (2) quartile sketches followed by the outlier count over the numeric columns alone, (3) the row-identity
     shuffle for duplicates. Each scan reads only the columns it needs and only (3) moves data in bulk.
+    ``copies``, the result of ``duplicate_rows`` for the same batches, takes the place of (3).
     """
     columns = source_columns(df, by)
     keys = [c(k) for k in by]
@@ -67,8 +69,8 @@ def profile_batches(
         accuracy=limits.quartile_accuracy,
         exact=limits.exact_quartiles, fence=limits.fence_width,
     )
-    copies = duplicate_rows(df, by, identity).drop("total_records", "unique_records")
-    return attach(attach(plain, outliers, by), copies, by)
+    copied = duplicate_rows(df, by, identity) if copies is None else copies
+    return attach(attach(plain, outliers, by), copied.drop("total_records", "unique_records"), by)
 
 
 def batch_health(
@@ -81,6 +83,7 @@ def batch_health(
     monthly: bool = False,
     max_batches: int | None = None,
     identity: str = "digest",
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """One row per batch with profile, growth, schema drift, anomalies, deductions, score and status.
 
@@ -88,10 +91,11 @@ def batch_health(
     and the calendar bounds the number of batches. Any other batch column stays as it is, with no bound but
     ``max_batches``. Growth follows the order of the raw key.
     ``schema_changes`` is the output of ``schema_drift`` over the batches' own schemas. Without it every batch
-    has the schema of ``df`` and the first batch is the baseline.
+    has the schema of ``df`` and the first batch is the baseline. ``copies`` as in ``profile_batches``.
     """
     bound = CALENDAR_MONTHS if monthly and max_batches is None else max_batches
-    profiled = profile_batches(df, numeric, [batch], limits=limits, max_groups=bound, identity=identity)
+    profiled = profile_batches(
+        df, numeric, [batch], limits=limits, max_groups=bound, identity=identity, copies=copies)
     grown = with_growth(profiled, batch)
     if monthly:
         grown = with_month_label(grown, batch)

@@ -18,10 +18,10 @@ FINGERPRINT_FIELDS = [
 
 def weekly_scores(
     df: DataFrame, roles: Roles = Roles(), limits: DriftRules = DriftRules(), *,
-    approximate: bool = False, identity: str = "digest",
+    approximate: bool = False, identity: str = "digest", daily: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows to one scored row per week, in a single lazy plan."""
-    features = weekly_features(df, roles, approximate=approximate, identity=identity)
+    features = weekly_features(df, roles, approximate=approximate, identity=identity, daily=daily)
     return weekly_drift(compare_to_history(features, limits), limits)
 
 

@@ -6,12 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pulseframe.functions import CALENDAR_MONTHS, percent
+from pulseframe.functions import CALENDAR_MONTHS, month_key, percent
 from pulseframe.operators import cleaning, duplicates, health, missing, numeric, schema
 from pulseframe.plans import batch_health as bh, dataset_report as dr, views
 from pulseframe.plans.prepare import prepare_purchases
 from pulseframe.rules import DatasetRules, HealthRules
-from workload.tables import ROLES, STRINGS, TABLES, purchases, purchases_sql, raw_purchases, staged_once, table
+from workload.tables import (
+    ROLES, STRINGS, TABLES, daily_copies, purchases, purchases_sql, raw_purchases, staged_once, table,
+)
 
 COLUMNS = ["order_date", "unit_price", "quantity", "state", "title", "product_code", "category", "response_id"]
 MONTH = "strftime(order_date, '%Y-%m')"
@@ -50,7 +52,8 @@ def labelled(batches: DataFrame) -> DataFrame:
 
 
 def month_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bh.batch_health(monthly(spark, sf_dir), NUMERIC, monthly=True, limits=EXACT_HEALTH)
+    copies = duplicates.duplicates_of_spans(daily_copies(spark, sf_dir), month_key(F.col("day")), "batch")
+    return bh.batch_health(monthly(spark, sf_dir), NUMERIC, monthly=True, limits=EXACT_HEALTH, copies=copies)
 
 
 def stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:

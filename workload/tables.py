@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pulseframe.operators import duplicates
 from pulseframe.operators.cleaning import blank_to_null, in_date_ranges
 from pulseframe.rules import DriftRules, Roles
 from pulseframe.sources.staging import stage
@@ -40,23 +41,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_purchases(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
-    """Uncleaned purchases: blank titles are still blank. ``by_date`` lays the rows out in date ranges."""
+    """Uncleaned purchases: blank titles are still blank. ``by_date`` lays the rows out in date ranges.
+
+    Orders meet their customers before the lines, so that a shuffled join moves the lines once for both, and the layout
+    moves only what the view holds, before rows are repeated.
+    """
     line, order, customer, nation, part = (
         table(spark, sf_dir, n) for n in ("lineitem", "orders", "customer", "nation", "part")
     )
-    joined = (
-        line.join(order, line.l_orderkey == order.o_orderkey)
-        .join(customer, order.o_custkey == customer.c_custkey)
+    buyers = (
+        order.join(customer, order.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .select("o_orderkey", "o_custkey", "n_name")
+    )
+    joined = (
+        line.join(buyers, line.l_orderkey == buyers.o_orderkey)
         .join(part, line.l_partkey == part.p_partkey)
         .withColumn("day", F.col("l_shipdate").cast("date"))
     )
-    if by_date:
-        joined = in_date_ranges(joined, "day", ["l_orderkey", "l_linenumber"])
-    inside = lambda span: (F.col("day") >= F.lit(span[0])) & (F.col("day") < F.lit(span[1]))
-    surge, outage, replayed = inside(SURGE_WEEK), inside(OUTAGE_WEEK), inside(REPLAYED_MONTH)
-    copies = F.when(surge | outage, 3).when(replayed | (F.col("l_partkey") % 37 == 0), 2).otherwise(1)
-    return joined.select(
+    inside = lambda span, day: (F.col(day) >= F.lit(span[0])) & (F.col(day) < F.lit(span[1]))
+    surge, outage = inside(SURGE_WEEK, "day"), inside(OUTAGE_WEEK, "day")
+    view = joined.select(
         F.col("day").alias("order_date"),
         (F.col("l_extendedprice") / F.col("l_quantity") * F.when(surge | outage, 20.0).otherwise(1.0)).alias(
             "unit_price"),
@@ -67,8 +72,15 @@ def raw_purchases(spark: SparkSession, sf_dir: str, by_date: bool = False) -> Da
         F.col("l_partkey").alias("product_code"),
         F.when((F.col("l_suppkey") % 17 != 0) & ~surge, F.col("p_type")).alias("category"),
         F.col("o_custkey").alias("response_id"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
-    ).drop("copy")
+        # Two bytes in place of the line's key.
+        *([F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(4096)).cast("short").alias("spread")] if by_date else []),
+    )
+    if by_date:
+        view = in_date_ranges(view, "order_date", ["spread"]).drop("spread")
+    thrice = inside(SURGE_WEEK, "order_date") | inside(OUTAGE_WEEK, "order_date")
+    twice = inside(REPLAYED_MONTH, "order_date") | (F.col("product_code") % 37 == 0)
+    copies = F.when(thrice, 3).when(twice, 2).otherwise(1)
+    return view.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("copy")).drop("copy")
 
 
 _staged: dict[tuple[str, str, str], DataFrame] = {}
@@ -82,6 +94,11 @@ def staged_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[]
     return _staged[key]
 
 
+def stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uncleaned purchases as a written table, for queries that export them, some more than once."""
+    return staged_once(spark, sf_dir, "raw", lambda: raw_purchases(spark, sf_dir))
+
+
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned purchases as a written table: prepared once per application, then only read.
 
@@ -92,6 +109,12 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "purchases", lambda: blank_to_null(raw_purchases(spark, sf_dir, by_date=True), STRINGS))
 
 
+def daily_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and distinct rows of every day as a written table, for the duplicates of weeks and of months."""
+    return staged_once(
+        spark, sf_dir, "daily-copies", lambda: duplicates.daily_copies(purchases(spark, sf_dir), ROLES.date, "digest"))
+
+
 def purchases_sql() -> str:
     """CTEs ``raw`` and ``purchases``: the same view as SQL."""
     between = lambda span: f"(day >= DATE '{span[0]}' AND day < DATE '{span[1]}')"

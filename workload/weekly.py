@@ -24,16 +24,19 @@ from pulseframe.sources.alert_store import update_history
 from pulseframe.sources.quarantine import read_with_quarantine
 from pulseframe.sources.staging import fresh_path, stage
 from workload import monthly as mo
-from workload.tables import DRIFT, PERIOD, ROLES, TABLES, purchases, raw_purchases, staged_once, table
+from workload.tables import (
+    DRIFT, PERIOD, ROLES, TABLES, daily_copies, purchases, staged_once, stored_raw, table,
+)
 
 FEATURES = list(FEATURE_LABELS)
 GENERATED = "2024-01-01T00:00:00+00:00"
 YEAR_1998 = AlertRules(active_year="1998")
 CHOSEN_WEEK = "1998-09-07"
+CSV_ROWS_PER_FILE = 1_000_000
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weekly.weekly_features(purchases(spark, sf_dir), ROLES)
+    return weekly.weekly_features(purchases(spark, sf_dir), ROLES, daily=daily_copies(spark, sf_dir))
 
 
 def in_two_steps(spark: SparkSession, rows: DataFrame, key: str, compute) -> DataFrame:
@@ -117,7 +120,7 @@ def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wd.weekly_scores(purchases(spark, sf_dir), ROLES, DRIFT)
+    return wd.weekly_scores(purchases(spark, sf_dir), ROLES, DRIFT, daily=daily_copies(spark, sf_dir))
 
 
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,16 +183,18 @@ def week_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------------- files and stores
 
 def csv_export(df: DataFrame) -> str:
-    """Write CSV files with a header and blanks kept as they are."""
+    """Write compressed CSV files with a header and blanks kept as they are. Such a file is one task when it is read, so
+    its rows are bounded."""
     path = fresh_path(df.sparkSession, "purchases") + ".csv"
     df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
-        "ignoreTrailingWhiteSpace", False).csv(path)
+        "ignoreTrailingWhiteSpace", False).option("compression", "lz4").option(
+        "maxRecordsPerFile", CSV_ROWS_PER_FILE).csv(path)
     return path
 
 
 def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw purchases through CSV files in which every seventh product lost its dates."""
-    raw = raw_purchases(spark, sf_dir)
+    raw = stored_raw(spark, sf_dir)
     spoiled = raw.withColumn("order_date", F.when(
         F.col("product_code") % 7 == 0, F.lit("unknown")).otherwise(F.date_format("order_date", "yyyy-MM-dd")))
     return files.read_typed_csv(spark, csv_export(spoiled), raw.schema, multi_line=False)
@@ -197,7 +202,7 @@ def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prepared_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole preparation: CSV export, typed scan, validation, cleaning, Parquet."""
-    raw = raw_purchases(spark, sf_dir)
+    raw = stored_raw(spark, sf_dir)
     return prepare_to_parquet(
         spark, csv_export(raw), fresh_path(spark, "prepared"), 1998, ROLES.date, schema=raw.schema, multi_line=False)
 
@@ -325,7 +330,7 @@ def csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message each faulty export of the purchases is refused with."""
-    raw = raw_purchases(spark, sf_dir)
+    raw = stored_raw(spark, sf_dir)
     swapped = raw.select("unit_price", "order_date", *[c for c in raw.columns if c not in ("unit_price", "order_date")])
     undated = raw.withColumn("order_date", F.when(F.col("product_code") % 7 != 0, F.col("order_date")))
     found = []
