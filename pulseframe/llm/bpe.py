@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -67,16 +68,20 @@ def _cut(text: str, size: int) -> Iterator[str]:
         yield text[start:]
 
 
-def encode(text: str | None, coder: tiktoken.Encoding, size: int = CHUNK) -> np.ndarray:
-    """Token ids of a whole text as unsigned 32-bit numbers, without special tokens."""
+def encode_to_list(text: str | None, coder: tiktoken.Encoding, size: int = CHUNK) -> list[int]:
+    """Token ids of a whole text, without special tokens."""
     if not text:
-        return np.zeros(0, "<u4")
+        return []
     if len(text) < 1000:
-        return np.array(coder.encode_ordinary(text), "<u4")
-    return np.concatenate([
-        np.array(coder._encode_single_piece(part) if single else coder.encode_ordinary(part), "<u4")
-        for part, single in chunks(text, size)
-    ])
+        return coder.encode_ordinary(text)
+    return list(chain.from_iterable(
+        coder._encode_single_piece(part) if single else coder.encode_ordinary(part) for part, single in chunks(text, size)
+    ))
+
+
+def encode(text: str | None, coder: tiktoken.Encoding, size: int = CHUNK) -> np.ndarray:
+    """The same as unsigned 32-bit numbers."""
+    return np.array(encode_to_list(text, coder, size), "<u4")
 
 
 def decode(ids: np.ndarray, coder: tiktoken.Encoding) -> bytes:

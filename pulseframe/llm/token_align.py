@@ -2,7 +2,8 @@
 
 Every text is encoded whole by both tokenizers. Byte offsets where a token of A and one of B end together, and where both
 go on with a space-marked token, are anchors. They cut a document into windows, pairs of token-id tuples, and equal
-windows align alike, so the alignment of a window is worked out once and remembered by its id tuples.
+windows align alike, so a batch keeps the links of a window once. All ends of a document are put in order at once: every
+end is one link, every end of both sides closes a group.
 
 A document is then a list of window codes, and a batch of documents a dictionary of windows. Corpus-wide counts of linked
 id pairs come from the dictionaries: a batch sends each of its distinct pairs once, and gets the corpus-wide counts of
@@ -18,9 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import os
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -96,7 +97,7 @@ class ByteCoder(Coder):
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
-        return self.ranks and bpe.encode(" " + text, self.ranks).tolist()
+        return self.ranks and bpe.encode_to_list(" " + text, self.ranks)
 
 
 class PieceCoder(Coder):
@@ -118,62 +119,70 @@ def coders(a_file: str, b_file: str, a_ranks: str | None = A_RANKS) -> tuple[Byt
     return ByteCoder(a_file, a_ranks), PieceCoder(b_file)
 
 
+@lru_cache(maxsize=2)
+def written(size: int) -> list[bytes]:
+    """Every id below ``size`` after a comma, after a semicolon and after a bar."""
+    return [b"%c%d" % (mark, i) for mark in b",;|" for i in range(size)]
+
+
+class Alignment(NamedTuple):
+    """Two encodings of the same bytes, all ends of tokens of either side in order: one end is one link, of the tokens
+    that reach up to it."""
+
+    a_ids: np.ndarray
+    b_ids: np.ndarray
+    pairs: np.ndarray  # a << 32 | b of every link
+    in_a: np.ndarray  # whether a token of A, of B ends at an end
+    in_b: np.ndarray
+
+    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every end that both sides share: the tokens of A, the tokens of B and the links up to it."""
+        shared = np.flatnonzero(self.in_a & self.in_b)
+        return np.cumsum(self.in_a)[shared], np.cumsum(self.in_b)[shared], shared + 1
+
+    def said(self) -> bytes:
+        """The groups as ``a1,a2|b1;a3|b2``."""
+        a_stops, b_stops, _ = self.groups()
+        size = int(max(self.a_ids.max(), self.b_ids.max())) + 1
+        strings = written(1 << (size - 1).bit_length())
+        size = len(strings) // 3
+        shared = self.in_a & self.in_b
+        before = np.cumsum(shared) - shared  # groups that end earlier
+        a_said, b_said = self.a_ids.astype("i8"), self.b_ids.astype("i8")
+        a_said[np.append(0, a_stops[:-1])] += size
+        b_said[np.append(0, b_stops[:-1])] += 2 * size
+        out = np.empty(len(a_said) + len(b_said), "i8")
+        out[np.arange(len(a_said)) + np.append(0, b_stops[:-1])[before[self.in_a]]] = a_said
+        out[np.arange(len(b_said)) + a_stops[before[self.in_b]]] = b_said
+        return b"".join(map(strings.__getitem__, out.tolist()))[1:]
+
+
+def alignment(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> Alignment:
+    """Align two encodings of the same bytes, given as ids and as the sizes of all tokens."""
+    a_ends, b_ends = np.cumsum(a_sizes[a_ids], dtype="i8"), np.cumsum(b_sizes[b_ids], dtype="i8")
+    at_a, at_b = np.zeros(a_ends[-1] + 1, bool), np.zeros(a_ends[-1] + 1, bool)
+    at_a[a_ends], at_b[b_ends] = True, True
+    ends = np.flatnonzero(at_a | at_b)
+    in_a, in_b = at_a[ends], at_b[ends]
+    pairs = a_ids[np.cumsum(in_a) - in_a].astype("i8") << 32 | b_ids[np.cumsum(in_b) - in_b]
+    return Alignment(a_ids, b_ids, pairs, in_a, in_b)
+
+
 def align(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]) -> tuple[str, int, list[int]]:
-    """Groups of a window as ``a1,a2|b1;a3|b2``, their number, and the linked pairs ``a << 32 | b`` of all
-    overlapping tokens. Both lists cover the same number of bytes."""
-    following, beside = iter(b), iter(a)
-    one, other = next(beside), next(following)
-    ahead = a_lengths[one] - b_lengths[other]  # bytes by which the tokens of A so far end later
-    pairs, left, right, said = [one << 32 | other], f"{one}", f"{other}", []
-    while True:
-        if ahead > 0:
-            other = next(following)
-            ahead -= b_lengths[other]
-            right = f"{right},{other}"
-        elif ahead:
-            one = next(beside)
-            ahead += a_lengths[one]
-            left = f"{left},{one}"
-        else:
-            said.append(f"{left}|{right}")
-            one = next(beside, None)
-            if one is None:
-                return ";".join(said), len(said), pairs
-            other = next(following)
-            ahead = a_lengths[one] - b_lengths[other]
-            left, right = f"{one}", f"{other}"
-        pairs.append(one << 32 | other)
-
-
-class Windows(dict):
-    """The windows of a batch, numbered by the bytes of their id tuples, and the alignment of each, worked out once. All
-    that is remembered is strings and numbers, which the garbage collector need not visit."""
+    """Groups as ``a1,a2|b1;a3|b2``, their number, and the linked pairs ``a << 32 | b`` of all overlapping tokens. Both
+    lists cover the same number of bytes."""
+    found = alignment(*(np.array(x, "i8") for x in (a, b, a_lengths, b_lengths)))
+    return found.said().decode(), len(found.groups()[0]), found.pairs.tolist()
 
-    def __init__(self, a: Coder, b: Coder) -> None:
-        self.a, self.b = a.lengths, b.lengths
-        self.said: list[str] = []
-        self.groups, self.links, self.pairs = array("I"), array("I"), array("q")
-
-    def __missing__(self, window: bytes) -> int:
-        value = self[window] = len(self)
-        ids = array("I", window).tolist()
-        cut = ids.index(SEPARATOR)
-        said, groups, pairs = align(ids[:cut], ids[cut + 1:], self.a, self.b)
-        self.said.append(said)
-        self.groups.append(groups)
-        self.links.append(len(pairs))
-        self.pairs.extend(pairs)
-        return value
-
-
-def windows_of(a_ids: np.ndarray, b_ids: np.ndarray, a: Coder, b: Coder) -> list[bytes]:
-    """Cut a verified document at its anchors; each window as the bytes of A's ids, a separator and B's ids."""
-    a_ends, b_ends = np.cumsum(a.sizes[a_ids], dtype="i8"), np.cumsum(b.sizes[b_ids], dtype="i8")
+
+def windows_of(found: Alignment, a: Coder, b: Coder) -> tuple[list[bytes], np.ndarray]:
+    """Cut a verified document at its anchors: each window as the bytes of A's ids, a separator and B's ids, and the
+    number of its links."""
+    a_ids, b_ids = found.a_ids, found.b_ids
     a_open, b_open = np.append(a.spaced[a_ids[1:]], True), np.append(b.spaced[b_ids[1:]], True)
-    a_stops = np.flatnonzero(a_open) + 1
-    beside = np.searchsorted(b_ends, a_ends[a_stops - 1])
-    shared = (b_ends[beside] == a_ends[a_stops - 1]) & b_open[beside]
-    a_stops, b_stops = a_stops[shared], beside[shared] + 1
+    a_stops, b_stops, link_stops = found.groups()
+    anchors = a_open[a_stops - 1] & b_open[b_stops - 1]
+    a_stops, b_stops = a_stops[anchors], b_stops[anchors]
     # Window k holds A's ids, one separator and B's ids, so it ends at a_stops[k] + b_stops[k] + k + 1.
     stops = a_stops + b_stops + np.arange(1, len(a_stops) + 1)
     a_counts, b_counts = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
@@ -182,32 +191,46 @@ def windows_of(a_ids: np.ndarray, b_ids: np.ndarray, a: Coder, b: Coder) -> list
     flat[np.arange(len(a_ids)) + np.repeat(starts - (a_stops - a_counts), a_counts)] = a_ids
     flat[np.arange(len(b_ids)) + np.repeat(starts + a_counts + 1 - (b_stops - b_counts), b_counts)] = b_ids
     whole, ends = flat.tobytes(), (stops * 4).tolist()
-    return [whole[start:end] for start, end in zip([0, *ends], ends)]
+    return [whole[start:end] for start, end in zip([0, *ends], ends)], np.diff(link_stops[anchors], prepend=0)
 
 
 class Batch:
-    """Documents on their way to one staged row."""
+    """Documents on their way to one staged row. ``windows`` numbers the windows of the batch; the links of each are kept
+    once, when it first occurs."""
 
     def __init__(self, a: Coder, b: Coder) -> None:
-        self.windows, self.bytes = Windows(a, b), 0
+        self.a, self.b, self.bytes = a, b, 0
+        self.windows: dict[bytes, int] = {}
+        self.links: list[np.ndarray] = []
+        self.pairs: list[np.ndarray] = []
         self.rows: list[tuple] = []
         self.flat: list[np.ndarray] = []
 
-    def add(self, key: int | None, windows: list[bytes], n_a: int, n_b: int) -> None:
-        codes = list(map(self.windows.__getitem__, windows))
-        said = ";".join(map(self.windows.said.__getitem__, codes))
-        digest = hashlib.sha256(said.encode()).hexdigest() if windows else ""
-        # Every shared end closes a group, and a group of n and m tokens has n + m - 1 links.
-        groups = sum(map(self.windows.groups.__getitem__, codes))
-        self.rows.append((key, n_a, n_b, groups, n_a + n_b - groups, digest, len(windows)))
-        self.flat.append(np.array(codes, "<u4"))
+    def add_empty(self, key: int | None) -> None:
+        self.rows.append((key, 0, 0, 0, 0, "", 0))
+
+    def add(self, key: int | None, a_ids: np.ndarray, b_ids: np.ndarray) -> None:
+        found = alignment(a_ids, b_ids, self.a.sizes, self.b.sizes)
+        windows, links = windows_of(found, self.a, self.b)
+        known = self.windows
+        before = len(known)
+        codes = np.array([known.setdefault(w, len(known)) for w in windows], "i8")
+        # Numbers rise as windows first occur, so a window is new where its number passes all earlier ones.
+        fresh = codes > np.append(before - 1, np.maximum(np.maximum.accumulate(codes), before - 1)[:-1])
+        self.links.append(links[fresh])
+        self.pairs.append(found.pairs[np.repeat(fresh, links)])
+        # Every shared end closes a group.
+        groups = len(a_ids) + len(b_ids) - len(found.pairs)
+        digest = hashlib.sha256(found.said()).hexdigest()
+        self.rows.append((key, len(a_ids), len(b_ids), groups, len(found.pairs), digest, len(windows)))
+        self.flat.append(codes.astype("<u4"))
 
     def row(self, number: int) -> dict:
         names = ("keys", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_windows")
         columns = {name: [r[i] for r in self.rows] for i, name in enumerate(names)}
         codes = np.concatenate(self.flat) if self.flat else np.zeros(0, "<u4")
-        links = np.array(self.windows.links, "<u4")
-        pairs, where = np.unique(np.array(self.windows.pairs, "i8"), return_inverse=True)
+        links = np.concatenate([np.zeros(0, "<u4"), *self.links]).astype("<u4")
+        pairs, where = np.unique(np.concatenate([np.zeros(0, "i8"), *self.pairs]), return_inverse=True)
         used = np.repeat(np.bincount(codes, minlength=len(links)), links)  # how often each window's links occur
         counts = np.bincount(where, weights=used, minlength=len(pairs)).astype("i8")  # sums below 2**53
         return columns | {
@@ -242,10 +265,9 @@ def encoded_batches(
                         t and b"".join(map(a.tokens.__getitem__, a_ids)) == whole
                         and b"".join(map(b.tokens.__getitem__, b_ids)) == whole
                     ):
-                        windows = windows_of(np.array(a_ids, "i4"), np.array(b_ids, "i4"), a, b)
-                        open_batch.add(k, windows, len(a_ids), len(b_ids))
+                        open_batch.add(k, np.array(a_ids, "i4"), np.array(b_ids, "i4"))
                     else:
-                        open_batch.add(k, [], 0, 0)
+                        open_batch.add_empty(k)
                     open_batch.bytes += len(whole)
                 if open_batch.bytes >= BATCH_BYTES:
                     yield out()
