@@ -43,11 +43,15 @@ def dictionary(daily: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def bitmap_state(daily: DataFrame, codes: DataFrame) -> DataFrame:
-    """``day``, ``column``, ``piece`` and ``bits``. Joins one row per day and value with its code, not the facts."""
-    coded = daily.join(codes, ["column", "value"])
-    return coded.groupBy("day", "column", F.bitmap_bucket_number("code").alias("piece")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits")
-    )
+    """``day``, ``column``, ``piece`` and ``bits``. Joins one row per day and value with its code, not the facts.
+
+    The codes are dealt by bitmap before any is built. Partial bitmaps would be 4 KB for every day and piece that a task
+    has a code of, in the end one for each code. A bitmap has at most 32,768 codes, so none of them is hot.
+    """
+    coded = daily.join(codes, ["column", "value"]).select(
+        "day", "column", F.bitmap_bucket_number("code").alias("piece"), F.bitmap_bit_position("code").alias("bit"))
+    bitmap = ["day", "column", "piece"]
+    return coded.repartition(*bitmap).groupBy(*bitmap).agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def distinct_counts(state: DataFrame, span: Column) -> DataFrame:

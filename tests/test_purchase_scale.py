@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from pulseframe.functions import month_key, week_start
-from pulseframe.operators import duplicates
+from pulseframe.operators import distinct_state, duplicates
 from pulseframe.operators.cleaning import with_month, with_week
 from workload import monthly, tables, weekly
 
@@ -89,3 +89,16 @@ def test_exports_are_compressed_in_bounded_files(spark, monkeypatch):
     assert len(files) == 10 and all(not f.endswith(".csv") for f in files)
     back = weekly.files.read_typed_csv(spark, path, rows.schema, multi_line=False)
     assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_bitmaps_are_built_once_where_their_codes_meet(spark):
+    daily = spark.range(4000).select(
+        F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 2).cast("int")).alias("day"),
+        (F.col("id") % 4).cast("string").alias("column"), F.col("id").cast("string").alias("value"))
+    codes = daily.select("column", "value").withColumn("code", F.monotonically_increasing_id())
+    state = distinct_state.bitmap_state(daily, codes)
+    text = plan(state)
+    # Codes are shuffled by their bitmap; no aggregation lies below that shuffle, so no partial bitmap is moved.
+    assert "bitmap_construct_agg" not in below(text, "Exchange hashpartitioning(day")
+    counts = distinct_state.distinct_counts(state, F.trunc("day", "year"))
+    assert sorted(map(tuple, counts.collect())) == [(date(2020, 1, 1), str(n), 1000) for n in range(4)]
