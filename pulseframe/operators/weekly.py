@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pulseframe import rules
@@ -21,16 +24,20 @@ def weekly_features(
 ) -> DataFrame:
     """One row per week: the eleven features plus the first and last source date inside the week.
 
-    Three aggregations joined on the week: fixed-size measures, the four distinct counts, and the row-identity
-    shuffle for duplicates. They stay apart on purpose. Together with the distinct counts every (week, value)
-    entry of the shuffle would carry the buffers of all measures. ``approximate`` trades the exact distinct
-    counts for sketches, which removes their shuffle. ``daily``, the ``daily_copies`` of the same rows, takes the place
-    of the row-identity shuffle.
+    Fixed-size measures, the four distinct counts, and the row-identity shuffle for duplicates, joined on the week. They
+    stay apart on purpose. Together with the distinct counts every (week, value) entry of the shuffle would carry the
+    buffers of all measures, and a task would hold the values of four columns at once (see ``distinct_values``). ``df`` is
+    read for each of them, so it should be a stored table. ``approximate`` trades the exact distinct counts for sketches,
+    which need one pass and no shuffle of values. ``daily``, the ``daily_copies`` of the same rows, takes the place of the
+    row-identity shuffle.
     """
     weeks = with_week(df, roles.date, WEEK)
     columns = source_columns(weeks, [WEEK])
     quantity, price, day = c(roles.quantity).cast("double"), c(roles.price).cast("double"), c(roles.date)
-    count_values = F.approx_count_distinct if approximate else F.count_distinct
+    counted = {
+        "survey_response_diversity": roles.entity, "unique_product_code_count": roles.product,
+        "unique_category_count": roles.category, "unique_shipping_state_count": roles.region,
+    }
 
     measures = weeks.groupBy(WEEK).agg(
         F.count(F.lit(1)).alias("purchase_record_count"),
@@ -42,12 +49,10 @@ def weekly_features(
         F.max(day).cast("date").alias("last_date"),
         *missing_count_aggregates(weeks, columns),
     )
-    variety = weeks.groupBy(WEEK).agg(
-        count_values(c(roles.entity)).alias("survey_response_diversity"),
-        count_values(c(roles.product)).alias("unique_product_code_count"),
-        count_values(c(roles.category)).alias("unique_category_count"),
-        count_values(c(roles.region)).alias("unique_shipping_state_count"),
-    )
+    if approximate:
+        variety = weeks.groupBy(WEEK).agg(*[F.approx_count_distinct(c(n)).alias(f) for f, n in counted.items()])
+    else:
+        variety = distinct_values(weeks, counted)
     if daily is None:
         duplicated = duplicate_rows(weeks, [WEEK], identity, digits=None)
     else:
@@ -60,6 +65,22 @@ def weekly_features(
     )
 
 
+def distinct_values(weeks: DataFrame, counted: Mapping[str, str]) -> DataFrame:
+    """One row per week with the number of distinct non-NULL values of columns; ``counted`` maps names to columns.
+
+    Each column is read and counted by itself, over (week, value) entries. With several distinct counts in one aggregation
+    a task holds an entry of all columns for every value of any, the largest state of the weekly plans.
+    """
+    parts = [
+        weeks.select(WEEK, c(column).alias("value")).distinct().groupBy(WEEK)
+        .agg(F.count("value").alias("found")).select(WEEK, F.lit(name).alias("name"), "found")
+        for name, column in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy(WEEK).agg(
+        *[F.max(F.when(F.col("name") == name, F.col("found"))).alias(name) for name in counted]
+    )
+
+
 def week_dates(df: DataFrame, date_column: str) -> DataFrame:
     """First and last date of every week, from a scan of the dates alone."""
     day = c(date_column)

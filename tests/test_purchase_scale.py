@@ -12,6 +12,7 @@ import __spark_entry__ as contract
 from pulseframe.functions import month_key, week_start
 from pulseframe.operators import distinct_state, duplicates
 from pulseframe.operators.cleaning import with_month, with_week
+from pulseframe.operators.weekly import distinct_values
 from workload import monthly, tables, weekly
 
 
@@ -102,3 +103,21 @@ def test_bitmaps_are_built_once_where_their_codes_meet(spark):
     assert "bitmap_construct_agg" not in below(text, "Exchange hashpartitioning(day")
     counts = distinct_state.distinct_counts(state, F.trunc("day", "year"))
     assert sorted(map(tuple, counts.collect())) == [(date(2020, 1, 1), str(n), 1000) for n in range(4)]
+
+
+def test_a_task_holds_the_values_of_one_column(spark, sf_dir):
+    # Several distinct counts in one aggregation are planned as an Expand: entries of all columns in every task.
+    assert "Expand" not in plan(weekly.features(spark, sf_dir))
+
+
+def test_distinct_values_of_nulls_zeros_and_copies(spark):
+    weeks = [date(2020, 1, 6), date(2020, 1, 13), None]
+    rows = [(w, e, p, None, w and "x") for w in weeks for e, p in (
+        (1, 0.0), (1, -0.0), (None, float("nan")), (2, float("nan")), (2, None), (2, None), (3, 1.0))] + [(weeks[0], 9, 7.0, None, "y")]
+    df = spark.createDataFrame(rows, "week_start date, entity int, price double, gone string, state string")
+    counted = {"a": "entity", "b": "price", "c": "gone", "d": "state", "e": "entity"}
+    found = distinct_values(df, counted)
+    wanted = df.groupBy("week_start").agg(*[F.count_distinct(c).alias(n) for n, c in counted.items()])
+    assert found.dtypes == wanted.dtypes
+    assert sorted(found.collect(), key=str) == sorted(wanted.collect(), key=str)
+    assert {r["week_start"]: tuple(r)[1:] for r in found.collect()}[weeks[0]] == (4, 4, 0, 2, 4)
