@@ -2,8 +2,8 @@
 
 Every text is encoded whole by both tokenizers. Byte offsets where a token of A and one of B end together, and where both
 go on with a space-marked token, are anchors. They cut a document into windows, pairs of token-id tuples, and equal
-windows align alike, so a batch keeps the links of a window once. All ends of a document are put in order at once: every
-end is one link, every end of both sides closes a group.
+windows align alike, so a batch keeps the links and the group string of a window once. All ends of a slice's documents are
+put in order at once: every end is one link, every end of both sides closes a group.
 
 A document is then a list of window codes, and a batch of documents a dictionary of windows. Corpus-wide counts of linked
 id pairs come from the dictionaries: a batch sends each of its distinct pairs once, and gets the corpus-wide counts of
@@ -121,8 +121,8 @@ def coders(a_file: str, b_file: str, a_ranks: str | None = A_RANKS) -> tuple[Byt
 
 @lru_cache(maxsize=2)
 def written(size: int) -> list[bytes]:
-    """Every id below ``size`` after a comma, after a semicolon and after a bar."""
-    return [b"%c%d" % (mark, i) for mark in b",;|" for i in range(size)]
+    """Every id below ``size`` after a comma, after a semicolon, after a bar and after a line end."""
+    return [b"%c%d" % (mark, i) for mark in b",;|\n" for i in range(size)]
 
 
 class Alignment(NamedTuple):
@@ -140,17 +140,20 @@ class Alignment(NamedTuple):
         shared = np.flatnonzero(self.in_a & self.in_b)
         return np.cumsum(self.in_a)[shared], np.cumsum(self.in_b)[shared], shared + 1
 
-    def said(self) -> bytes:
-        """The groups as ``a1,a2|b1;a3|b2``."""
+    def said(self, opening: np.ndarray | None = None) -> bytes:
+        """The groups as ``a1,a2|b1;a3|b2``. Groups that begin with the tokens ``opening`` of A follow a line end in place of
+        a semicolon."""
         a_stops, b_stops, _ = self.groups()
         size = int(max(self.a_ids.max(), self.b_ids.max())) + 1
         strings = written(1 << (size - 1).bit_length())
-        size = len(strings) // 3
+        size = len(strings) // 4
         shared = self.in_a & self.in_b
         before = np.cumsum(shared) - shared  # groups that end earlier
         a_said, b_said = self.a_ids.astype("i8"), self.b_ids.astype("i8")
         a_said[np.append(0, a_stops[:-1])] += size
         b_said[np.append(0, b_stops[:-1])] += 2 * size
+        if opening is not None:
+            a_said[opening] += 2 * size  # from semicolon to line end
         out = np.empty(len(a_said) + len(b_said), "i8")
         out[np.arange(len(a_said)) + np.append(0, b_stops[:-1])[before[self.in_a]]] = a_said
         out[np.arange(len(b_said)) + a_stops[before[self.in_b]]] = b_said
@@ -175,9 +178,18 @@ def align(a: list[int], b: list[int], a_lengths: list[int], b_lengths: list[int]
     return found.said().decode(), len(found.groups()[0]), found.pairs.tolist()
 
 
-def windows_of(found: Alignment, a: Coder, b: Coder) -> tuple[list[bytes], np.ndarray]:
-    """Cut a verified document at its anchors: each window as the bytes of A's ids, a separator and B's ids, and the
-    number of its links."""
+class Windows(NamedTuple):
+    """The windows of a run of verified documents, each with the bytes of A's ids, a separator and B's ids, and where it ends
+    among the tokens of A, the tokens of B and the links. Every document ends a window, as the next begins with a space."""
+
+    ids: pa.LargeBinaryArray
+    a_stops: np.ndarray
+    b_stops: np.ndarray
+    link_stops: np.ndarray
+
+
+def windows_of(found: Alignment, a: Coder, b: Coder) -> Windows:
+    """Cut verified documents at their anchors."""
     a_ids, b_ids = found.a_ids, found.b_ids
     a_open, b_open = np.append(a.spaced[a_ids[1:]], True), np.append(b.spaced[b_ids[1:]], True)
     a_stops, b_stops, link_stops = found.groups()
@@ -190,40 +202,60 @@ def windows_of(found: Alignment, a: Coder, b: Coder) -> tuple[list[bytes], np.nd
     starts = stops - a_counts - b_counts - 1
     flat[np.arange(len(a_ids)) + np.repeat(starts - (a_stops - a_counts), a_counts)] = a_ids
     flat[np.arange(len(b_ids)) + np.repeat(starts + a_counts + 1 - (b_stops - b_counts), b_counts)] = b_ids
-    whole, ends = flat.tobytes(), (stops * 4).tolist()
-    return [whole[start:end] for start, end in zip([0, *ends], ends)], np.diff(link_stops[anchors], prepend=0)
+    ends = pa.py_buffer(np.append(0, stops * 4).astype("i8"))
+    ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(stops), [None, ends, pa.py_buffer(flat)])
+    return Windows(ids, a_stops, b_stops, link_stops[anchors])
 
 
 class Batch:
-    """Documents on their way to one staged row. ``windows`` numbers the windows of the batch; the links of each are kept
-    once, when it first occurs."""
+    """Documents on their way to one staged row. ``windows`` numbers the windows of the batch; the group string and the links
+    of each are kept once, when it first occurs."""
 
     def __init__(self, a: Coder, b: Coder) -> None:
         self.a, self.b, self.bytes = a, b, 0
         self.windows: dict[bytes, int] = {}
+        self.strings: list[bytes] = []
         self.links: list[np.ndarray] = []
         self.pairs: list[np.ndarray] = []
         self.rows: list[tuple] = []
         self.flat: list[np.ndarray] = []
 
-    def add_empty(self, key: int | None) -> None:
-        self.rows.append((key, 0, 0, 0, 0, "", 0))
+    def add(self, keys: list[int | None], encoded: list[tuple[list[int], list[int]] | None]) -> None:
+        """Documents with the ids of both sides, or None for one without tokens."""
+        some = [e for e in encoded if e]
+        facts = iter(self._add_verified(some)) if some else iter(())
+        self.rows += [(key, *next(facts)) if e else (key, 0, 0, 0, 0, "", 0) for key, e in zip(keys, encoded)]
 
-    def add(self, key: int | None, a_ids: np.ndarray, b_ids: np.ndarray) -> None:
+    def _add_verified(self, some: list[tuple[list[int], list[int]]]) -> Iterator[tuple]:
+        a_ids, b_ids = (np.concatenate([np.array(e[side], "i4") for e in some]) for side in (0, 1))
         found = alignment(a_ids, b_ids, self.a.sizes, self.b.sizes)
-        windows, links = windows_of(found, self.a, self.b)
+        cut = windows_of(found, self.a, self.b)
+        coded = cut.ids.dictionary_encode()
         known = self.windows
         before = len(known)
-        codes = np.array([known.setdefault(w, len(known)) for w in windows], "i8")
+        # Numbered as they first occur, in the slice and in the batch.
+        numbers = np.array([known.setdefault(w, len(known)) for w in coded.dictionary.to_pylist()], "i8")
+        codes = numbers[coded.indices.to_numpy()]
         # Numbers rise as windows first occur, so a window is new where its number passes all earlier ones.
         fresh = codes > np.append(before - 1, np.maximum(np.maximum.accumulate(codes), before - 1)[:-1])
-        self.links.append(links[fresh])
-        self.pairs.append(found.pairs[np.repeat(fresh, links)])
-        # Every shared end closes a group.
-        groups = len(a_ids) + len(b_ids) - len(found.pairs)
-        digest = hashlib.sha256(found.said()).hexdigest()
-        self.rows.append((key, len(a_ids), len(b_ids), groups, len(found.pairs), digest, len(windows)))
+        if fresh.any():
+            a_counts, b_counts, links = (np.diff(stops, prepend=0) for stops in cut[1:])
+            ends = np.repeat(fresh, links)
+            news = Alignment(a_ids[np.repeat(fresh, a_counts)], b_ids[np.repeat(fresh, b_counts)], found.pairs[ends],
+                             found.in_a[ends], found.in_b[ends])
+            opening = np.cumsum(a_counts[fresh]) - a_counts[fresh]
+            self.strings += news.said(opening).split(b"\n")
+            self.links.append(links[fresh])
+            self.pairs.append(news.pairs)
         self.flat.append(codes.astype("<u4"))
+        n_a, n_b = (np.array([len(e[side]) for e in some]) for side in (0, 1))
+        stops = np.searchsorted(cut.a_stops, np.cumsum(n_a)) + 1
+        n_links = np.diff(cut.link_stops[stops - 1], prepend=0)
+        groups = n_a + n_b - n_links  # every shared end closes a group
+        said, at = self.strings, codes.tolist()
+        for i, (start, stop) in enumerate(zip([0, *stops.tolist()], stops.tolist())):
+            digest = hashlib.sha256(b";".join(map(said.__getitem__, at[start:stop]))).hexdigest()
+            yield int(n_a[i]), int(n_b[i]), int(groups[i]), int(n_links[i]), digest, stop - start
 
     def row(self, number: int) -> dict:
         names = ("keys", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_windows")
@@ -259,16 +291,16 @@ def encoded_batches(
             for part in slices(batch, "text", SLICE_BYTES):
                 rows = part.to_pydict()
                 texts = [t or "" for t in rows["text"]]
-                for k, t, a_ids, b_ids in zip(rows["key"], texts, a.encode(texts), b.encode(texts)):
+                encoded = []
+                for t, a_ids, b_ids in zip(texts, a.encode(texts), b.encode(texts)):
                     whole = b" " + t.encode()
-                    if (
+                    fits = (
                         t and b"".join(map(a.tokens.__getitem__, a_ids)) == whole
                         and b"".join(map(b.tokens.__getitem__, b_ids)) == whole
-                    ):
-                        open_batch.add(k, np.array(a_ids, "i4"), np.array(b_ids, "i4"))
-                    else:
-                        open_batch.add_empty(k)
+                    )
+                    encoded.append((a_ids, b_ids) if fits else None)
                     open_batch.bytes += len(whole)
+                open_batch.add(rows["key"], encoded)
                 if open_batch.bytes >= BATCH_BYTES:
                     yield out()
                     open_batch, number = Batch(a, b), number + 1

@@ -343,3 +343,32 @@ def test_ranks_and_json_give_the_same_ids():
         for _ in range(3000)
     ]
     assert ranked.encode(texts) == plain.encode(texts)
+
+
+def test_documents_of_a_slice_are_aligned_at_once(monkeypatch):
+    a, b = token_align.coders(token_align.A_FILE, token_align.B_FILE)
+    texts = ["one two two", "two", "", "one two two", " two  spaces\nand a line", "x"]
+    encoded = [(i, j) if t else None for t, i, j in zip(texts, a.encode(texts), b.encode(texts))]
+    calls, align_all = [], token_align.alignment
+    monkeypatch.setattr(token_align, "alignment", lambda *ids: calls.append(ids) or align_all(*ids))
+    batch = token_align.Batch(a, b)
+    batch.add(list(range(6)), encoded)
+    assert len(calls) == 1
+    batch.add([6, None], [encoded[4], None])  # nothing new
+    assert len(batch.strings) == len(batch.windows) == sum(len(x) for x in batch.links)
+    for (key, n_a, n_b, groups, links, digest, _), pair in zip(batch.rows, [*encoded, encoded[4], None]):
+        if not pair:
+            assert (n_a, n_b, groups, links, digest) == (0, 0, 0, 0, "")
+            continue
+        said, n, linked = plain_groups(pair, a, b)
+        assert (n_a, n_b, groups, links) == (len(pair[0]), len(pair[1]), n, linked)
+        assert digest == hashlib.sha256(said.encode()).hexdigest()
+
+
+def plain_groups(pair, a, b):
+    """Groups of one document by walking both lists, their string, their number and the number of links."""
+    ends = [list(np.cumsum([coder.lengths[i] for i in ids])) for coder, ids in zip((a, b), pair)]
+    shared = sorted(set(ends[0]) & set(ends[1]))
+    part = lambda side, low, high: ",".join(str(i) for i, end in zip(pair[side], ends[side]) if low < end <= high)
+    said = ";".join(f"{part(0, low, high)}|{part(1, low, high)}" for low, high in zip([0, *shared], shared))
+    return said, len(shared), len(set(ends[0]) | set(ends[1]))
