@@ -234,6 +234,44 @@ def test_smallest_of_a_width():
             assert got[i] == i + width - 1 - int(np.argmin(window[::-1]))
 
 
+def test_smallest_across_blocks():
+    """Places do not depend on where a block of positions ends, and never move back."""
+    values = np.random.default_rng(5).integers(0, 1 << 48, 3 * suffix_array.PLACES // 2).astype("u8")
+    values[-suffix_array.PLACES:] %= 3
+    got = suffix_array.first_smallest(values, 128)
+    windows = np.lib.stride_tricks.sliding_window_view(values, 128)[:, ::-1]
+    assert (got == np.arange(len(got)) + 127 - windows.argmin(axis=1)).all()
+    assert (np.diff(got) >= 0).all()
+
+
+def test_regions_look_at_a_text_once(monkeypatch):
+    """Phrase starts of a batch are found once; its regions are those of all windows whose start's probe is repeated."""
+    pick = random.Random(6)
+    shared = bytes(pick.choice(b"abcd") for _ in range(1500))
+    parts = [bytes(pick.choice(b"wxyz") for _ in range(n)) for n in (900, 100, 2000, 50)]
+    texts = [shared + parts[0], parts[1] + shared[300:], parts[2], shared[:700] + parts[3] + shared[700:], b"short", b""]
+    row = {
+        "batch": 1, "keys": list(range(6)), "sizes": np.array([len(t) for t in texts], "<u4").tobytes(),
+        "data": b"".join(texts), "copies": None, "probes": None,
+    }
+    row["copies"] = [np.zeros(4, "u1").tobytes()]
+    row["probes"] = [np.zeros(len(suffix_array.distinct(suffix_array.probe_keys(row))[0][0]), "u1").tobytes()]
+    calls = []
+    plain = suffix_array.sparse_starts
+    monkeypatch.setattr(suffix_array, "sparse_starts", lambda s: calls.append(len(s.data)) or plain(s))
+    [out] = suffix_array.regions(row)
+    assert calls == [sum(len(t) for t in texts[:4])]
+    assert out["done_keys"] == [[2, 4, 5]] and out["keys"] == [[0, 1, 3]]
+    inside = [[False] * len(t) for t in texts]
+    live = [0, 1, 3]
+    for owner, start, length in zip(*(np.frombuffer(out[n][0], "<u4") for n in ("owners", "starts", "lengths"))):
+        inside[live[owner]][start:start + length] = [True] * int(length)
+    seen = Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    for text, covered in zip(texts, inside):
+        assert all(all(covered[i:i + 400]) for i in range(len(text) - 399) if seen[text[i:i + 400]] > 1)
+    assert sum(map(sum, inside)) < 3 * 1500
+
+
 # ---- op13
 
 
