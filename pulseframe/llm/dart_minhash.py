@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pulseframe.llm.common import WordHashes, map_texts, mix, slices, word_hashes
 from pulseframe.llm.components import components
+from pulseframe.llm.decontaminate import PROBES, bloom, probe
 from pulseframe.sources.staging import stage
 
 SHINGLE = 5
@@ -49,6 +50,9 @@ LEVELS = BASE + 5
 # Links between classes: members of a block, and the least share of equal coordinates (one byte of each is kept).
 BLOCK = 512
 LIKELY = 0.73
+# Bits per id of the filter that leaves texts outside all buckets out of the shuffles, and its size as a power of two.
+BITS_PER_ID = 16
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 20, 28
 # Documents and shingles that are thrown at once.
 DOCS_AT_ONCE, SHINGLES_AT_ONCE = 128, 30_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -231,15 +235,41 @@ def with_pivots(members: DataFrame) -> DataFrame:
     return members.join(pivots, "band").select("band", "id", "pivot")
 
 
+def in_filter(rows: DataFrame, packed: np.ndarray, bits: int) -> DataFrame:
+    """``rows`` without most of those whose doc_id is not in the filter; an exact join has to follow."""
+    shared = rows.sparkSession.sparkContext.broadcast(packed)
+    names = rows.columns
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            hashes = batch.column("__seed").to_numpy().view("u8")
+            passed = np.ones(batch.num_rows, bool)
+            for k in range(PROBES):
+                at = probe(hashes, k, bits)
+                passed &= (held[at >> 3] >> (at & 7).astype("u1")) & 1 == 1
+            yield batch.select(names).filter(pa.array(passed))
+
+    return rows.withColumn("__seed", F.xxhash64("doc_id")).mapInArrow(work, rows.schema)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``class_id`` of every row: the smallest id among all documents connected by similarity."""
     sketch = stage(sketches(docs), "sketches")
     nodes = stage(sketch.groupBy("key").agg(F.min("doc_id").alias("node")), "nodes")
     chosen = sketch.join(nodes.withColumnRenamed("node", "doc_id"), ["key", "doc_id"], "left_semi")
     bucket = stage(with_pivots(chosen.select(F.col("doc_id").alias("id"), F.explode("bands").alias("band"))), "buckets")
-    involved = bucket.select(F.col("id").alias("doc_id")).distinct()
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(involved, "doc_id", "left_semi")
-    low = chosen.groupBy("doc_id").agg(F.min("low").alias("low"))
+    involved = stage(bucket.select(F.col("id").alias("doc_id")).distinct(), "involved")
+    bits = (max(1, involved.count()) * BITS_PER_ID - 1).bit_length()
+    bits = min(max(bits, LEAST_FILTER_BITS), MOST_FILTER_BITS)
+    packed = bloom(involved.select(F.xxhash64("doc_id").alias("seed")), bits)
+    narrow = in_filter(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), packed, bits)
+    narrow = narrow.join(involved, "doc_id", "left_semi")
+    likely = in_filter(sketch.select("doc_id", "key", "low"), packed, bits)
+    low = (
+        likely.join(nodes.withColumnRenamed("node", "doc_id"), ["key", "doc_id"], "left_semi")
+        .groupBy("doc_id").agg(F.min("low").alias("low"))
+    )
     members = element_sets(narrow).join(low, "doc_id").withColumnRenamed("doc_id", "id")
     members = stage(members, "members")
 

@@ -100,6 +100,26 @@ def test_rows_with_null_ids_share_the_class_of_their_text(spark):
     assert got == {(None, 7), (7, 7), (None, None)}
 
 
+def test_texts_outside_all_buckets_are_not_shuffled(spark, monkeypatch):
+    """Of texts and signatures only those of buckets' members, and few others, pass the filter before the joins."""
+    family = prose(3, 200)
+    rows = [(n, " ".join(prose(5000 + n, 30))) for n in range(400)]
+    rows += [(1000 + n, " ".join(edited(family, n, 1))) for n in range(5)] + [(None, "no id at all here")]
+    passed, plain = [], dart_minhash.in_filter
+
+    def spied(rows, packed, bits):
+        found = plain(rows, packed, bits)
+        passed.append({r["doc_id"] for r in found.collect()})
+        return found
+
+    monkeypatch.setattr(dart_minhash, "in_filter", spied)
+    got = {r["doc_id"]: r["class_id"] for r in dart_minhash.near_duplicates(text_rows(spark, rows)).collect()}
+    assert {got[1000 + n] for n in range(5)} == {1000} and all(got[n] == n for n in range(400))
+    assert len(passed) == 2
+    for ids in passed:
+        assert {1000 + n for n in range(5)} <= ids and len(ids) < 20
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 101), (101, 100), (200, 200), (None, 1), (300, 41), (41, 400)]
     found = components.components(spark.createDataFrame(edges, "a long, b long"))
