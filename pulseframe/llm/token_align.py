@@ -8,7 +8,7 @@ put in order at once: every end is one link, every end of both sides closes a gr
 A document is then a list of window codes, and a batch of documents a dictionary of windows. Corpus-wide counts of linked
 id pairs come from the dictionaries: a batch sends each of its distinct pairs once, and gets the corpus-wide counts of
 those pairs back. So no document is tokenised twice, a pair that is everywhere is one row per batch, and no table of
-counts is broadcast or collected.
+counts is broadcast or collected. A batch and its counts meet as a group, and one batch at a time is sent to a Python worker.
 
 NULL and empty texts, and texts whose tokens do not join to a space and the text, have no tokens: zeros and an empty
 group string. Every row of the input gives a row, with repeated and NULL keys kept apart. Other columns are ignored.
@@ -38,8 +38,10 @@ A_FILE = public_tokenizers.path("byte_bpe_50k.json")
 # The same vocabulary as ranks.
 A_RANKS = bpe.RANKS
 B_FILE = public_tokenizers.path("piece_bpe_32k.model")
-# Text bytes after which a batch ends.
-BATCH_BYTES = 16 << 20
+# Text bytes after which a batch ends. A batch is one staged row, of about as many bytes.
+BATCH_BYTES = 4 << 20
+# Batches that a file of staged rows holds: its writer and its reader have all rows of a file in memory.
+FILE_BATCHES = 4
 SLICE_BYTES = 1 << 19
 # Between the two id lists of a window; no vocabulary is that large.
 SEPARATOR = 0xFFFFFFFF
@@ -331,40 +333,34 @@ def alignment_digests(
     corpus-wide counts of their pairs, and the SHA-256 of its groups. Writes the batches to the shared folder."""
     spark = docs.sparkSession
     path = fresh_path(spark, "alignments")
-    encoded_batches(docs, key, text, a_file, b_file, a_ranks).write.option("compression", "zstd").parquet(path)
+    encoded = encoded_batches(docs, key, text, a_file, b_file, a_ranks)
+    encoded.write.options(compression="zstd", maxRecordsPerFile=FILE_BATCHES).parquet(path)
     batches = spark.read.schema(T.StructType.fromDDL(BATCHES)).parquet(path)
     counts = pair_counts(batches)
-    asked = batches.select("batch", F.posexplode("pairs").alias("at", "pair"))
-    told = (
-        asked.join(counts, "pair")
-        .groupBy("batch")
-        .agg(F.collect_list(F.struct("at", "total", "best")).alias("told"))
-    )
-    done = batches.drop("pairs", "pair_links").join(told, "batch", "left")
+    asked = batches.select(F.col("batch").alias("asker"), F.posexplode("pairs").alias("at", "pair"))
+    told = asked.join(counts, "pair").select("asker", "at", "total", "best")
     fields = T.StructType.fromDDL(DIGESTS)
     arrow = to_arrow_schema(fields)
 
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for at in range(part.num_rows):
-                row = {name: part.column(name)[at] for name in part.schema.names}
-                plain = {n: row[n].values for n in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
-                best, total = scores(row)
-                plain |= {"key": row["keys"].values, "n_best": best, "count_sum": total}
-                yield pa.RecordBatch.from_arrays([pa.array(plain[f.name], f.type) for f in arrow], schema=arrow)
+    def work(batch: pa.Table, told: pa.Table) -> pa.Table:
+        row = {name: batch.column(name)[0] for name in batch.schema.names}
+        plain = {n: row[n].values for n in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+        best, total = scores(row, told)
+        plain |= {"key": row["keys"].values, "n_best": best, "count_sum": total}
+        return pa.Table.from_arrays([pa.array(plain[f.name], f.type) for f in arrow], schema=arrow)
 
-    return done.mapInArrow(work, fields).withColumnRenamed("key", key)
+    done = batches.drop("pairs", "pair_links").groupBy("batch").cogroup(told.groupBy("asker"))
+    return done.applyInArrow(work, fields).withColumnRenamed("key", key)
 
 
-def scores(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """``n_best`` and ``count_sum`` of every document of a batch."""
+def scores(row: dict, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """``n_best`` and ``count_sum`` of every document of a batch, from what is told of its distinct pairs."""
     numbers = lambda name: np.frombuffer(row[name].as_py(), "<u4")
     sizes, codes = numbers("n_windows"), numbers("codes")
     owner = np.repeat(np.arange(len(sizes)), sizes)
     if not len(codes):
         return np.zeros(len(sizes), "i8"), np.zeros(len(sizes), "i8")
-    told = row["told"].values
-    at, total, best = (told.field(n).to_numpy(zero_copy_only=False) for n in ("at", "total", "best"))
+    at, total, best = (told.column(n).to_numpy() for n in ("at", "total", "best"))
     totals, bests = np.zeros(len(at), "i8"), np.zeros(len(at), "i8")
     totals[at], bests[at] = total, best
     links, pairs = numbers("window_links"), numbers("window_pairs")

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from tests_data import SF_DIR
 
@@ -357,6 +358,21 @@ def test_alignment_of_edge_cases(spark, edge_docs, no_docs):
     assert token_align.alignment_digests(no_docs).collect() == []
 
 
+def test_memory_of_alignment_is_bounded_by_batches(spark, monkeypatch, tmp_path):
+    """However many batches a task has, a file holds few of them, and each is sent to a worker as a group of its own."""
+    monkeypatch.setattr(token_align, "BATCH_BYTES", 1_000)
+    monkeypatch.setattr(token_align, "SLICE_BYTES", 64)
+    monkeypatch.setattr(token_align, "FILE_BATCHES", 3, raising=False)
+    monkeypatch.setattr(token_align, "fresh_path", lambda *_: str(tmp_path / "staged"))
+    rows = [(k, f"text {k} of some words " * 20) for k in range(30)]
+    found = token_align.alignment_digests(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    staged = [pq.read_metadata(f).num_rows for f in (tmp_path / "staged").glob("*.parquet")]
+    assert max(staged) <= 3 < sum(staged)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan
+    same_alignment(found.collect(), plain_alignment(rows))
+
+
 def test_window_alignment():
     lengths = [0, 1, 2, 3]
     assert token_align.align([3, 1], [1, 2, 1], lengths, lengths) == ("3|1,2;1|1", 2, [3 << 32 | 1, 3 << 32 | 2, 1 << 32 | 1])
